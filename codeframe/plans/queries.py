@@ -522,7 +522,15 @@ def codebook_xml_labels(spark, sf):
         F.lit("<codInstr>Codes\n-1 = Not known\nno code here</codInstr>"),
         F.lit('<varFormat type="numeric"/></var>'))
     path = scratch_path(spark, "xml")
-    _part_blocks(spark, sf).withColumn("cat", cat).groupBy("block").agg(var.alias("value")).select("value").write.text(path)
+
+    def with_root(batches):  # every file is one document
+        import pandas as pd
+        yield pd.DataFrame({"value": ["<codeBook><dataDscr>"]})
+        yield from batches
+        yield pd.DataFrame({"value": ["</dataDscr></codeBook>"]})
+
+    elements = _part_blocks(spark, sf).withColumn("cat", cat).groupBy("block").agg(var.alias("value")).select("value")
+    elements.mapInPandas(with_root, "value string").write.text(path)
     return ddi.read_codebook_tables(spark, path).value_labels.select("var_name", "val_num", "lbl")
 
 

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_own: dict[str, str] = {}  # application id to its temporary folder
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -15,14 +16,15 @@ def scratch_root(spark: SparkSession) -> str:
 
     Only where it is unset and Spark runs on this one machine is a temporary folder made.
     """
-    root = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
+    root = spark.conf.get(_SETTING, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="codeframe-")
-    spark.conf.set(_SETTING, root)
-    return root
+    if context.applicationId not in _own:
+        _own[context.applicationId] = tempfile.mkdtemp(prefix="codeframe-")
+    return _own[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:

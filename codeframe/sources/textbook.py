@@ -98,9 +98,10 @@ def textbook_variables(lines: DataFrame) -> DataFrame:
         "*",
         F.row_number().over(in_table).alias("nth"),
         F.first(F.when(F.col("is_table"), line)).over(in_table).alias("title"),
-        F.max(capture(line, TABLE_CODE)["code"]).over(Window.partitionBy("codebook_id", "table_no")).alias("code_line"),
         F.coalesce(F.sum(blank.cast("int")).over(up_to), F.lit(0)).alias("blanks"),
     )
+    code = F.when(F.col("nth") == TABLE_HEADER_LINES, capture(line, TABLE_CODE)["code"])
+    body = body.withColumn("code_line", F.max(code).over(Window.partitionBy("codebook_id", "table_no")))
     coded = capture(F.col("title"), TABLE_CODED)
     desc = F.when(F.col("layout") == "series", F.concat(coded["name"], F.lit(" ("), coded["code"], F.lit(")"))).when(
         F.col("layout") == "tables",
