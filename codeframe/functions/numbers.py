@@ -65,10 +65,14 @@ def guess_types(df: DataFrame, cols: list[str] | None = None) -> dict[str, T.Dat
     for i, c in enumerate(names):
         v = na_to_null(q(c))
         aggs += [
-            F.bool_and(v.rlike(BOOLEAN)).alias(f"b{i}"),
-            F.bool_and(v.rlike(NUMBER) & ~v.rlike(LEADING_ZERO)).alias(f"n{i}"),
-            F.bool_and(v.rlike(DATE) & _to_date(v).isNotNull()).alias(f"d{i}"),
-            F.bool_and(v.rlike(TIMESTAMP) & v.try_cast("timestamp").isNotNull()).alias(f"t{i}"),
+            # a missing value speaks neither for nor against a type
+            F.bool_and(F.when(v.isNotNull(), test)).alias(f"{k}{i}")
+            for k, test in (
+                ("b", v.rlike(BOOLEAN)),
+                ("n", v.rlike(NUMBER) & ~v.rlike(LEADING_ZERO)),
+                ("d", v.rlike(DATE) & _to_date(v).isNotNull()),
+                ("t", v.rlike(TIMESTAMP) & v.try_cast("timestamp").isNotNull()),
+            )
         ]
     row = df.agg(*aggs).first()
     out: dict[str, T.DataType] = {}

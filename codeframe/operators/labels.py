@@ -482,12 +482,16 @@ def longest_labels(label_table: DataFrame, keys: list[str], order: list[str]) ->
 
 
 def duplicate_labels(label_table: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys with more than one distinct label, with their labels in order."""
-    return (
-        label_table.select(*keys, "lbl").distinct()
-        .groupBy(*keys).agg(F.sort_array(F.collect_list("lbl")).alias("labels"))
-        .filter(F.size("labels") > 1)
-    )
+    """``(keys, lbl)`` of every key that has more than one distinct label, one row per label.
+
+    Such keys have different smallest and largest labels, which aggregates partially; no
+    list of labels is built, so a key may have any number of them.
+    """
+    from .joins import skew_join
+    rows = label_table.select(*keys, "lbl").distinct()
+    many = label_table.groupBy(*keys).agg(F.min("lbl").alias("lo"), F.max("lbl").alias("hi")).filter("lo <> hi")
+    many = many.select(*[q(k).alias(f"__{k}") for k in keys])
+    return skew_join(rows, many, keys, [f"__{k}" for k in keys], "left_semi")
 
 
 def _longest_per_value(pairs) -> list[tuple[Any, str]]:

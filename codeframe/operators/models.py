@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..metadata import get_meta, is_numeric, q
+from ..sources.scratch import scratch_path
 
 MAX_LEVELS = 1000
 _CENTRE_ROWS = 1000
@@ -154,10 +155,12 @@ def linear_model(df: DataFrame, response: str | Column, terms: Sequence, weights
 
 
 def generalized_model(df: DataFrame, response: str, terms: Sequence, family: str = "binomial", link: str | None = "logit",
-                      weights: str | None = None, max_iter: int = 25, tol: float = 1e-8) -> DataFrame:
+                      weights: str | None = None, max_iter: int = 25, tol: float = 1e-8, stage: bool = False) -> DataFrame:
     """Generalised linear model by iteratively reweighted least squares (several passes).
 
     Returns ``(term, estimate, std_error)``. Rows with a NULL in any used column are left out.
+    ``stage`` writes the model columns once to the shared folder, so that the passes do not
+    parse or join the source again.
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GeneralizedLinearRegression
@@ -167,7 +170,12 @@ def generalized_model(df: DataFrame, response: str, terms: Sequence, family: str
     keep = [q(response).cast("double").alias("y"), *[c.alias(n) for c, n in zip(xs, cols)]]
     if weights:
         keep.append(q(weights).cast("double").alias("w"))
-    frame = VectorAssembler(inputCols=cols, outputCol="features").transform(df.select(*keep).dropna())
+    frame = df.select(*keep).dropna()
+    if stage:
+        path = scratch_path(df.sparkSession, "model")
+        frame.write.parquet(path)
+        frame = df.sparkSession.read.schema(frame.schema).parquet(path)
+    frame = VectorAssembler(inputCols=cols, outputCol="features").transform(frame)
     glr = GeneralizedLinearRegression(family=family, labelCol="y", featuresCol="features", maxIter=max_iter, tol=tol)
     if link:
         glr = glr.setLink(link)

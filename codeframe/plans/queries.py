@@ -303,11 +303,11 @@ def label_set_dedupe(spark, sf):
 
 
 @query("""
-    SELECT p_size AS val, string_agg(DISTINCT p_type, ', ' ORDER BY p_type) AS labels FROM part GROUP BY 1
-    HAVING count(DISTINCT p_type) > 1""")
+    SELECT DISTINCT p_brand AS val, p_type AS lbl FROM part
+    WHERE p_brand IN (SELECT p_brand FROM part GROUP BY 1 HAVING count(DISTINCT p_type) > 1)""")
 def duplicate_label_report(spark, sf):
-    rows = table(spark, sf, "part").select(F.col("p_size").alias("val"), F.col("p_type").alias("lbl"))
-    return labels.duplicate_labels(rows, ["val"]).withColumn("labels", F.array_join("labels", ", "))
+    rows = table(spark, sf, "part").select(F.col("p_brand").alias("val"), F.col("p_type").alias("lbl"))
+    return labels.duplicate_labels(rows, ["val"])
 
 
 # ---------------------------------------------------------------- selection, recodes, functions

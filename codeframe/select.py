@@ -8,57 +8,96 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 from typing import Union
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from .metadata import all_meta, q, with_meta
 
-Matcher = Callable[[Sequence[str]], list[str]]
+
+@dataclass(frozen=True)
+class Matcher:
+    """Chooses among names on the driver, or among rows of a name column on the cluster."""
+
+    names: Callable[[Sequence[str]], list[str]]
+    rows: Callable[[Column], Column]
+
+    def __call__(self, names: Sequence[str]) -> list[str]:
+        return self.names(names)
+
+
 Selection = Union[None, str, Matcher, Iterable]
 
 
+def _by_test(test: Callable[[str], bool], rows: Callable[[Column], Column]) -> Matcher:
+    return Matcher(lambda names: [n for n in names if test(n)], rows)
+
+
 def _fold(s: str, ignore_case: bool) -> str:
     return s.lower() if ignore_case else s
 
 
+def _fold_col(c: Column, ignore_case: bool) -> Column:
+    return F.lower(c) if ignore_case else c
+
+
 def starts_with(*prefixes: str, ignore_case: bool = True) -> Matcher:
     want = tuple(_fold(p, ignore_case) for p in prefixes)
-    return lambda names: [n for n in names if _fold(n, ignore_case).startswith(want)]
+    return _by_test(lambda n: _fold(n, ignore_case).startswith(want),
+                    lambda c: reduce(or_, [_fold_col(c, ignore_case).startswith(p) for p in want]))
 
 
 def ends_with(*suffixes: str, ignore_case: bool = True) -> Matcher:
     want = tuple(_fold(p, ignore_case) for p in suffixes)
-    return lambda names: [n for n in names if _fold(n, ignore_case).endswith(want)]
+    return _by_test(lambda n: _fold(n, ignore_case).endswith(want),
+                    lambda c: reduce(or_, [_fold_col(c, ignore_case).endswith(p) for p in want]))
 
 
 def contains(*parts: str, ignore_case: bool = True) -> Matcher:
     want = [_fold(p, ignore_case) for p in parts]
-    return lambda names: [n for n in names if any(p in _fold(n, ignore_case) for p in want)]
+    return _by_test(lambda n: any(p in _fold(n, ignore_case) for p in want),
+                    lambda c: reduce(or_, [_fold_col(c, ignore_case).contains(p) for p in want]))
 
 
 def matches(pattern: str, ignore_case: bool = True) -> Matcher:
     rx = re.compile(pattern, re.IGNORECASE if ignore_case else 0)
-    return lambda names: [n for n in names if rx.search(n)]
+    return _by_test(lambda n: rx.search(n) is not None, lambda c: c.rlike(("(?i)" if ignore_case else "") + pattern))
 
 
 def num_range(prefix: str, numbers: Iterable[int], width: int | None = None) -> Matcher:
-    want = {prefix + (str(i).zfill(width) if width else str(i)) for i in numbers}
-    return lambda names: [n for n in names if n in want]
+    want = [prefix + (str(i).zfill(width) if width else str(i)) for i in numbers]
+    return Matcher(lambda names: [n for n in want if n in set(names)], lambda c: c.isin(want))
 
 
 def one_of(*wanted) -> Matcher:
     """The names that exist; unknown ones are passed over."""
     flat = [x for w in wanted for x in ([w] if isinstance(w, str) else w)]
-    return lambda names: [n for n in flat if n in names]
+    return Matcher(lambda names: [n for n in flat if n in names], lambda c: c.isin(flat))
 
 
 def everything() -> Matcher:
-    return lambda names: list(names)
+    return _by_test(lambda n: True, lambda c: F.lit(True))
 
 
 def exclude(selection: Selection) -> Matcher:
-    return lambda names: [n for n in names if n not in set(pick(names, selection))]
+    return Matcher(lambda names: [n for n in names if n not in set(pick(names, selection))],
+                   lambda c: ~row_condition(c, selection))
+
+
+def row_condition(c: Column, selection: Selection) -> Column:
+    """A selection as a filter on a column of names; nothing is collected."""
+    if selection is None:
+        return F.lit(True)
+    if isinstance(selection, str):
+        return c == selection
+    if isinstance(selection, Matcher):
+        return selection.rows(c)
+    parts = [row_condition(c, p) for p in selection]
+    return reduce(or_, parts) if parts else F.lit(False)
 
 
 def pick(names: Sequence[str], selection: Selection) -> list[str]:
@@ -69,7 +108,7 @@ def pick(names: Sequence[str], selection: Selection) -> list[str]:
         if selection not in names:
             raise ValueError(f"Can't select '{selection}': no such name")
         return [selection]
-    if callable(selection):
+    if isinstance(selection, Matcher):
         return list(dict.fromkeys(selection(names)))
     out: dict[str, None] = {}
     for part in selection:
@@ -79,10 +118,7 @@ def pick(names: Sequence[str], selection: Selection) -> list[str]:
 
 def select_rows(df: DataFrame, selection: Selection, column: str = "var_name") -> DataFrame:
     """Rows of a metadata table whose name is selected; table order is kept."""
-    if selection is None:
-        return df
-    names = [r[0] for r in df.select(column).distinct().collect()]
-    return df.filter(q(column).isin(pick(names, selection)))
+    return df if selection is None else df.filter(row_condition(q(column), selection))
 
 
 def mutate_at(df: DataFrame, selection: Selection, f: Callable[[Column], Column]) -> DataFrame:

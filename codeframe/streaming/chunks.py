@@ -17,11 +17,13 @@ from pyspark.sql import types as T
 from ..codebook import Codebook
 from ..metadata import ALL_ATTRS, VarMeta, all_meta, q, with_meta
 from ..operators.bind import bind_rows
+from ..operators.joins import plan_bytes
 from ..operators.labels import set_attributes
 from ..select import Selection
 from ..sources.scratch import scratch_path
 
 CHUNK_SIZE = 10_000
+MAX_BROADCAST_SPLITS = 500_000  # about 100 bytes each
 
 
 # ---------------------------------------------------------------- row numbers
@@ -29,10 +31,11 @@ CHUNK_SIZE = 10_000
 def with_row_no(df: DataFrame, name: str = "row_no") -> DataFrame:
     """Number the rows of a file scan 1, 2, ... in file and line order, without a sort.
 
-    Each block of a file (path, start offset) is one run of consecutive ids. One small table
-    of block sizes, one row per input split, gives every block its offset. If the two scans
-    were split differently (another cluster size between them), the query stops instead of
-    numbering wrongly; ``spark.sql.files.minPartitionNum`` pins the splits.
+    Each block of a file (path, start offset) is one run of consecutive ids. A table of block
+    sizes, one row per input split, gives every block its offset; it is broadcast if the
+    number of splits is known to be small enough. If the two scans were split differently
+    (another cluster size between them), the query stops instead of numbering wrongly;
+    ``spark.sql.files.minPartitionNum`` pins the splits.
     """
     meta = {c: m for c, m in all_meta(df).items()}
     tagged = df.select(
@@ -50,7 +53,7 @@ def with_row_no(df: DataFrame, name: str = "row_no") -> DataFrame:
         F.col("__file").alias("__bfile"), F.col("__start").alias("__bstart"), F.col("__len").alias("__blen"),
         "__first", F.coalesce(F.sum("__n").over(order), F.lit(0)).alias("__offset"))
     joined = tagged.join(
-        F.broadcast(offsets),
+        F.broadcast(offsets) if _split_bound(df) <= MAX_BROADCAST_SPLITS else offsets,
         (F.col("__file") == F.col("__bfile")) & (F.col("__start") == F.col("__bstart")) & (F.col("__len") == F.col("__blen")),
         "left")
     number = F.col("__offset") + (F.col("__id") - F.col("__first")) + 1
@@ -59,6 +62,12 @@ def with_row_no(df: DataFrame, name: str = "row_no") -> DataFrame:
     return with_meta(joined.select(*[q(c) for c in df.columns], checked.alias(name)), meta)
 
 
+def _split_bound(df: DataFrame) -> int:
+    """Upper bound of the number of input splits: one per file and one per full split."""
+    split = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return len(df.inputFiles()) + (plan_bytes(df) or 0) // max(int(split), 1) * 2 + 1024
+
+
 def with_chunk_id(df: DataFrame, chunk_size: int = CHUNK_SIZE, row_no: str = "row_no", name: str = "chunk_id") -> DataFrame:
     """Chunk number (from 0) out of the row number."""
     return df.withColumn(name, F.floor((q(row_no) - 1) / F.lit(chunk_size)).cast("bigint"))
