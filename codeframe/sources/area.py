@@ -6,6 +6,8 @@ Columns are read as text and typed on all their values (one aggregate over the f
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,12 +36,9 @@ def _text_csv(spark: SparkSession, path: str, member: Selection, charset: str, *
         text = lines.select("line_no", F.col("raw").cast("string").alias("value") if canonical(charset) == "UTF-8"
                             else F.decode("raw", canonical(charset)).alias("value"))
         header = text.filter("line_no = 1").first()["value"]
-        import csv
-        cols = next(csv.reader([header.lstrip("﻿")]))
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-        parsed = text.filter("line_no > 1 and value != ''").select(
-            F.from_csv("value", schema.simpleString()[len("struct<"):-1] if all(c.isidentifier() for c in cols)
-                       else ", ".join(f"`{c}` string" for c in cols), options).alias("r"))
+        cols = next(csv.reader([header.lstrip("\ufeff")]))
+        ddl = ", ".join("`" + c.replace("`", "``") + "` string" for c in cols)
+        parsed = text.filter("line_no > 1 and value != ''").select(F.from_csv("value", ddl, options).alias("r"))
         return parsed.select(*[F.col("r").getField(c).alias(c) for c in cols])
     if ext == "":
         names = find_files(spark, path, r"(csv|gz)", member)

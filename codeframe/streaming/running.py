@@ -74,6 +74,9 @@ def load_stream(stream: DataFrame, table: str, checkpoint: str | None = None, is
 
 
 def load_rows(df: DataFrame, table: str, is_path: bool = True) -> None:
-    """The batch form: one distributed append, no chunks needed."""
+    """The batch form: one distributed append, no chunks needed.
+
+    Not for a path that a stream loads: the stream's own log decides what counts there.
+    """
     writer = df.write.mode("append")
     writer.parquet(table) if is_path else writer.saveAsTable(table)
