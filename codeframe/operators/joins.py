@@ -8,9 +8,10 @@ Plan of every join:
   (``approx_top_k`` over key hashes: no shuffle, at most ``HOT_KEYS`` longs come back). Rows
   of a hot key are spread over a number of salts that grows with the key's share, and only
   the boundary rows of those keys are repeated, once per salt.
-* Right and full joins are an inner or left join plus the boundary rows whose key does not
-  occur in the data (an anti join against pre-aggregated keys), so that the data side is
-  never the side a skewed outer join cannot split.
+* Without hot keys, right and full joins are Spark's own. With hot keys, or with a boundary
+  side that can be broadcast, they are an inner or left join plus the boundary rows whose key
+  does not occur in the data (an anti join against pre-aggregated keys): the data side is
+  then never the side that a skewed or broadcast outer join cannot handle.
 
 Which keys count as hot changes only the speed, never the result.
 """
@@ -19,8 +20,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Sequence
+from dataclasses import replace
 from functools import cached_property, reduce
 from operator import and_
 
@@ -104,24 +105,32 @@ def salted(left: DataFrame, right: DataFrame, lkeys: Sequence[str], rkeys: Seque
     )
 
 
+def needs_salt_check(left: DataFrame, right: DataFrame, skew: str) -> bool:
+    """Is this a join that shuffles both sides (neither can be broadcast)?"""
+    if skew not in ("salt", "aqe"):
+        raise ValueError("skew must be 'salt' or 'aqe'")
+    return skew == "salt" and not fits_broadcast(right) and not fits_broadcast(left)
+
+
 def skew_join(left: DataFrame, right: DataFrame, lkeys: Sequence[str], rkeys: Sequence[str], how: str,
-              skew: str = "salt") -> DataFrame:
-    """NULL-safe equi-join that may keep left rows (inner, left, left_semi, left_anti).
+              skew: str = "salt", hot: list[tuple[int, float]] | None = None, null_safe: bool = True) -> DataFrame:
+    """Equi-join that may keep left rows (inner, left, left_semi, left_anti).
 
-    The two sides must share no column name. ``skew="aqe"`` leaves hot keys to Spark's
-    run-time skew handling and saves the sketch pass.
+    The two sides must share no column name. With ``null_safe`` a NULL key meets a NULL key;
+    without it, a partitioning or bucketing on the keys can be used again. ``skew="aqe"`` leaves hot keys to Spark's
+    run-time skew handling and saves the sketch pass; ``hot`` gives the hot keys if they are
+    known.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported: {how}")
-    cond = [q(a).eqNullSafe(q(b)) for a, b in zip(lkeys, rkeys)]
-    if skew == "salt" and not fits_broadcast(right) and not fits_broadcast(left):
-        hot = hot_keys(left, lkeys)
-        if hot:
-            left, right = salted(left, right, lkeys, rkeys, hot)
-            right = right.withColumnRenamed("__salt", "__rsalt")
-            cond.append(q("__salt") == q("__rsalt"))
-            out = left.join(right, reduce(and_, cond), how)
-            return out.drop("__salt", "__rsalt")
+    cond = [q(a).eqNullSafe(q(b)) if null_safe else q(a) == q(b) for a, b in zip(lkeys, rkeys)]
+    if hot is None:
+        hot = hot_keys(left, lkeys) if needs_salt_check(left, right, skew) else []
+    if hot:
+        left, right = salted(left, right, lkeys, rkeys, hot)
+        right = right.withColumnRenamed("__salt", "__rsalt")
+        cond.append(q("__salt") == q("__rsalt"))
+        return left.join(right, reduce(and_, cond), how).drop("__salt", "__rsalt")
     return left.join(right, reduce(and_, cond), how)
 
 
@@ -216,14 +225,25 @@ def align_keys(data: DataFrame, shape: DataFrame, by: list[tuple[str, str]], eag
 
 # ---------------------------------------------------------------- audited join
 
-@dataclass
 class JoinResult:
-    """Joined table plus the rows each side lost; all parts are lazy."""
+    """Joined table ``df`` plus the rows each side lost.
+
+    The lost rows are planned only when asked for, so a plain join pays nothing for them.
+    """
+
+    def __init__(self, df: DataFrame, data: Callable[[], DataFrame], shape: Callable[[], DataFrame],
+                 geometry: str | None = None):
+        self.df = df
+        self._data, self._shape = data, shape
+        self.geometry = geometry
 
-    df: DataFrame
-    unmatched_data: DataFrame
-    unmatched_shape: DataFrame
-    geometry: str | None = None
+    @cached_property
+    def unmatched_data(self) -> DataFrame:
+        return self._data()
+
+    @cached_property
+    def unmatched_shape(self) -> DataFrame:
+        return self._shape()
 
     @cached_property
     def counts(self) -> dict[str, int]:
@@ -279,39 +299,59 @@ def shape_join(data: DataFrame, shape: DataFrame, by, how: str = "inner", suffix
     def finish(df: DataFrame) -> DataFrame:
         return df.select(*[q(c).alias(d_out[c]) for c in data.columns], *[q(inner_names[c]).alias(s_out[c]) for c in rest])
 
-    main = finish(skew_join(data, right, dkeys, rkeys, "left" if how in ("left", "full") else "inner", skew))
-    lonely = _absent(right, rkeys, data, dkeys, skew)
-    if how in ("right", "full"):
-        back = dict(zip(dkeys, rkeys))
-        extra = lonely.select(
-            *[(q(back[c]) if c in back else F.lit(None).cast(data.schema[c].dataType)).alias(c) for c in data.columns],
-            *[q(inner_names[c]) for c in rest])
-        main = main.unionByName(finish(extra))
+    # One sketch of the data keys serves the join and both reports.
+    hot = hot_keys(data, dkeys) if needs_salt_check(data, right, skew) else []
+    shape_is_small = fits_broadcast(right)
+    if how in ("right", "full") and not hot and not shape_is_small:
+        cond = reduce(and_, [q(a).eqNullSafe(q(b)) for a, b in zip(dkeys, rkeys)])
+        tagged = data.withColumn("__in_data", F.lit(True))
+        both = tagged.join(right, cond, how)
+        main = finish(both.select(
+            *[F.when(F.col("__in_data"), q(c)).otherwise(q(rkeys[dkeys.index(c)])).alias(c) if c in dkeys else q(c)
+              for c in data.columns],
+            *[q(inner_names[c]) for c in rest]))
+    else:
+        main = finish(skew_join(data, right, dkeys, rkeys, "left" if how in ("left", "full") else "inner", skew, hot))
+        if how in ("right", "full"):
+            back = dict(zip(dkeys, rkeys))
+            extra = _absent(right, rkeys, data, dkeys, hot, shape_is_small).select(
+                *[(q(back[c]) if c in back else F.lit(None).cast(data.schema[c].dataType)).alias(c) for c in data.columns],
+                *[q(inner_names[c]) for c in rest])
+            main = main.unionByName(finish(extra))
     metas = {d_out[c]: m for c, m in all_meta(data).items()}
     metas.update({s_out[c]: m for c, m in all_meta(shape).items() if c in s_out})
     metas.update({d_out[c]: m for c, m in key_meta.items()})
-    no_data, no_shape = data.limit(0), shape.limit(0)
-    if how in ("inner", "right"):
+
+    def lost_data() -> DataFrame:
+        if how in ("left", "full"):
+            return data.limit(0)
         seen = right.select(*rkeys).distinct()
-        no_data = with_meta(skew_join(data, seen, dkeys, rkeys, "left_anti", skew), all_meta(data))
-    if how in ("inner", "left"):
+        return with_meta(skew_join(data, seen, dkeys, rkeys, "left_anti", skew, hot), all_meta(data))
+
+    def lost_shape() -> DataFrame:
+        if how in ("right", "full"):
+            return shape.limit(0)
         inside = {**k, **inner_names}
-        no_shape = with_meta(lonely.select(*[q(inside[c]).alias(c) for c in shape.columns]), all_meta(shape))
-    geo = s_out.get(geometry)
-    return JoinResult(with_meta(main, metas), no_data, no_shape, geo)
+        alone = _absent(right, rkeys, data, dkeys, hot, shape_is_small)
+        return with_meta(alone.select(*[q(inside[c]).alias(c) for c in shape.columns]), all_meta(shape))
+
+    return JoinResult(with_meta(main, metas), lost_data, lost_shape, s_out.get(geometry))
 
 
-def _absent(right: DataFrame, rkeys: list[str], data: DataFrame, dkeys: list[str], skew: str) -> DataFrame:
+def _absent(right: DataFrame, rkeys: list[str], data: DataFrame, dkeys: list[str], hot: list, right_is_small: bool) -> DataFrame:
     """Rows of ``right`` whose key does not occur in ``data``.
 
-    Data keys are made distinct before the shuffle. If ``right`` is small, only keys that
-    occur in it are kept first, so the anti join's other side is as small as ``right``.
+    Data keys are made distinct before the shuffle, so no key is hot any more on that side.
+    If ``right`` is small, only keys that occur in it are kept first: the anti join's other
+    side is then no larger than ``right``.
     """
     keys = data.select(*[q(d).alias(f"__d{i}") for i, d in enumerate(dkeys)])
     names = keys.columns
-    if fits_broadcast(right):
-        keys = skew_join(keys, right.select(*rkeys).distinct(), names, rkeys, "left_semi", "aqe")
-    return skew_join(right, keys.distinct(), rkeys, names, "left_anti", skew)
+    if right_is_small:
+        keys = skew_join(keys, right.select(*rkeys).distinct(), names, rkeys, "left_semi", hot=[])
+    keys = keys.distinct()
+    # Boundary rows are checked for hot keys of their own only if both sides must be shuffled.
+    return skew_join(right, keys, rkeys, names, "left_anti", hot=[] if right_is_small else None)
 
 
 def inner_join(data, shape, by, **kw) -> JoinResult:
@@ -361,11 +401,11 @@ def coded_area_with_boundaries(data: DataFrame, shape: DataFrame, shape_key: str
 def rectangularize(person: DataFrame, household: DataFrame, keys: Sequence[str], skew: str = "salt") -> DataFrame:
     """Put the household variables on every person row (persons without household are kept).
 
-    Columns that both have stay as the person's.
+    Columns that both have stay as the person's. A NULL key belongs to no household.
     """
     keys = list(keys)
     rest = [c for c in household.columns if c not in person.columns]
     right = household.select(*[q(c).alias(f"__h{i}") for i, c in enumerate(keys)], *[q(c) for c in rest])
-    out = skew_join(person, right, keys, [f"__h{i}" for i in range(len(keys))], "left", skew)
+    out = skew_join(person, right, keys, [f"__h{i}" for i in range(len(keys))], "left", skew, null_safe=False)
     out = out.select(*[q(c) for c in person.columns], *[q(c) for c in rest])
     return with_meta(out, {**{c: m for c, m in all_meta(household).items() if c in rest}, **all_meta(person)})

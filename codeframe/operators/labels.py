@@ -28,7 +28,7 @@ from ..metadata import (
 )
 
 INLINE_CODES = 200  # longer code lists are joined instead of inlined
-MAX_NEW_LABELS = 100_000  # labels that fit into column metadata; larger sets stay a table
+MAX_NEW_LABELS = 20_000  # labels that fit into column metadata; larger sets stay a table
 
 Rule = Union[Callable[[Column, Column], Column], Column, str]
 
@@ -317,9 +317,7 @@ def unlabelled_values(df: DataFrame, col: str) -> DataFrame:
     if 0 < len(known) <= INLINE_CODES:
         return vals.filter(~F.col("val").isin(known)).distinct()
     if known:
-        kind = pa.string() if isinstance(dt, T.StringType) else pa.int64() if is_integral(dt) else pa.float64()
-        codes = df.sparkSession.createDataFrame(pa.table({"val": pa.array(known, kind)}))
-        return vals.join(F.broadcast(codes), "val", "left_anti").distinct()
+        return vals.join(F.broadcast(_code_table(df, col, get_meta(df, col))), "val", "left_anti").distinct()
     return vals.distinct()
 
 
@@ -359,26 +357,35 @@ def lbl_add_vals(df: DataFrame, col: str, labeller=None, vals: list | None = Non
 
 
 def lbl_clean(df: DataFrame, cols: str | list[str] | None = None) -> DataFrame:
-    """Drop labels whose value does not occur; all columns in one aggregate.
+    """Drop labels whose value does not occur; all ordinary columns in one aggregate.
 
-    Each collected set holds at most the labels of its column.
+    Each collected set holds at most the labels of its column. Columns with long code lists
+    are joined with their list instead.
     """
     wanted = [cols] if isinstance(cols, str) else cols if cols is not None else labelled_columns(df)
     metas = {c: get_meta(df, c) for c in wanted}
     metas = {c: m for c, m in metas.items() if m.labelled}
-    if not metas:
-        return df
-    aggs = []
-    for i, (c, m) in enumerate(metas.items()):
-        dt = df.schema[c].dataType
-        known = [_code(v, dt) for v, _ in m.val_labels]
-        aggs.append(F.collect_set(F.when(q(c).isin(known), q(c))).alias(f"s{i}"))
-    row = df.agg(*aggs).first()
-    new = {}
-    for i, (c, m) in enumerate(metas.items()):
-        used = {_plain(v) for v in row[f"s{i}"]}
-        new[c] = m.with_labels([p for p in m.val_labels if _plain(p[0]) in used])
-    return with_meta(df, new)
+    used: dict[str, set] = {}
+    short = [c for c, m in metas.items() if len(m.val_labels) <= INLINE_CODES]
+    if short:
+        aggs = []
+        for i, c in enumerate(short):
+            known = [_code(v, df.schema[c].dataType) for v, _ in metas[c].val_labels]
+            aggs.append(F.collect_set(F.when(q(c).isin(known), q(c))).alias(f"s{i}"))
+        row = df.agg(*aggs).first()
+        used = {c: {_plain(v) for v in row[f"s{i}"]} for i, c in enumerate(short)}
+    for c, m in metas.items():
+        if c not in used:
+            found = df.select(q(c).alias("val")).join(F.broadcast(_code_table(df, c, m)), "val", "left_semi").distinct()
+            used[c] = {_plain(r["val"]) for r in found.collect()}
+    return with_meta(df, {c: m.with_labels([p for p in m.val_labels if _plain(p[0]) in used[c]]) for c, m in metas.items()})
+
+
+def _code_table(df: DataFrame, col: str, meta: VarMeta) -> DataFrame:
+    """The codes of a label set as a table ``(val)``; as large as the metadata it comes from."""
+    dt = df.schema[col].dataType
+    kind = pa.string() if isinstance(dt, T.StringType) else pa.int64() if is_integral(dt) else pa.float64()
+    return df.sparkSession.createDataFrame(pa.table({"val": pa.array([_code(v, dt) for v, _ in meta.val_labels], kind)}))
 
 
 # ---------------------------------------------------------------- decoding and stripping

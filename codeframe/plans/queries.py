@@ -470,15 +470,14 @@ def area_table_inferred(spark, sf):
         F.concat(F.lit("G"), F.lpad(F.col("c_custkey").cast("string"), 9, "0")).alias("GISJOIN"),
         F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("STATEA"), F.col("c_mktsegment").alias("SEGMENT"),
         F.col("c_acctbal").cast("string").alias("ABO001"), F.col("c_nationkey").cast("string").alias("ABO002"))
-    # every file starts with a descriptive row, as enhanced area files do
-    files_ = rows.repartition(4, "GISJOIN")
-    tagged = files_.withColumn("__p", F.spark_partition_id()).withColumn("__o", F.lit(1))
-    heads = spark.range(4).select(
-        F.lit("GIS Join Match Code").alias("GISJOIN"), F.lit("State Code").alias("STATEA"), F.lit("Segment").alias("SEGMENT"),
-        F.lit("Account: Balance").alias("ABO001"), F.lit("Nation: Key").alias("ABO002"),
-        F.col("id").cast("int").alias("__p"), F.lit(0).alias("__o"))
-    (tagged.unionByName(heads).repartition(4, "__p").sortWithinPartitions("__p", "__o").drop("__p", "__o")
-     .write.option("header", True).csv(path))
+    names = rows.columns
+
+    def with_second_header(batches):  # every file starts with a descriptive row, as enhanced area files do
+        import pandas as pd
+        yield pd.DataFrame([["GIS Join Match Code", "State Code", "Segment", "Account: Balance", "Nation: Key"]], columns=names)
+        yield from batches
+
+    rows.mapInPandas(with_second_header, rows.schema).write.option("header", True).csv(path)
     return area.read_area_table(spark, path)
 
 

@@ -108,13 +108,17 @@ def read_lines(spark: SparkSession, path, n_max: int | None = None, spread_gzip:
     if n_max is not None:
         from ..streaming.chunks import with_row_no
         return with_row_no(lines, "__no").filter(F.col("__no") <= n_max).drop("__no")
-    if spread_gzip and isinstance(path, str) and path.endswith(".gz"):
-        n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-        lines = lines.withColumn("__seq", F.monotonically_increasing_id()).repartition(n, "__seq").drop("__seq")
-    return lines
+    return _spread(lines) if spread_gzip and isinstance(path, str) and path.endswith(".gz") else lines
 
 
-def _read_csv(spark: SparkSession, path, book: Codebook, n_max: int | None) -> DataFrame:
+def _spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of an unsplittable file out over the cluster, by their number."""
+    spark = df.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    return df.withColumn("__seq", F.monotonically_increasing_id()).repartition(n, "__seq").drop("__seq")
+
+
+def _read_csv(spark: SparkSession, path, book: Codebook, n_max: int | None, spread_gzip: bool = True) -> DataFrame:
     """Listed columns of a CSV with codebook types; the header is matched in upper case.
     CSV numbers carry their decimal point, so implied decimals do not apply."""
     if book.hierarchical:
@@ -123,6 +127,9 @@ def _read_csv(spark: SparkSession, path, book: Codebook, n_max: int | None) -> D
     if n_max is not None:
         from ..streaming.chunks import with_row_no
         raw = with_row_no(raw, "__no").filter(F.col("__no") <= n_max).drop("__no")
+    elif spread_gzip and isinstance(path, str) and path.endswith(".gz"):
+        wanted = {v.name.upper() for v in book.variables}
+        raw = _spread(raw.select(*[q(c) for c in raw.columns if c.upper() in wanted]))
     have = {c.upper(): c for c in raw.columns}
     cols = []
     for v in book.variables:
@@ -142,7 +149,7 @@ def read_micro(spark: SparkSession, codebook: Codebook | str, vars: Selection =
     path = _data_path(spark, book, data_file)
     small = book.prune(vars, "long")
     if _is_csv(path):
-        out = _read_csv(spark, path, small, n_max)
+        out = _read_csv(spark, path, small, n_max, spread_gzip)
     else:
         out = cut_lines(read_lines(spark, path, n_max, spread_gzip), small, book)
     return set_attributes(out, small, var_attrs)
@@ -175,7 +182,7 @@ def read_micro_list(spark: SparkSession, codebook: Codebook | str, vars: Selecti
     path = _data_path(spark, book, data_file)
     small = book.prune(vars, "list")
     if _is_csv(path):
-        return {"P": set_attributes(_read_csv(spark, path, small, n_max), small, var_attrs)}
+        return {"P": set_attributes(_read_csv(spark, path, small, n_max, spread_gzip), small, var_attrs)}
     lines = read_lines(spark, path, n_max, spread_gzip)
     if not book.hierarchical:
         return {"P": set_attributes(cut_lines(lines, small), small, var_attrs)}

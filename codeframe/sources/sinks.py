@@ -86,6 +86,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partiti
     writer.parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, path: str | None = None,
+                   mode: str = "errorifexists") -> None:
+    """Catalog table bucketed and sorted by the key variables.
+
+    Record types stored with the same keys and bucket count are joined, and households
+    picked out, without a shuffle.
+    """
+    writer = df.write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def write_hierarchical(household: DataFrame, person: DataFrame, path: str, variables: list[Variable], idvar: str,
                        rectypes: dict[str, DataFrame] | None = None, mode: str = "errorifexists") -> None:
     """Write record types into one file of mixed lines.

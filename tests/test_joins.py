@@ -168,3 +168,37 @@ def test_negative_zero_keys_meet(spark, no_broadcast):
     left = spark.createDataFrame([(-0.0,)] * 50 + [(0.0,)] * 50, "k double")
     right = spark.createDataFrame([(0.0, 1)], "k double, w int")
     assert cf.inner_join(left, right, "k").df.count() == 100
+
+
+def test_lost_rows_cost_nothing_until_asked(spark, no_broadcast, monkeypatch):
+    calls = []
+    real = J.hot_keys
+    monkeypatch.setattr(J, "hot_keys", lambda *a: calls.append(1) or real(*a))
+    left = skewed(spark)
+    right = spark.createDataFrame([(i, i) for i in range(60)], "k int, w int")
+    res = cf.inner_join(left, right, "k")
+    assert len(calls) == 1
+    assert res.unmatched_data.count() == 0 and len(calls) == 1
+
+
+@pytest.mark.parametrize("how", ["right", "full"])
+def test_plain_outer_join_without_hot_keys(spark, no_broadcast, how):
+    left = spark.range(200).select((F.col("id") % 100 + 50).alias("k"), F.col("id").alias("v"))
+    right = spark.range(100).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    out = J.shape_join(left, right, "k", how).df
+    assert "Anti" not in out._jdf.queryExecution().analyzed().toString()
+    assert out.count() == (150 if how == "right" else 250)
+    assert out.filter("k is null").count() == 0
+
+
+def test_bucketed_record_types_join_without_shuffle(spark, no_broadcast, tmp_path):
+    p = spark.range(100).selectExpr("id % 20 as SERIAL", "id as v")
+    h = spark.range(20).selectExpr("id as SERIAL", "id * 2 as w")
+    from codeframe.sources.sinks import write_bucketed
+    write_bucketed(p, "bucketed_p", ["SERIAL"], 4, str(tmp_path / "p"))
+    write_bucketed(h, "bucketed_h", ["SERIAL"], 4, str(tmp_path / "h"))
+    out = cf.rectangularize(spark.table("bucketed_p"), spark.table("bucketed_h"), ["SERIAL"], skew="aqe")
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 100
+    spark.sql("drop table bucketed_p")
+    spark.sql("drop table bucketed_h")

@@ -190,6 +190,11 @@ def test_as_factor_levels(spark):
     assert cf.is_factor(out, "x") and cf.get_meta(out, "x").levels[0] == "Yes"
 
 
+def test_clean_long_code_list(spark):
+    df = column(spark, [5, 999, 5000], [(i, f"L{i}") for i in range(1000)])
+    assert pairs(L.lbl_clean(df)) == [(5, "L5"), (999, "L999")]
+
+
 def test_long_code_list_joins(spark):
     big = tuple((i, f"L{i}") for i in range(1000))
     df = column(spark, [5, 999, 5000, None], big)
