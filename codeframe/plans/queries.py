@@ -12,11 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..codebook import Codebook, Variable, label_table, sorted_labels
+from ..codebook import Codebook, Variable, first_by_name, label_table, sorted_labels
 from ..functions import numbers, text
 from ..metadata import VarMeta, lbl, q, with_meta
 from ..operators import bind, joins, labels, models, recode, tabulate
-from ..select import ends_with, mutate_at, one_of, pick, starts_with
+from ..select import ends_with, matches, mutate_at, one_of, pick, select_rows, starts_with
 from ..sources import area, boundary, ddi, files, micro, sinks, textbook
 from ..sources.scratch import scratch_path
 from ..streaming import chunks, running
@@ -96,13 +96,23 @@ def frequency_shared_label(spark, sf):
                WHERE rn = 1 GROUP BY 1)
     SELECT {STATUS_SQL} AS o_orderstatus, round(n, 2) AS n, round(n / sum(n) OVER (), 9) AS share FROM f""")
 def household_frequency(spark, sf):
-    p = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    # the first person is picked before the join, which then reuses the shuffle by household
+    p = tabulate.first_per_group(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey", ["l_linenumber"])
     h = households(spark, sf).select(F.col("o_orderkey").alias("l_orderkey"), "o_orderstatus", "o_totalprice")
-    rows = joins.rectangularize(p, h, ["l_orderkey"])
-    out = tabulate.household_frequency(rows, "l_orderkey", "o_orderstatus", "o_totalprice", order=["l_linenumber"])
+    out = tabulate.weighted_frequency(joins.rectangularize(p, h, ["l_orderkey"]), "o_orderstatus", "o_totalprice")
     return out.select("o_orderstatus", F.round("n", 2).alias("n"), F.round("share", 9).alias("share"))
 
 
+@query(f"""
+    WITH f AS (SELECT l_returnflag, sum(l_quantity) AS n FROM (
+        SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity, l_returnflag) AS rn
+        FROM lineitem) WHERE rn = 1 GROUP BY 1)
+    SELECT {FLAG_SQL} AS l_returnflag, n, n / sum(n) OVER () AS share FROM f""")
+def household_frequency_of_persons(spark, sf):
+    return tabulate.household_frequency(persons(spark, sf), "l_orderkey", "l_returnflag", "l_quantity",
+                                        order=["l_linenumber", "l_partkey", "l_quantity", "l_returnflag"])
+
+
 @query("""
     SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice FROM (
         SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice)
@@ -495,6 +505,20 @@ def mixed_micro(spark, sf):
     return area.read_mixed_micro(spark, path, book)
 
 
+@query("SELECT least(5000, count(*)) AS n FROM lineitem")
+def first_lines(spark, sf):
+    return micro.read_micro(spark, _rect_file(spark, sf, "rect"), vars="l_linenumber", n_max=5000).agg(F.count("*").alias("n"))
+
+
+@query(f"""
+    SELECT {STATUS_SQL} AS o_orderstatus, count(*) AS n FROM orders WHERE o_totalprice > 100000 GROUP BY o_orderstatus""")
+def labels_on_catalog_table(spark, sf):
+    table(spark, sf, "orders").createOrReplaceTempView("codeframe_orders")
+    book = Codebook(variables=(Variable("o_orderstatus", "Status", val_labels=(*STATUS_LABELS, ("O", "Op"), ("Z", "Unused"))),))
+    df = micro.collect_with_labels(spark.table("codeframe_orders").filter("o_totalprice > 100000"), book)
+    return tabulate.weighted_frequency(df, "o_orderstatus", share=None)
+
+
 # ---------------------------------------------------------------- codebooks
 
 def _part_blocks(spark, sf):
@@ -590,6 +614,28 @@ def label_sets_sorted(spark, sf):
                        F.size("val_labels").cast("bigint").alias("n"))
 
 
+@query("""
+    SELECT lower(p_name) AS var_name, p_type AS var_label FROM (
+        SELECT *, row_number() OVER (PARTITION BY lower(p_name) ORDER BY p_partkey) AS rn FROM part)
+    WHERE rn = 1 AND (lower(p_name) LIKE 'red%' OR lower(p_name) LIKE '%gear' OR regexp_matches(lower(p_name), '^[hs].*bolt$'))""")
+def first_variable_by_name(spark, sf):
+    rows = table(spark, sf, "part").select(F.lower("p_name").alias("var_name"), F.col("p_partkey").alias("pos"), F.col("p_type").alias("var_label"))
+    chosen = select_rows(rows, [starts_with("RED"), ends_with("Gear"), matches("^[hs].*bolt$")])
+    return first_by_name(chosen).select("var_name", "var_label")
+
+
+@query("SELECT DISTINCT p_size AS val, '#' || p_size AS lbl FROM part WHERE p_size > 40")
+def unlabelled_values(spark, sf):
+    return labels.label_table_for_values(sizes(spark, sf), "p_size", lambda val: F.concat(F.lit("#"), val.cast("string")))
+
+
+@query("""
+    SELECT p_name AS lbl, CAST(p_partkey AS VARCHAR) AS val FROM part ORDER BY p_partkey LIMIT 20""")
+def smallest_label_codes(spark, sf):
+    rows = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("val"), F.col("p_name").alias("lbl"))
+    return tabulate.sort_labels(rows).limit(20)
+
+
 # ---------------------------------------------------------------- bundles
 
 @query("""
@@ -748,6 +794,23 @@ def chunk_tabulate(spark, sf):
     return parts.groupBy("l_returnflag", "high").agg(F.sum("n").alias("n"))
 
 
+@query("""
+    WITH c AS (SELECT count(*) AS n FROM lineitem)
+    SELECT k AS chunk_id, k * 10000 + 1 AS pos, least(10000, n - k * 10000) AS n
+    FROM c, (SELECT unnest(range(0, (n + 9999) // 10000)) AS k FROM c)""")
+def chunk_results_apart(spark, sf):
+    import pandas as pd
+    numbered = chunks.with_row_no(table(spark, sf, "lineitem").select("l_quantity"))
+    return chunks.chunk_list(numbered, lambda rows, pos: pd.DataFrame({"pos": [pos], "n": [len(rows)]}), "pos bigint, n bigint")
+
+
+@query("SELECT (count(*) + 9999) // 10000 AS chunks FROM lineitem")
+def chunk_side_effects(spark, sf):
+    stored = chunks.RowReader(chunks.with_row_no(table(spark, sf, "lineitem").select("l_quantity"))).stored
+    run = chunks.chunk_side_effect(stored, lambda rows, pos: len(rows) <= 10000)
+    return spark.createDataFrame([(run,)], "chunks bigint")
+
+
 @query("SELECT l_orderkey, l_extendedprice FROM lineitem WHERE l_returnflag = 'R' AND l_discount > 0.09")
 def chunk_select_cases(spark, sf):
     df = table(spark, sf, "lineitem").select("l_orderkey", "l_extendedprice", "l_returnflag", "l_discount")
@@ -911,6 +974,14 @@ def extract_log_recent(spark, sf):
     return ex.recent_extracts(ex.extract_log(_documents(spark, sf), collection="usa"), "usa").select("number", "description")
 
 
+@query("""
+    SELECT o_orderkey AS number, o_orderstatus = 'F' AND o_orderkey % 2 = 0 AS ready FROM orders
+    WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders WHERE o_orderkey % 5 <> 0)""")
+def extract_log_last(spark, sf):
+    log = ex.extract_log(_documents(spark, sf), collection="usa")
+    return ex.last_extract(log, "usa").select("number", ex.is_ready().alias("ready"))
+
+
 @query()
 def subsample_households(spark, sf):
     return ex.subsample(table(spark, sf, "lineitem"), 0.1, ["l_orderkey"]).groupBy("l_returnflag").agg(F.count("*").alias("n"))
