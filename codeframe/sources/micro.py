@@ -46,11 +46,11 @@ def cut_variable(line: Column, v: Variable, charset: str | None) -> Column:
 
 
 def rectype_expr(line: Column, book: Codebook) -> Column:
-    """Record-type code of a line, as text."""
+    """Record-type code of a line, as text. Codes are ASCII, so their bytes need no decoding."""
     ids = [v for v in book.variables if v.name == book.rectype_idvar]
     if len(ids) != 1:
         raise ValueError("Cannot support multiple rectype id variables." if ids else "record-type id is not in codebook")
-    return F.trim(slice_field(line, ids[0].start, ids[0].width, book.file_encoding, as_text=True))
+    return F.trim(slice_field(line, ids[0].start, ids[0].width, book.file_encoding, as_text=False))
 
 
 def _same_code(rt: Column, codes, width: int) -> Column:
