@@ -1,6 +1,13 @@
 """Labelled survey and census data on Spark."""
 
-from .codebook import (
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run on executors travel with their code: the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+from .codebook import (  # noqa: E402
     Codebook, CodebookTables, Variable, first_by_name, label_table, val_labels, var_desc, var_info, var_label,
 )
 from .metadata import (

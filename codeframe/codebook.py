@@ -278,7 +278,7 @@ def _single(obj, selection: Selection, what: str) -> VarMeta:
     if not names:
         raise ValueError("no variable selected")
     if len(names) > 1:
-        warnings.warn(f"Found multiple variables. Giving {what} from first.", stacklevel=3)
+        warnings.warn(f"several variables selected; this is the {what} of the first", stacklevel=3)
         names = [n for n in metas if n in names]
     return metas[names[0]]
 

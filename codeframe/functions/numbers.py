@@ -28,9 +28,9 @@ def strict_number(col: Column, as_type: str = "double", name: str = "variable")
     The test runs inside the same scan that uses the value, so it costs no extra pass.
     """
     parsed = to_number(col, as_type)
-    kind = "integer" if as_type in ("int", "bigint") else "numeric"
+    kind = "integer" if as_type in ("int", "bigint") else "number"
     return F.when(col.isNull(), F.lit(None).cast(as_type)).when(parsed.isNotNull(), parsed).otherwise(
-        F.raise_error(F.concat(F.lit(f"Could not convert {name} from text to {kind}: "), col)).cast(as_type)
+        F.raise_error(F.concat(F.lit(f"{name} has text that is no {kind}: "), col)).cast(as_type)
     )
 
 

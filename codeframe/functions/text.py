@@ -82,7 +82,7 @@ def capture(col: Column, pattern: str) -> dict[str, Column]:
     """One column per named group; text without a match gives ''."""
     java, names = numbered_groups(pattern)
     if not names:
-        raise ValueError("No named capture items in regex")
+        raise ValueError("the pattern names no group")
     return {name: F.regexp_extract(col, java, i) for name, i in names.items()}
 
 

@@ -39,10 +39,10 @@ def lbl(*args: Any, **kwargs: Any) -> Lbl:
     """
     unknown = set(kwargs) - {"val", "lbl"}
     if unknown:
-        raise ValueError("Expected only arguments named `lbl` and `val`")
+        raise ValueError("lbl() knows the names `val` and `lbl` only")
     total = len(args) + len(kwargs)
     if total not in (1, 2):
-        raise ValueError("Expected either 1 or 2 arguments.")
+        raise ValueError("lbl() takes one or two arguments")
     if total == 1:
         return Lbl(val=kwargs.get("val"), lbl=kwargs["lbl"] if "lbl" in kwargs else (args[0] if args else None))
     if not kwargs:
@@ -56,17 +56,17 @@ def fill_lbl(target: Any, labels: list[tuple[Any, str]]) -> Lbl:
     """Complete an open half of ``target`` from an existing label set."""
     target = target if isinstance(target, Lbl) else Lbl(val=target)
     if target.val is None and target.lbl is None:
-        raise ValueError("Could not fill in label because neither label nor value is specified")
+        raise ValueError("a target needs a value or a label")
     if target.lbl is None:
         for v, text in labels:
             if v == target.val:
                 return Lbl(target.val, text)
-        raise ValueError(f"Could not find value {target.val} in existing labels.")
+        raise ValueError(f"value {target.val} has no label that could be taken over")
     if target.val is None:
         for v, text in labels:
             if text == target.lbl:
                 return Lbl(v, target.lbl)
-        raise ValueError(f"Could not find label {target.lbl} in existing labels.")
+        raise ValueError(f"no value is labelled {target.lbl!r}")
     return target
 
 

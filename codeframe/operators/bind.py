@@ -47,7 +47,7 @@ def _common_type(a: T.DataType, b: T.DataType, col: str) -> T.DataType:
         return T.LongType()
     if is_numeric(a) and is_numeric(b):
         return T.DoubleType()
-    raise TypeError(f"Can't combine column '{col}': {a.simpleString()} and {b.simpleString()}")
+    raise TypeError(f"column {col} is {a.simpleString()} in one table and {b.simpleString()} in another")
 
 
 def bind_rows(*frames, id: str | None = None) -> DataFrame:
@@ -74,8 +74,7 @@ def bind_rows(*frames, id: str | None = None) -> DataFrame:
     lost = [c for c, m in metas.items() if m is None]
     if lost:
         warnings.warn(
-            "Attributes have been removed from the following columns, which had incompatible "
-            "attributes across the data frames to be combined: " + ", ".join(lost),
+            "metadata dropped where the tables disagree on it: " + ", ".join(lost),
             AttributesDropped, stacklevel=2)
     plain = []
     for i, (key, f) in enumerate(parts):
@@ -103,10 +102,10 @@ def bind_layers(layers: dict[str, DataFrame], add_layer: bool | None = None) ->
             types.setdefault(fld.name, set()).add(fld.dataType.simpleString())
     if any(len(t) > 1 for t in types.values()):
         bad = ", ".join(sorted(c for c, t in types.items() if len(t) > 1))
-        raise TypeError(f"Cannot combine shape files because variable types don't match: {bad}")
+        raise TypeError(f"layers disagree on the type of {bad}")
     for c, t in types.items():
         if any(c not in f.columns for f in layers.values()) and next(iter(t)) not in ("string", "double", "binary"):
-            raise TypeError(f"Unexpected variable type in shape file: {c} is {next(iter(t))}")
+            raise TypeError(f"a layer lacks {c}, and {next(iter(t))} columns are not filled up")
     tagged = [f.withColumn("layer", F.lit(k)) if add else f for k, f in layers.items()]
     if len(tagged) == 1:
         return tagged[0]

@@ -148,7 +148,7 @@ def parse_by(by) -> list[tuple[str, str]]:
 def check_names(names: Sequence[str], df: DataFrame, what: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:
-        raise ValueError(f"Variables {', '.join(missing)} are not in {what}.")
+        raise ValueError(f"{what} has no column {', '.join(missing)}")
 
 
 def _kind(df: DataFrame, c: str) -> str:
@@ -186,7 +186,7 @@ def align_keys(data: DataFrame, shape: DataFrame, by: list[tuple[str, str]], eag
         elif {dk, sk} == {"text", "factor"}:
             continue
         elif "factor" in (dk, sk):
-            raise TypeError(f"Shape data has {sk} id var {s}, but data has {dk} id var {d}")
+            raise TypeError(f"a factor key joins text only: {d} is {dk}, {s} is {sk}")
         elif sk == "text" and dk in ("double", "integer"):
             parse[1][s] = data.schema[d].dataType.simpleString()
         elif dk == "text" and sk in ("double", "integer"):
@@ -199,7 +199,7 @@ def align_keys(data: DataFrame, shape: DataFrame, by: list[tuple[str, str]], eag
         for df, todo in ((data, parse[0]), (shape, parse[1])):
             bad = {c: n for c, n in count_not_numeric(df, todo).items() if n}
             if bad:
-                raise ValueError("Could not convert " + ", ".join(bad) + " from text to numeric.")
+                raise ValueError("key columns with text that is no number: " + ", ".join(bad))
     out = []
     for side, df, p, c in ((0, data, parse[0], casts[0]), (1, shape, parse[1], casts[1])):
         metas = all_meta(df)
@@ -275,8 +275,8 @@ def shape_join(data: DataFrame, shape: DataFrame, by, how: str = "inner", suffix
     if how not in ("inner", "left", "right", "full"):
         raise ValueError("how must be one of inner, left, right, full")
     if require_geometry and how in ("left", "full"):
-        raise ValueError("Only inner and right joins are supported with require_geometry: unmatched data rows "
-                         "would have no geometry.")
+        raise ValueError("require_geometry allows inner and right joins: in the others, unmatched data rows "
+                         "have no geometry")
     pairs = parse_by(by)
     dkeys, skeys = [d for d, _ in pairs], [s for _, s in pairs]
     check_names(skeys, shape, "shape data")

@@ -43,7 +43,7 @@ def _rule_column(rule: Rule, val: Column, lbl: Column) -> Column:
     if callable(rule):
         out = rule(val, lbl)
         return out if isinstance(out, Column) else F.lit(out)
-    raise TypeError(f"Can't convert a {type(rule).__name__} to function")
+    raise TypeError(f"a rule is a function of columns, a column or SQL text, not a {type(rule).__name__}")
 
 
 def _plain(v: Any) -> Any:
@@ -155,7 +155,7 @@ def _unique_or_fail(pairs) -> list[tuple[Any, str]]:
     double = {v: ts for v, ts in seen.items() if len(ts) > 1}
     if double:
         lines = ", ".join(f"{v} -> " + ", ".join(f"'{t}'" for t in ts) for v, ts in double.items())
-        raise ValueError(f"Some values have more than 1 label: {lines}")
+        raise ValueError(f"values with several labels: {lines}")
     return sorted(distinct, key=_sort_key)
 
 
@@ -169,7 +169,7 @@ def lbl_na_if(df: DataFrame, col: str, rule: Rule) -> DataFrame:
     meta = get_meta(df, col)
     hits = apply_rule(df, meta.val_labels, rule)
     if any(h is None for h in hits):
-        raise ValueError("Predicates cannot evaluate to missing in `lbl_na_if()`.")
+        raise ValueError("the rule is NULL for some labels")
     dt = df.schema[col].dataType
     zap = [_code(v, dt) for (v, _), h in zip(meta.val_labels, hits) if h]
     kept = [p for p, h in zip(meta.val_labels, hits) if not h]
@@ -212,7 +212,7 @@ def lbl_relabel(df: DataFrame, col: str, *rules: tuple[Any, Rule]) -> DataFrame:
     """
     meta = get_meta(df, col)
     if not meta.labelled:
-        raise ValueError("Vector must be labelled. To add labels to an unlabelled vector use 'lbl_define()'.")
+        raise ValueError("the column has no labels; lbl_define() gives it some")
     old = list(meta.val_labels)
     new: list[tuple[Any, str]] = list(old)
     for target, rule in rules:
@@ -235,12 +235,12 @@ def lbl_define(df: DataFrame, col: str, *rules: tuple[Any, Rule]) -> DataFrame:
     """
     meta = get_meta(df, col)
     if meta.labelled:
-        raise ValueError("Vector should not have labels. To relabel a labelled vector use 'lbl_relabel()'.")
+        raise ValueError("the column has labels already; lbl_relabel() changes them")
     goals = []
     for target, _ in rules:
         goal = target if isinstance(target, Lbl) else Lbl(val=target)
         if goal.val is None:
-            raise ValueError(f"Could not find label {goal.lbl} in existing labels.")
+            raise ValueError(f"the target {goal.lbl!r} needs a value")
         goals.append(goal)
     old_type = df.schema[col].dataType
     x = q(col)
@@ -260,8 +260,8 @@ def lbl_define(df: DataFrame, col: str, *rules: tuple[Any, Rule]) -> DataFrame:
         .first()
     )
     if found["clash"]:
-        raise ValueError("Some values have more than 1 label: "
-                         + ", ".join(f"{_plain(v)} -> 'NA'" for v in sorted(found["clash"])))
+        raise ValueError("target codes that unmatched rows hold as plain values: "
+                         + ", ".join(str(_plain(v)) for v in sorted(found["clash"])))
     used = [goals[i] for i in sorted(found["used"])]
     labels = [p for p in _unique_or_fail([(_plain(g.val), g.lbl) for g in used]) if p[1] is not None]
     dt = T.StringType() if isinstance(old_type, T.StringType) else _out_type(old_type, [g.val for g in goals])
@@ -348,7 +348,7 @@ def lbl_add_vals(df: DataFrame, col: str, labeller=None, vals: list | None = Non
         known = {v for v, _ in old}
         wanted = [_plain(v) for v in vals]
         if any(v in known for v in wanted):
-            raise ValueError("Some values have more than 1 label.")
+            raise ValueError("some of the values are labelled already")
         kind = pa.string() if isinstance(dt, T.StringType) else pa.float64() if not is_integral(dt) else pa.int64()
         table = pa.table({"val": pa.array([_code(v, dt) for v in wanted], kind)})
         frame = df.sparkSession.createDataFrame(table).select("val", _as_labeller(labeller, dt).alias("lbl"))
@@ -532,7 +532,7 @@ def set_attributes(df: DataFrame, variables, var_attrs=ALL_ATTRS) -> DataFrame:
                 if label_is_num != is_numeric(df.schema[v.name].dataType):
                     bad.append(v.name)
     if bad:
-        raise TypeError("Data and labels are not of the same type for variables: " + ", ".join(dict.fromkeys(bad)))
+        raise TypeError("text labels for number columns, or the other way round: " + ", ".join(dict.fromkeys(bad)))
     new = {}
     for v in present:
         old = new.get(v.name) or get_meta(df, v.name)

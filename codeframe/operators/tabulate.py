@@ -11,8 +11,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..metadata import all_meta, is_labelled, q, with_meta
+from ..sources.scratch import scratch_path
 from .labels import as_factor
 
 
@@ -167,11 +169,23 @@ def top_k(df: DataFrame, k: int, by: str, ties: Sequence[str] = ()) -> DataFrame
 
 
 def rows_at_extremes(df: DataFrame, col: str) -> DataFrame:
-    """Rows where the column is at its overall minimum or maximum."""
+    """Rows where the column is at its overall minimum or maximum.
+
+    A floating-point aggregate may come out one bit different when it is computed again, so
+    such a table is written to the scratch folder first and compared with itself.
+    """
+    if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)) and _aggregates(df):
+        path = scratch_path(df.sparkSession, "extremes")
+        df.write.parquet(path)
+        df = with_meta(df.sparkSession.read.schema(df.schema).parquet(path), all_meta(df))
     low, high = df.agg(F.min(q(col))).scalar(), df.agg(F.max(q(col))).scalar()
     return df.filter((q(col) == low) | (q(col) == high))
 
 
+def _aggregates(df: DataFrame) -> bool:
+    return "Aggregate [" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def sort_labels(label_table: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Label rows by value; codes that are numbers sort as numbers, before text codes."""
     v = F.col("val").cast("string")

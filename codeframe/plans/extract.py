@@ -76,13 +76,13 @@ def validate(extract: Extract) -> Extract:
     missing = [k for k in ("collection", "description", "data_structure", "data_format", "samples", "variables")
                if getattr(extract, k) is None or (isinstance(getattr(extract, k), tuple) and not getattr(extract, k))]
     if missing:
-        raise ValueError("The following elements of an extract must not contain missing values: " + ", ".join(missing))
+        raise ValueError("an extract needs: " + ", ".join(missing))
     if extract.data_format not in (*DATA_FORMATS, "parquet"):
         raise ValueError(f"data_format must be one of {', '.join(DATA_FORMATS)}")
     if extract.data_structure != "rectangular":
-        raise ValueError('Currently, `data_structure` must be equal to "rectangular"')
+        raise ValueError("data_structure must be rectangular")
     if extract.rectangular_on not in RECTANGULAR_ON:
-        raise ValueError('Currently, `rectangular_on` must be equal to "P"')
+        raise ValueError("rectangular_on must be P")
     return extract
 
 
@@ -102,8 +102,7 @@ def _add(extract: Extract, what: str, names) -> Extract:
     have = getattr(extract, what) or ()
     twice = [n for n in names if n in have]
     if twice:
-        warnings.warn(f"The following {what} are already included in the supplied extract definition, and thus will "
-                      f"not be added: {', '.join(twice)}", stacklevel=3)
+        warnings.warn(f"{what} that the extract has already: {', '.join(twice)}", stacklevel=3)
     return replace(extract, **{what: (*have, *[n for n in dict.fromkeys(names) if n not in have])})
 
 
@@ -114,8 +113,7 @@ def _remove(extract: Extract, what: str, names) -> Extract:
     have = getattr(extract, what) or ()
     absent = [n for n in names if n not in have]
     if absent:
-        warnings.warn(f"The following {what} are not included in the supplied extract definition, and thus will not "
-                      f"be removed: {', '.join(absent)}", stacklevel=3)
+        warnings.warn(f"{what} that the extract does not have: {', '.join(absent)}", stacklevel=3)
     return replace(extract, **{what: tuple(n for n in have if n not in names)})
 
 
@@ -173,8 +171,7 @@ def _from_dict(d: dict, collection: str) -> Extract:
 def extract_from_json(source: str, collection: str) -> Extract:
     """Exactly one definition, from JSON text or from a file path."""
     if collection not in _COLLECTIONS:
-        raise ValueError(f'"{collection}" is not a valid code for a data collection. To see all valid codes, use '
-                         "known_collections()")
+        raise ValueError(f"unknown collection {collection}; known_collections() lists the codes")
     text = source
     if not source.lstrip().startswith(("{", "[")):
         with open(source, encoding="utf-8") as f:
@@ -182,7 +179,7 @@ def extract_from_json(source: str, collection: str) -> Extract:
     found = json.loads(text)
     found = found if isinstance(found, list) else [found]
     if len(found) != 1:
-        raise ValueError("the JSON should contain the definition of one and only one extract")
+        raise ValueError(f"expected one extract definition, found {len(found)}")
     return validate(_from_dict(found[0], collection))
 
 
@@ -230,17 +227,15 @@ def parse_extract_id(extract) -> tuple[str, int]:
     """(collection, number) from an :class:`Extract`, a pair, or "collection:number"."""
     if isinstance(extract, Extract):
         if extract.number is None:
-            raise ValueError("Extract number cannot be a missing value; please supply a submitted extract, or the data "
-                             "collection and number of one.")
+            raise ValueError("an extract that was not submitted has no number")
         return extract.collection.lower(), extract.number
     parts = extract.split(":") if isinstance(extract, str) else list(extract)
     if len(parts) != 2:
-        raise ValueError("Expected an Extract, a pair of collection and number, or a single string with a ':' "
-                         "separating the collection from the extract number.")
+        raise ValueError("name an extract as Extract, (collection, number) or 'collection:number'")
     try:
         return str(parts[0]).lower(), int(float(parts[1]))
     except ValueError as err:
-        raise ValueError("Expected extract number to be a number") from err
+        raise ValueError(f"not an extract number: {parts[1]}") from err
 
 
 def extract_info(log: DataFrame, extract) -> DataFrame:

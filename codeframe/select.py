@@ -106,7 +106,7 @@ def pick(names: Sequence[str], selection: Selection) -> list[str]:
         return list(names)
     if isinstance(selection, str):
         if selection not in names:
-            raise ValueError(f"Can't select '{selection}': no such name")
+            raise ValueError(f"no such name: {selection}")
         return [selection]
     if isinstance(selection, Matcher):
         return list(dict.fromkeys(selection(names)))

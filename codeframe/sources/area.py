@@ -7,6 +7,7 @@ Columns are read as text and typed on all their values (one aggregate over the f
 from __future__ import annotations
 
 import csv
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from ..metadata import ALL_ATTRS, q
 from ..operators.labels import set_attributes
 from ..select import Selection
 from .ddi import read_codebook
-from .files import file_ext, find_files, member_lines, path_exists
+from .files import file_ext, find_files, is_bundle, member_lines, path_exists
 from .textbook import codebook_path_for, read_text_codebook
 
 
@@ -30,8 +31,6 @@ def _text_csv(spark: SparkSession, path: str, member: Selection, charset: str, *
         names = find_files(spark, path, r"(csv|gz)", member)
         if not names:
             raise FileNotFoundError(f"no csv in {path}")
-        if names[0].endswith(".gz"):
-            raise ValueError("a gzip member of an archive cannot be streamed: unpack the archive first")
         lines = member_lines(spark, path, names)
         text = lines.select("line_no", F.col("raw").cast("string").alias("value") if canonical(charset) == "UTF-8"
                             else F.decode("raw", canonical(charset)).alias("value"))
@@ -46,6 +45,14 @@ def _text_csv(spark: SparkSession, path: str, member: Selection, charset: str, *
     return spark.read.csv(path, header=True, encoding=canonical(charset), **options)
 
 
+def _optional(read):
+    """A codebook if there is a readable one."""
+    try:
+        return read()
+    except (ValueError, FileNotFoundError):
+        return None
+
+
 def drop_second_header(df: DataFrame) -> DataFrame:
     """Remove a descriptive second header row, if there is one.
 
@@ -76,19 +83,17 @@ def read_area_table(spark: SparkSession, data_file: str, data_layer: Selection =
                     var_attrs=ALL_ATTRS, encoding: str | None = None, types: dict[str, T.DataType] | None = None) -> DataFrame:
     """Area-level CSV: optional second header row, guessed types, labels from the codebook.
 
-    ``codebook`` is a :class:`Codebook` or a path; by default ``x_codebook.txt`` next to
-    ``x.csv`` is used if it exists. Without a codebook the table has no labels.
+    ``codebook`` is a :class:`Codebook` or a path; by default it is looked for in the same
+    archive or folder, or as ``x_codebook.txt`` next to ``x.csv``. Without a codebook the
+    table has no labels.
     """
     book = codebook
     if isinstance(codebook, str):
         book = read_text_codebook(spark, codebook, None)
-    elif codebook is None and file_ext(data_file) == ".csv":
-        path = codebook_path_for(data_file)
-        if path_exists(spark, path):
-            try:
-                book = read_text_codebook(spark, path)
-            except ValueError:
-                book = None
+    elif codebook is None:
+        path = data_file if is_bundle(data_file) else codebook_path_for(data_file)
+        if path != data_file or is_bundle(data_file):
+            book = _optional(lambda: read_text_codebook(spark, path, data_layer) if path_exists(spark, path) else None)
     raw = _text_csv(spark, data_file, data_layer, encoding or "ISO-8859-1")
     out = _typed(drop_second_header(raw), types)
     return set_attributes(out, book, var_attrs) if book is not None else out
@@ -98,12 +103,17 @@ def read_area_utf8(spark: SparkSession, data_file: str, data_layer: Selection =
                    var_attrs=ALL_ATTRS, types: dict[str, T.DataType] | None = None) -> tuple[DataFrame, Codebook | None]:
     """Area CSV in UTF-8 described by an XML codebook (terms) and a text codebook (variables).
 
-    Where both are given, the variables and the project name are the text codebook's.
-    Returns the table and the combined codebook.
+    Where both are given, the variables and the project name are the text codebook's. Both are
+    looked for in the archive or folder of the data unless given. Returns the table and the
+    combined codebook.
     """
-    from dataclasses import replace
+    bundle = is_bundle(data_file)
     xml = read_codebook(spark, ddi) if isinstance(ddi, str) else ddi
+    if xml is None and bundle:
+        xml = _optional(lambda: read_codebook(spark, data_file))
     text = read_text_codebook(spark, codebook, data_layer) if isinstance(codebook, str) else codebook
+    if text is None and bundle:
+        text = _optional(lambda: read_text_codebook(spark, data_file, data_layer))
     book = xml or text
     if xml is not None and text is not None:
         book = replace(xml, variables=text.variables, project=text.project)
@@ -120,6 +130,8 @@ def read_mixed_micro(spark: SparkSession, data_file: str, ddi=None, data_layer:
     A variable that the codebook repeats counts once.
     """
     book = read_codebook(spark, ddi) if isinstance(ddi, str) else ddi
+    if book is None and is_bundle(data_file):
+        book = _optional(lambda: read_codebook(spark, data_file))
     charset = encoding or (book.file_encoding if book is not None else None) or "ISO-8859-1"
     raw = _text_csv(spark, data_file, data_layer, charset, nullValue="null")
     if n_max is not None:

@@ -63,8 +63,7 @@ def read_boundaries(spark: SparkSession, source, shape_layer: Selection = None,
     if not layers:
         raise ValueError("no layer found; check the `shape_layer` argument")
     if len(layers) > 1 and not bind_multiple:
-        raise ValueError("Multiple shape files found, please set `bind_multiple` to True to combine them, or use "
-                         "`shape_layer` to specify a single layer: " + ", ".join(layers))
+        raise ValueError("several layers; select one with shape_layer or allow bind_multiple: " + ", ".join(layers))
     frames = {k: read_layer(spark, p, vars, encoding, geometry) for k, p in layers.items()}
     return bind_layers(frames, add_layer)
 

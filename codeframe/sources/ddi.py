@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..codebook import Codebook, CodebookTables
+from ..select import Selection
+from .files import file_ext, find_files, is_bundle, unpack_text
 
 _VAR = (
     "_name string, _dcml string, _intrvl string, _rectype string, "
@@ -162,13 +164,21 @@ def read_codebook_tables(spark: SparkSession, path, lower_vars: bool = False) ->
     return out.lower() if lower_vars else out
 
 
-def read_codebook(spark: SparkSession, path: str, lower_vars: bool = False) -> Codebook:
+def read_codebook(spark: SparkSession, path: str, lower_vars: bool = False, data_layer: Selection = None) -> Codebook:
     """One XML codebook as the driver-side object that the readers take.
 
-    Only the first file description is used; more than one gives a warning.
+    ``path`` may be a zip archive or a folder with one ``.xml`` in it (``data_layer`` chooses
+    among several). Only the first file description is used; more than one gives a warning.
     """
+    home = os.path.dirname(path)
+    if is_bundle(path):
+        names = find_files(spark, path, "xml", data_layer)
+        if not names:
+            raise FileNotFoundError(f"no xml codebook in {path}")
+        home = path if file_ext(path) == "" else home
+        path = unpack_text(spark, path, names[0]) if file_ext(path) == ".zip" else f"{path.rstrip('/')}/{names[0]}"
     n = _read(spark, path, "fileDscr", _FILE).count()
     if n > 1:
-        warnings.warn("Extracts with multiple files not supported, using first file.", stacklevel=2)
-    book = read_codebook_tables(spark, path).codebook(file_path=os.path.dirname(path))
+        warnings.warn("the codebook describes several files; the first one counts", stacklevel=2)
+    book = read_codebook_tables(spark, path).codebook(file_path=home)
     return book.lower() if lower_vars else book

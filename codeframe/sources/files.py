@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gzip
 import io
 import os
+import re
 import zipfile
 from collections.abc import Iterator
 
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..select import Selection, pick
+from .scratch import scratch_path
 
 # Endings tried for a missing data file, and what bundle members count as.
 FALLBACK_EXTENSIONS = (".dat.gz", ".csv", ".csv.gz")
@@ -47,7 +50,7 @@ def resolve_data_file(spark: SparkSession, path: str, fallbacks=FALLBACK_EXTENSI
     for p in tried:
         if path_exists(spark, p):
             return p
-    raise FileNotFoundError(f"Could not find file, check the path in argument 'file': {path}")
+    raise FileNotFoundError(f"no data file at {path}, nor with another data ending")
 
 
 def _zip_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -65,7 +68,7 @@ def bundle_members(spark: SparkSession, path: str) -> DataFrame:
         zips = spark.read.format("binaryFile").load(path).select("path", "content")
         return zips.mapInPandas(_zip_members, "bundle string, file string")
     if file_ext(path) != "":
-        raise ValueError(f"Expected a folder or a zip file to look for files in, but got: {path}")
+        raise ValueError(f"neither a folder nor a zip archive: {path}")
     names = spark.read.format("binaryFile").load(path).select("path")
     return names.select(F.lit(path).alias("bundle"), F.substring_index("path", "/", -1).alias("file"))
 
@@ -117,12 +120,11 @@ def find_files(spark: SparkSession, path: str, extension: str | None = None, sel
     """Names of the bundle members with an extension (a regular expression) and a selection."""
     names = [r["file"] for r in bundle_members(spark, path).collect()]
     if extension is not None:
-        import re
         names = [n for n in names if re.search(rf"\.{extension}$", n)]
     if selection is not None:
         names = pick(names, selection)
     if not multiple_ok and len(names) > 1:
-        raise ValueError("Multiple files found, please specify which you want to load: " + ", ".join(names))
+        raise ValueError("several files fit, select one: " + ", ".join(names))
     return names
 
 
@@ -134,7 +136,8 @@ def _extract(wanted: set[str]):
                     for name in z.namelist():
                         if name not in wanted:
                             continue
-                        with z.open(name) as f:
+                        with z.open(name) as member:
+                            f = gzip.open(member) if name.endswith(".gz") else member
                             n = 0
                             rows: list[tuple] = []
                             for raw in f:
@@ -152,3 +155,19 @@ def member_lines(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
     """``(bundle, file, line_no, raw)``: lines of archive members as bytes, in blocks of rows."""
     zips = spark.read.format("binaryFile").load(path).select("path", "content")
     return zips.mapInPandas(_extract(set(names)), "bundle string, file string, line_no bigint, raw binary")
+
+
+def unpack_text(spark: SparkSession, path: str, member: str) -> str:
+    """Write one text member (a codebook) of an archive to the scratch folder; returns its path.
+
+    Its bytes stay as they are. One member is one file, written by one task as it is read.
+    """
+    lines = member_lines(spark, path, [member]).select("line_no", F.col("raw").cast("string").alias("value"))
+    target = scratch_path(spark, "member")
+    lines.repartition(1).sortWithinPartitions("line_no").select("value").write.text(target)
+    return target
+
+
+def is_bundle(path: str) -> bool:
+    """A zip archive or a folder."""
+    return file_ext(path) in (".zip", "")

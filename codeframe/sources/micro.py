@@ -49,7 +49,7 @@ def rectype_expr(line: Column, book: Codebook) -> Column:
     """Record-type code of a line, as text. Codes are ASCII, so their bytes need no decoding."""
     ids = [v for v in book.variables if v.name == book.rectype_idvar]
     if len(ids) != 1:
-        raise ValueError("Cannot support multiple rectype id variables." if ids else "record-type id is not in codebook")
+        raise ValueError("the codebook must hold exactly one record-type id variable")
     return F.trim(slice_field(line, ids[0].start, ids[0].width, book.file_encoding, as_text=False))
 
 
@@ -122,7 +122,7 @@ def _read_csv(spark: SparkSession, path, book: Codebook, n_max: int | None, spre
     """Listed columns of a CSV with codebook types; the header is matched in upper case.
     CSV numbers carry their decimal point, so implied decimals do not apply."""
     if book.hierarchical:
-        raise ValueError("Hierarchical data cannot be read as csv.")
+        raise ValueError("a file of several record types cannot be CSV")
     raw = spark.read.csv(path, header=True, encoding=canonical(book.file_encoding), nullValue="NA")
     if n_max is not None:
         from ..streaming.chunks import with_row_no
@@ -134,7 +134,7 @@ def _read_csv(spark: SparkSession, path, book: Codebook, n_max: int | None, spre
     cols = []
     for v in book.variables:
         if v.name.upper() not in have:
-            warnings.warn(f"The following named column is not in the file: {v.name}", stacklevel=4)
+            warnings.warn(f"the file has no column {v.name}", stacklevel=4)
             continue
         c = q(have[v.name.upper()])
         dt = _SPARK_TYPE.get(v.var_type, T.StringType())

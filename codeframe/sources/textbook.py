@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..codebook import Codebook, Variable
 from ..functions.text import capture, detect
 from ..select import Selection, pick
+from .files import file_ext, find_files, is_bundle, unpack_text
 
 # Fixed patterns of the text codebook format.
 MARKER = r"^[-]{5,}$"
@@ -135,30 +136,44 @@ def read_text_codebook(spark: SparkSession, path: str, data_layer: Selection = N
                        line2_markers: dict[str, str] | None = None) -> Codebook:
     """One text codebook. Of several data files, ``data_layer`` picks the one to describe.
 
-    The layout is found from the structure of the data dictionary. ``line2_markers`` (text to
+    ``path`` may be a zip archive or a folder; a text file whose name ends in "info.txt" is not
+    the codebook, and of several others ``data_layer`` picks one. The layout is found from the structure of the data dictionary. ``line2_markers`` (text to
     project name) asks in addition that line 2 holds one of the texts, and names the project.
     """
+    given = path
+    if is_bundle(path):
+        names = find_files(spark, path, "txt", multiple_ok=True)
+        if len(names) > 1:
+            names = [n for n in names if not n.endswith("info.txt")]
+        layer = data_layer
+        if len(names) > 1:
+            names, layer = pick(names, data_layer), None
+        if len(names) != 1:
+            raise FileNotFoundError(f"expected one text codebook in {path}, found {len(names)}")
+        given = names[0]
+        path = unpack_text(spark, path, given) if file_ext(path) == ".zip" else f"{path.rstrip('/')}/{given}"
+        data_layer = layer
     lines = read_lines(spark, path)
     project = None
     if line2_markers:
         second = lines.filter("line_no = 2").first()
         project = next((p for m, p in line2_markers.items() if second and m in second["line"]), None)
         if project is None:
-            raise ValueError("Unknown codebook format.")
+            raise ValueError("not a known text codebook layout")
     layout = layouts(lines).first()
     if layout is None or layout["layout"] is None:
-        raise ValueError("Unknown codebook format.")
+        raise ValueError("not a known text codebook layout")
     rows = textbook_variables(lines).orderBy("pos").collect()
     if layout["layout"] == "files":
         files = list(dict.fromkeys(r["data_file"] for r in rows))
         wanted = pick(files, data_layer)
         if len(wanted) > 1:
-            raise ValueError("Multiple codebooks found, please specify which to use with the `data_layer` argument")
+            raise ValueError("the codebook describes several data files; choose one with data_layer")
         rows = [r for r in rows if r["data_file"] in wanted]
     terms = textbook_terms(lines).first()
     return Codebook(
         variables=tuple(Variable(name=r["var_name"], label=r["var_label"], desc=r["var_desc"], var_type="") for r in rows),
-        file_name=path.rsplit("/", 1)[-1], file_path=path.rsplit("/", 1)[0] if "/" in path else "",
+        file_name=given.rsplit("/", 1)[-1], file_path=given.rsplit("/", 1)[0] if "/" in given else "",
         project=project, conditions=terms["conditions"] if terms else "",
     )
 

@@ -236,7 +236,7 @@ def _numbered_micro(spark, codebook, vars, data_file, var_attrs, lower_vars) ->
 def _csv_columns(raw: DataFrame, book: Codebook) -> DataFrame:
     from ..sources.micro import _SPARK_TYPE
     if book.hierarchical:
-        raise ValueError("Hierarchical data cannot be read as csv.")
+        raise ValueError("a file of several record types cannot be CSV")
     have = {c.upper(): c for c in raw.columns}
     cols = []
     for v in book.variables:
@@ -316,7 +316,7 @@ class ListRowReader(RowReader):
 def _no_csv(path) -> None:
     from ..sources.micro import _is_csv
     if _is_csv(path):
-        raise ValueError("pulling does not support .csv files, only fixed-width .dat (or .dat.gz) files")
+        raise ValueError("rows are pulled from fixed-width files, not from CSV")
 
 
 def read_micro_pulled(spark: SparkSession, codebook, vars: Selection = None, data_file=None, var_attrs=ALL_ATTRS,

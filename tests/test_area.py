@@ -47,7 +47,7 @@ def test_zip_member(spark, tmp_path):
     path = str(tmp_path / "z.zip")
     df = cf.read_area_table(spark, path, "t/a.csv")
     assert sorted(r["PMSA"] for r in df.collect())[2] == "Doña Ana" and df.count() == 3
-    with pytest.raises(ValueError, match="Multiple files"):
+    with pytest.raises(ValueError, match="several files"):
         cf.read_area_table(spark, path)
 
 
@@ -76,3 +76,29 @@ def test_given_types_skip_the_guess(spark, tmp_path):
     (tmp_path / "p.csv").write_text("a,b\n1,1\n2,2\n")
     df = area._typed(area._text_csv(spark, str(tmp_path / "p.csv"), None, "UTF-8"), {"a": T.IntegerType(), "b": T.StringType()})
     assert dict(df.dtypes) == {"a": "int", "b": "string"}
+
+
+def test_bundle_brings_its_codebooks(spark, tmp_path):
+    import gzip
+    text = open(write_text(tmp_path, TABLES), encoding="utf-8").read()
+    xml = open(write_xml(tmp_path), encoding="utf-8").read()
+    with zipfile.ZipFile(tmp_path / "area.zip", "w") as z:
+        z.writestr("t/a.csv", CSV.encode("latin-1"))
+        z.writestr("t/a_codebook.txt", text)
+        z.writestr("readme_info.txt", "not a codebook")
+    df = cf.read_area_table(spark, str(tmp_path / "area.zip"))
+    assert cf.get_meta(df, "D6Z001").label == "1989 to March 1990"
+    with zipfile.ZipFile(tmp_path / "micro.zip", "w") as z:
+        z.writestr("x.csv.gz", gzip.compress(b"YEAR,STATEFIP,MORE\n1962,1,01\n1963,2,02\n"))
+        z.writestr("x.xml", xml)
+    df = cf.read_mixed_micro(spark, str(tmp_path / "micro.zip"))
+    assert [tuple(r) for r in df.orderBy("YEAR").collect()] == [(1962, 1, "01"), (1963, 2, "02")]
+    assert cf.get_meta(df, "STATEFIP").val_labels == ((1, "Alabama"), (2, "Alaska"))
+    assert cf.read_codebook(spark, str(tmp_path / "micro.zip")).file_name == "data.dat"
+    folder = tmp_path / "folder"
+    folder.mkdir()
+    (folder / "u.csv").write_text("V,D6Z001\n1,2\n")
+    (folder / "u.txt").write_text(text, encoding="utf-8")
+    (folder / "u.xml").write_text(xml, encoding="utf-8")
+    df, book = cf.read_area_utf8(spark, str(folder))
+    assert cf.get_meta(df, "D6Z001").var_desc == "Year Structure Built (D6Z)" and book.citation == "Cite it"

@@ -121,7 +121,7 @@ def test_list_pulls(spark, book):
 
 def test_pulls_reject_csv(spark, book, tmp_path):
     (tmp_path / "x.csv").write_text("YEAR\n1\n")
-    with pytest.raises(ValueError, match="does not support .csv"):
+    with pytest.raises(ValueError, match="not from CSV"):
         cf.read_micro_pulled(spark, book, data_file=str(tmp_path / "x.csv"))
 
 

@@ -81,7 +81,7 @@ def test_lower_names(spark, tmp_path, book):
 
 def test_first_file_only(spark, tmp_path):
     more = '<fileDscr ID="F2"><fileTxt><fileName>other.dat</fileName><fileStrc type="rectangular"/></fileTxt></fileDscr>'
-    with pytest.warns(UserWarning, match="multiple files"):
+    with pytest.warns(UserWarning, match="several files"):
         book = cf.read_codebook(spark, write_xml(tmp_path, more=more))
     assert book.file_name == "data.dat"
 
@@ -108,7 +108,7 @@ def test_variable_questions(spark, book):
     assert [r["var_name"] for r in info.collect()] == ["STATEFIP", "HWTSUPP"]
     assert cf.var_label(book, "YEAR") == "Survey year" and cf.var_desc(book, "STATEFIP") == "d"
     assert cf.val_labels(book, "STATEFIP") == [(1, "Alabama"), (2, "Alaska")]
-    with pytest.warns(UserWarning, match="multiple variables"):
+    with pytest.warns(UserWarning, match="several variables"):
         assert cf.var_label(book, ["YEAR", "SERIAL"]) == "Survey year"
     df = cf.with_meta(spark.createDataFrame([(1, 2)], "a int, b int"), {"a": cf.VarMeta("first")})
     df2 = cf.with_meta(spark.createDataFrame([(1,)], "a int"), {"a": cf.VarMeta("second")})
@@ -164,14 +164,14 @@ def test_data_file_text_codebook(spark, tmp_path):
     path = write_text(tmp_path, body)
     book = cf.read_text_codebook(spark, path, "a.csv")
     assert [(v.name, v.label) for v in book.variables] == [("GEOG_CODE", "Code"), ("AREA", "Area in km")]
-    with pytest.raises(ValueError, match="Multiple codebooks"):
+    with pytest.raises(ValueError, match="several data files"):
         cf.read_text_codebook(spark, path)
 
 
 def test_unknown_text_codebook(spark, tmp_path):
     path = tmp_path / "x.txt"
     path.write_text("a\nb\nc")
-    with pytest.raises(ValueError, match="Unknown codebook format"):
+    with pytest.raises(ValueError, match="not a known"):
         cf.read_text_codebook(spark, str(path))
     good = write_text(tmp_path, TABLES)
     assert cf.read_text_codebook(spark, good, line2_markers={"Area data": "Areas"}).project == "Areas"

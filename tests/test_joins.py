@@ -60,15 +60,15 @@ def test_failures(data, shape):
 
 
 def test_missing_key(data, shape):
-    with pytest.raises(ValueError, match="not in shape data"):
+    with pytest.raises(ValueError, match="shape data has no column"):
         cf.inner_join(data, shape.drop("GISJOIN"), "GISJOIN")
-    with pytest.raises(ValueError, match="not in data"):
+    with pytest.raises(ValueError, match="data has no column"):
         cf.inner_join(data.drop("GISJOIN"), shape, "GISJOIN")
 
 
 def test_require_geometry(data, shape):
     for how in ("left", "full"):
-        with pytest.raises(ValueError, match="Only inner and right"):
+        with pytest.raises(ValueError, match="inner and right"):
             J.shape_join(data, shape, "GISJOIN", how, require_geometry=True)
     assert J.shape_join(data, shape, "GISJOIN", "right", require_geometry=True).df.count() == 4
 
@@ -93,9 +93,9 @@ def test_key_types(spark, dkind, skind, ok):
 def test_bad_key_text(spark):
     d = spark.createDataFrame([(1,)], "id int")
     s = spark.createDataFrame([("1",), ("x",)], "id string")
-    with pytest.raises(Exception, match="Could not convert id from text"):
+    with pytest.raises(Exception, match="id has text that is no"):
         cf.inner_join(d, s, "id").df.collect()
-    with pytest.raises(ValueError, match="Could not convert id"):
+    with pytest.raises(ValueError, match="no number: id"):
         cf.inner_join(d, s, "id", eager_checks=True)
 
 

@@ -47,9 +47,9 @@ def test_na_if(x, rule):
 
 
 def test_na_if_rejects_null_and_bad_rules(x):
-    with pytest.raises(ValueError, match="missing"):
+    with pytest.raises(ValueError, match="NULL"):
         L.lbl_na_if(x, "x", "case when val > 20 then true end")
-    with pytest.raises(TypeError, match="Can't convert a list to function"):
+    with pytest.raises(TypeError, match="not a list"):
         L.lbl_na_if(x, "x", [99])
 
 
@@ -115,11 +115,11 @@ def test_relabel_swap(x):
 
 
 def test_relabel_errors(spark, x):
-    with pytest.raises(ValueError, match="Could not find value"):
+    with pytest.raises(ValueError, match="no label that"):
         L.lbl_relabel(x, "x", (lbl(val=-1), "val = 11"))
-    with pytest.raises(ValueError, match="more than 1 label"):
+    with pytest.raises(ValueError, match="several labels"):
         L.lbl_relabel(x, "x", (lbl(10, "Yes also"), "val = 11"))
-    with pytest.raises(ValueError, match="must be labelled"):
+    with pytest.raises(ValueError, match="has no labels"):
         L.lbl_relabel(column(spark, [10, 12]), "x", (lbl(1, "a"), "val < 18"))
 
 
@@ -141,9 +141,9 @@ def test_define_last_rule_wins_and_unused_label_goes(spark):
 
 
 def test_define_errors(spark, x):
-    with pytest.raises(ValueError, match="should not have labels"):
+    with pytest.raises(ValueError, match="has labels already"):
         L.lbl_define(x, "x", (lbl(3, "c"), "val > 22"))
-    with pytest.raises(ValueError, match="more than 1 label"):
+    with pytest.raises(ValueError, match="unmatched rows"):
         L.lbl_define(column(spark, AGES), "x", (lbl(27, "odd"), "val < 18"))
 
 
@@ -151,7 +151,7 @@ def test_add(x):
     out = L.lbl_add(x, "x", lbl(90, "New Label"), lbl(91, "n2"))
     assert values(out) == VALUES
     assert pairs(out) == [*PAIRS[:4], (90, "New Label"), (91, "n2"), PAIRS[4]]
-    with pytest.raises(ValueError, match="more than 1 label"):
+    with pytest.raises(ValueError, match="several labels"):
         L.lbl_add(x, "x", lbl(30, "New Label"))
 
 
@@ -225,7 +225,7 @@ def test_set_attributes(spark):
     assert cf.get_meta(cf.set_attributes(df, vs, "var_label"), "n") == VarMeta("N")
     assert cf.get_meta(cf.set_attributes(df, vs, ["val_labels"]), "n").label is None
     assert cf.set_attributes(df, vs, None) is df
-    with pytest.raises(TypeError, match="not of the same type"):
+    with pytest.raises(TypeError, match="other way round"):
         cf.set_attributes(df, [Variable("t", val_labels=((1, "x"),))])
 
 

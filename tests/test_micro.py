@@ -93,7 +93,7 @@ def test_gzip_and_fallback(spark, hier, tmp_path):
 
 def test_hierarchical_csv_is_error(spark, hier, tmp_path):
     (tmp_path / "a.csv").write_text("YEAR\n1962\n")
-    with pytest.raises(ValueError, match="cannot be read as csv"):
+    with pytest.raises(ValueError, match="cannot be CSV"):
         cf.read_micro(spark, hier, data_file=str(tmp_path / "a.csv"))
 
 
