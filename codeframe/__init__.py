@@ -36,7 +36,7 @@ from .plans.extract import (
 from .select import (
     contains, ends_with, everything, exclude, matches, mutate_at, num_range, one_of, pick, select_rows, starts_with,
 )
-from .session import build_session
+from .session import build_session, sized_settings
 from .sources.area import read_area_table, read_area_utf8, read_mixed_micro
 from .sources.boundary import read_boundaries
 from .sources.ddi import read_codebook, read_codebook_tables
@@ -45,7 +45,7 @@ from .sources.micro import collect_with_labels, read_micro, read_micro_list
 from .sources.sinks import write_csv, write_fixed_width, write_hierarchical, write_parquet
 from .sources.textbook import read_text_codebook
 from .streaming.chunks import (
-    ListRowReader, RowReader, batch_map, chunk_list, chunk_map, chunk_side_effect, read_micro_chunked,
+    ListRowReader, RowReader, batch_map, chunk_list, chunk_map, chunk_reduce, chunk_side_effect, read_micro_chunked,
     read_micro_list_chunked, read_micro_list_pulled, read_micro_pulled, with_chunk_id, with_row_no,
 )
 from .streaming.running import load_rows, load_stream, running_tabulation, stream_micro, stream_table

@@ -794,6 +794,19 @@ def chunk_tabulate(spark, sf):
     return parts.groupBy("l_returnflag", "high").agg(F.sum("n").alias("n"))
 
 
+@query("SELECT l_returnflag, count(*) AS n, max(l_extendedprice) AS top FROM lineitem GROUP BY 1")
+def chunk_accumulator(spark, sf):
+    numbered = chunks.with_row_no(table(spark, sf, "lineitem").select("l_returnflag", "l_extendedprice"))
+
+    def receive(rows, pos):
+        return rows.groupby("l_returnflag")["l_extendedprice"].agg(n="count", top="max").reset_index()
+
+    def merge(states):
+        return states.groupby("l_returnflag").agg(n=("n", "sum"), top=("top", "max")).reset_index()
+
+    return chunks.chunk_reduce(numbered, receive, merge, "l_returnflag string, n bigint, top double")
+
+
 @query("""
     WITH c AS (SELECT count(*) AS n FROM lineitem)
     SELECT k AS chunk_id, k * 10000 + 1 AS pos, least(10000, n - k * 10000) AS n
@@ -831,7 +844,8 @@ def chunk_list_tabulate(spark, sf):
         return pd.DataFrame({"record_type": ["HOUSEHOLD", "PERSON"], "n": [len(parts["HOUSEHOLD"]), len(parts["PERSON"])],
                              "total": [parts["HOUSEHOLD"]["PRICE"].sum(), parts["PERSON"]["QTY"].sum()]})
 
-    rows = chunks.read_micro_list_chunked(spark, _hier_file(spark, sf, "hier"), totals, "record_type string, n bigint, total double")
+    rows = chunks.read_micro_list_chunked(spark, _hier_file(spark, sf, "hier"), totals, "record_type string, n bigint, total double",
+                                          vars=["PRICE", "QTY"])
     return rows.groupBy("record_type").agg(F.sum("n").alias("n"), F.round(F.sum("total"), 2).alias("total"))
 
 
@@ -982,8 +996,13 @@ def extract_log_last(spark, sf):
     return ex.last_extract(log, "usa").select("number", ex.is_ready().alias("ready"))
 
 
-@query()
+@query("SELECT true AS households_whole, true AS about_a_tenth FROM lineitem HAVING count(*) > 0")
 def subsample_households(spark, sf):
-    return ex.subsample(table(spark, sf, "lineitem"), 0.1, ["l_orderkey"]).groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    df = table(spark, sf, "lineitem")
+    kept = ex.subsample(df, 0.1, ["l_orderkey"]).groupBy("l_orderkey").agg(F.count("*").alias("n_kept"))
+    both = df.groupBy("l_orderkey").agg(F.count("*").alias("n_all")).join(kept, "l_orderkey", "left")
+    share = F.count("n_kept") / F.count("*")
+    return both.agg(F.bool_and(F.coalesce(F.col("n_kept") == F.col("n_all"), F.lit(True))).alias("households_whole"),
+                    share.between(0.05, 0.15).alias("about_a_tenth"))
 
 

@@ -14,6 +14,19 @@ SETTINGS = {
 }
 
 
+def sized_settings(input_bytes: int, shuffled_share: float = 0.3, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition settings for an input: reads of at least 128 MB, shuffles in pieces of about
+    ``partition_bytes`` that fit an executor's memory share. AQE merges pieces that stay small.
+    """
+    split = min(max(128 << 20, input_bytes // 500_000), 1 << 30)
+    pieces = max(200, -(-int(input_bytes * shuffled_share) // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(min(pieces, 200_000)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+    }
+
+
 def build_session(master: str | None = None, app: str = "codeframe", **settings: str) -> SparkSession:
     """A session with the settings above; ``settings`` use "__" for dots."""
     builder = SparkSession.builder.appName(app)

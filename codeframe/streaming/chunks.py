@@ -133,6 +133,33 @@ def batch_map(df: DataFrame, f: Callable[[pd.DataFrame, int], pd.DataFrame], sch
     return df.mapInPandas(run, schema)
 
 
+def chunk_reduce(df: DataFrame, receive: Callable[[pd.DataFrame, int], pd.DataFrame],
+                 merge: Callable[[pd.DataFrame], pd.DataFrame], schema: str | T.StructType,
+                 chunk_size: int = CHUNK_SIZE, row_no: str = "row_no", fan_in: int = 1000) -> DataFrame:
+    """A user's own accumulator: ``receive`` turns a chunk into a small state table, ``merge``
+    turns stacked states into one state. Merging must not depend on grouping or order.
+
+    States are merged as a tree: no task ever gets more than ``fan_in`` of them.
+    """
+    out = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    last = df.agg(F.max(q(row_no))).first()[0]
+    chunks = 0 if last is None else (last - 1) // chunk_size + 1
+    states = chunk_map(df, receive, out, chunk_size, row_no, keep_chunk=True)
+    tagged = T.StructType([T.StructField("chunk_id", T.LongType()), *out.fields])
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        group = int(pdf["chunk_id"].iloc[0]) // fan_in
+        res = merge(pdf.drop(columns="chunk_id")).copy()
+        res.insert(0, "chunk_id", group)
+        return res
+
+    while chunks > 1:
+        groups = F.floor(F.col("chunk_id") / fan_in)
+        states = states.groupBy(groups).applyInPandas(fold, tagged)
+        chunks = -(-chunks // fan_in)
+    return states.drop("chunk_id")
+
+
 def chunk_side_effect(df: DataFrame, f: Callable[[pd.DataFrame, int], Any], chunk_size: int = CHUNK_SIZE,
                       row_no: str = "row_no", wave: int | None = None) -> int:
     """Run ``f(rows, position)`` on the executors for its side effects; False stops the run.
@@ -147,7 +174,7 @@ def chunk_side_effect(df: DataFrame, f: Callable[[pd.DataFrame, int], Any], chun
     if last is None:
         return 0
     chunks = (last - 1) // chunk_size + 1
-    step = wave or df.sparkSession.sparkContext.defaultParallelism
+    step = wave or 4 * df.sparkSession.sparkContext.defaultParallelism
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         _, res = _call(f, pdf, chunk_size, row_no, meta, keep)

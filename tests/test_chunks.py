@@ -153,3 +153,18 @@ def test_load_stream(spark, tmp_path):
     for n in (5, 7):
         cf.load_rows(spark.range(n), str(tmp_path / "batch"))
     assert spark.read.parquet(str(tmp_path / "batch")).count() == 12
+
+
+def test_reduce_merges_as_a_tree(spark, lines):
+    df = cf.with_row_no(spark.read.text(lines))
+
+    def receive(rows, pos):
+        return pd.DataFrame({"n": [len(rows)], "parts": [1]})
+
+    def merge(states):
+        assert len(states) <= 3
+        return pd.DataFrame({"n": [states["n"].sum()], "parts": [states["parts"].sum()]})
+
+    out = cf.chunk_reduce(df, receive, merge, "n bigint, parts bigint", 50, fan_in=3)
+    assert [tuple(r) for r in out.collect()] == [(1000, 20)]
+    assert cf.chunk_reduce(df.filter("row_no < 0"), receive, merge, "n bigint, parts bigint").count() == 0

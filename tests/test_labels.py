@@ -261,3 +261,14 @@ def test_properties(spark, labelled, data, limit):
     assert dict(pairs(col)) == {n: f"L{v}" for n, v in first.items()}
     rel = L.lbl_relabel(df, "x", (lbl(100, "hi"), f"val > {limit}"))
     assert values(rel) == [None if v not in labelled else 100 if v > limit else v for v in data]
+
+
+def test_text_codes(spark):
+    df = column(spark, ["us2011", "us2012", "zz"], [("us2011", "United States 2011"), ("us2012", "United States 2012")], kind="string")
+    assert values(L.lbl_collapse(df, "x", "substring(val, 1, 2)")) == ["us", "us", None]
+    out = L.lbl_relabel(df, "x", (lbl("us", "Any"), "val like 'us%'"))
+    assert values(out) == ["us", "us", None] and pairs(out) == [("us", "Any")]
+    assert values(L.lbl_na_if(df, "x", "lbl like '%2012'")) == ["us2011", None, "zz"]
+    assert values(L.as_factor(df, "x", "both")) == ["[us2011] United States 2011", "[us2012] United States 2012", "zz"]
+    plain = column(spark, ["a", "b"], kind="string")
+    assert values(L.lbl_define(plain, "x", (lbl("A", "First"), "val = 'a'"))) == ["A", "b"]

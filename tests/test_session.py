@@ -21,3 +21,10 @@ def test_functions_travel_to_workers_from_any_folder(tmp_path):
     code = CODE.format(root=ROOT, out=str(tmp_path / "t"))
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180)
     assert "rows 2" in done.stdout, done.stderr[-2000:]
+
+
+def test_sized_settings():
+    from codeframe.session import sized_settings
+    small, large = sized_settings(10 << 30), sized_settings(100 << 40)
+    assert small["spark.sql.shuffle.partitions"] == "200" and small["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
+    assert 100_000 < int(large["spark.sql.shuffle.partitions"]) <= 200_000 and int(large["spark.sql.files.maxPartitionBytes"]) > 200 << 20
