@@ -43,7 +43,8 @@ TEXT_LABEL = r"^(\p{Graph}+)(?:(?:\p{Blank}+[\p{Punct}|=]+\p{Blank})+)(.+)$"
 def _read(spark: SparkSession, path, tag: str, schema: str) -> DataFrame:
     """Elements of one kind with their codebook and their order in it."""
     return (
-        spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
+        spark.read.format("xml").option("rowTag", tag).option("ignoreNamespace", True).option("mode", "FAILFAST")
+        .schema(schema).load(path)
         .select("*", F.col("_metadata.file_path").alias("codebook_id"), F.monotonically_increasing_id().alias("__seq"))
     )
 

@@ -108,7 +108,13 @@ def read_lines(spark: SparkSession, path, n_max: int | None = None, spread_gzip:
     if n_max is not None:
         from ..streaming.chunks import with_row_no
         return with_row_no(lines, "__no").filter(F.col("__no") <= n_max).drop("__no")
-    return _spread(lines) if spread_gzip and isinstance(path, str) and path.endswith(".gz") else lines
+    return _spread(lines) if spread_gzip and _few_gzip_files(lines) else lines
+
+
+def _few_gzip_files(df: DataFrame) -> bool:
+    """Only gzip files, and fewer of them than tasks can run."""
+    files = df.inputFiles()
+    return 0 < len(files) < df.sparkSession.sparkContext.defaultParallelism and all(f.endswith(".gz") for f in files)
 
 
 def _spread(df: DataFrame) -> DataFrame:
@@ -127,7 +133,7 @@ def _read_csv(spark: SparkSession, path, book: Codebook, n_max: int | None, spre
     if n_max is not None:
         from ..streaming.chunks import with_row_no
         raw = with_row_no(raw, "__no").filter(F.col("__no") <= n_max).drop("__no")
-    elif spread_gzip and isinstance(path, str) and path.endswith(".gz"):
+    elif spread_gzip and _few_gzip_files(raw):
         wanted = {v.name.upper() for v in book.variables}
         raw = _spread(raw.select(*[q(c) for c in raw.columns if c.upper() in wanted]))
     have = {c.upper(): c for c in raw.columns}

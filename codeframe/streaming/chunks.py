@@ -37,7 +37,9 @@ def with_row_no(df: DataFrame, name: str = "row_no") -> DataFrame:
     (another cluster size between them), the query stops instead of numbering wrongly;
     ``spark.sql.files.minPartitionNum`` pins the splits.
     """
-    meta = {c: m for c, m in all_meta(df).items()}
+    meta = all_meta(df)
+    if not df.inputFiles():
+        raise ValueError("rows are numbered on a file scan; write the table to files first")
     tagged = df.select(
         *[q(c) for c in df.columns], F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__start"), F.col("_metadata.file_block_length").alias("__len"),

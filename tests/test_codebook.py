@@ -185,3 +185,15 @@ def test_sections_of_many_books(spark, tmp_path):
     rows = textbook.textbook_variables(textbook.read_lines(spark, str(tmp_path)))
     assert sorted(r["layout"] for r in rows.select("codebook_id", "layout").distinct().collect()) == ["series", "tables"]
     assert rows.count() == 8
+
+
+def test_prefixed_and_broken_xml(spark, tmp_path, book):
+    import re
+    text = open(write_xml(tmp_path), encoding="utf-8").read()
+    body = re.sub(r"<(/?)(?=[A-Za-z])", r"<\1ddi:", text).replace("xmlns=", "xmlns:ddi=")
+    (tmp_path / "prefixed.xml").write_text(body, encoding="utf-8")
+    again = cf.read_codebook(spark, str(tmp_path / "prefixed.xml"))
+    assert again.variables == book.variables and again.conditions == book.conditions
+    (tmp_path / "broken.xml").write_text(text[: len(text) // 2], encoding="utf-8")
+    with pytest.raises(Exception):
+        cf.read_codebook(spark, str(tmp_path / "broken.xml")).names
