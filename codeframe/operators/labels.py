@@ -514,7 +514,8 @@ def set_attributes(df: DataFrame, variables, var_attrs=ALL_ATTRS) -> DataFrame:
     """Attach labels and descriptions of a codebook (or list of variables) to a table.
 
     Variables that the table lacks are skipped. Text labels on a number column (or the other
-    way round) are an error. A value with several labels keeps the longest.
+    way round) are an error. A value with several labels keeps the longest. Labels that the
+    table has already stay where the codebook gives none.
     """
     variables = getattr(variables, "variables", variables)
     if not variables or not var_attrs:
@@ -539,7 +540,7 @@ def set_attributes(df: DataFrame, variables, var_attrs=ALL_ATTRS) -> DataFrame:
         new[v.name] = VarMeta(
             label=v.label if "var_label" in attrs else None,
             var_desc=v.desc if "var_desc" in attrs else None,
-            val_labels=tuple(_longest_per_value(v.val_labels)) if "val_labels" in attrs else (),
+            val_labels=tuple(_longest_per_value(v.val_labels)) if "val_labels" in attrs and v.val_labels else old.val_labels,
             other=old.other,
         )
     return with_meta(df, new)

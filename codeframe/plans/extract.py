@@ -262,6 +262,19 @@ def is_ready(links: Column | str = "download_links", status: Column | str = "sta
     return F.coalesce(status == "completed", F.lit(False)) & has("ddi_codebook") & has("data")
 
 
+def extracts_to_log(spark: SparkSession, extracts: Sequence[Extract]) -> DataFrame:
+    """Extract definitions as rows of a log."""
+    schema = (
+        "collection string, description string, data_structure string, rectangular_on string, data_format string, "
+        "samples array<string>, variables array<string>, submitted boolean, "
+        "download_links map<string, struct<url: string, bytes: bigint, sha256: string>>, number bigint, status string")
+    rows = [(e.collection, e.description, e.data_structure, e.rectangular_on, e.data_format, list(e.samples or ()),
+             list(e.variables or ()), e.submitted,
+             {k: (v.get("url"), v.get("bytes"), v.get("sha256")) for k, v in e.download_links.items()}, e.number, e.status)
+            for e in extracts]
+    return spark.createDataFrame(rows, schema)
+
+
 def log_to_extracts(log: DataFrame) -> list[Extract]:
     """The rows of a (small) log as extract definitions."""
     out = []

@@ -785,7 +785,7 @@ def chunk_positions(spark, sf):
 
 @query("SELECT l_returnflag, l_discount >= 0.05 AS high, count(*) AS n FROM lineitem GROUP BY 1, 2")
 def chunk_tabulate(spark, sf):
-    numbered = chunks.with_row_no(table(spark, sf, "lineitem").select("l_returnflag", "l_discount"))
+    numbered = chunks.with_row_no(table(spark, sf, "lineitem").select("l_returnflag", "l_discount"), blocks=True)
 
     def count(rows, pos):
         return rows.assign(high=rows["l_discount"] >= 0.05).groupby(["l_returnflag", "high"]).size().reset_index(name="n")

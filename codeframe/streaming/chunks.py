@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..codebook import Codebook
+from ..functions.charset import canonical
 from ..metadata import ALL_ATTRS, VarMeta, all_meta, q, with_meta
 from ..operators.bind import bind_rows
 from ..operators.joins import plan_bytes
@@ -28,7 +29,7 @@ MAX_BROADCAST_SPLITS = 500_000  # about 100 bytes each
 
 # ---------------------------------------------------------------- row numbers
 
-def with_row_no(df: DataFrame, name: str = "row_no") -> DataFrame:
+def with_row_no(df: DataFrame, name: str = "row_no", blocks: bool = False) -> DataFrame:
     """Number the rows of a file scan 1, 2, ... in file and line order, without a sort.
 
     Each block of a file (path, start offset) is one run of consecutive ids. A table of block
@@ -36,6 +37,9 @@ def with_row_no(df: DataFrame, name: str = "row_no") -> DataFrame:
     number of splits is known to be small enough. If the two scans were split differently
     (another cluster size between them), the query stops instead of numbering wrongly;
     ``spark.sql.files.minPartitionNum`` pins the splits.
+
+    ``blocks`` also keeps the row range of the block (``__lo``, ``__hi``), which lets
+    :func:`chunk_map` run most chunks where they lie.
     """
     meta = all_meta(df)
     if not df.inputFiles():
@@ -53,15 +57,21 @@ def with_row_no(df: DataFrame, name: str = "row_no") -> DataFrame:
     order = Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
         F.col("__file").alias("__bfile"), F.col("__start").alias("__bstart"), F.col("__len").alias("__blen"),
-        "__first", F.coalesce(F.sum("__n").over(order), F.lit(0)).alias("__offset"))
+        "__first", "__n", F.coalesce(F.sum("__n").over(order), F.lit(0)).alias("__offset"))
+    small = _split_bound(df) <= MAX_BROADCAST_SPLITS
     joined = tagged.join(
-        F.broadcast(offsets) if _split_bound(df) <= MAX_BROADCAST_SPLITS else offsets,
+        F.broadcast(offsets) if small else offsets,
         (F.col("__file") == F.col("__bfile")) & (F.col("__start") == F.col("__bstart")) & (F.col("__len") == F.col("__blen")),
         "left")
     number = F.col("__offset") + (F.col("__id") - F.col("__first")) + 1
     checked = F.when(F.col("__first").isNotNull(), number).otherwise(
         F.raise_error(F.lit("the file was split differently in two scans; set spark.sql.files.minPartitionNum")).cast("bigint"))
-    return with_meta(joined.select(*[q(c) for c in df.columns], checked.alias(name)), meta)
+    cols = [*[q(c) for c in df.columns], checked.alias(name)]
+    if blocks:  # without the broadcast, rows do not stay in their block
+        where = F.lit(small)
+        cols += [F.when(where, F.col("__offset") + 1).alias("__lo"),
+                 F.when(where, F.col("__offset") + F.col("__n")).alias("__hi")]
+    return with_meta(joined.select(*cols), meta)
 
 
 def _split_bound(df: DataFrame) -> int:
@@ -101,8 +111,12 @@ def chunk_map(df: DataFrame, f: Callable[[pd.DataFrame, int], pd.DataFrame], sch
     ``df`` carries ``row_no`` (see :func:`with_row_no`). The chunk's column metadata is in
     ``rows.attrs``. Chunks have equal size, so no group is larger than ``chunk_size`` rows.
     With ``keep_chunk`` the results stay apart: a leading ``chunk_id`` column says which.
+
+    Chunks are brought together by a shuffle. If the rows were numbered with ``blocks``, only
+    the chunks that cross the border of an input split are; all others run in place, at the
+    price of a second scan for the border rows.
     """
-    meta, keep = _labels_of(df), [c for c in df.columns if c != row_no]
+    meta, keep = _labels_of(df), [c for c in df.columns if c not in (row_no, "__lo", "__hi")]
     out = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     if keep_chunk:
         out = T.StructType([T.StructField("chunk_id", T.LongType()), *out.fields])
@@ -114,7 +128,30 @@ def chunk_map(df: DataFrame, f: Callable[[pd.DataFrame, int], pd.DataFrame], sch
             res.insert(0, "chunk_id", chunk)
         return res
 
-    return with_chunk_id(df, chunk_size, row_no, "__chunk").groupBy("__chunk").applyInPandas(run, out)
+    def run_in_place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # rows of a block arrive in order, and a chunk lies in one block
+        held: list[pd.DataFrame] = []
+        done: set[int] = set()
+        for pdf in batches:
+            for chunk, piece in pdf.groupby("__chunk", sort=False):
+                if held and int(held[0]["__chunk"].iloc[0]) != chunk:
+                    done.add(int(held[0]["__chunk"].iloc[0]))
+                    yield run(pd.concat(held, ignore_index=True))
+                    held = []
+                if chunk in done:
+                    raise RuntimeError("rows of a chunk are not together")
+                held.append(piece)
+        if held:
+            yield run(pd.concat(held, ignore_index=True))
+
+    tagged = with_chunk_id(df, chunk_size, row_no, "__chunk")
+    if "__lo" not in df.columns:
+        return tagged.groupBy("__chunk").applyInPandas(run, out)
+    start = F.col("__chunk") * chunk_size + 1
+    whole = F.coalesce((start >= F.col("__lo")) & (start + (chunk_size - 1) <= F.col("__hi")), F.lit(False))
+    inside = tagged.filter(whole).drop("__lo", "__hi").mapInPandas(run_in_place, out)
+    border = tagged.filter(~whole).drop("__lo", "__hi").groupBy("__chunk").applyInPandas(run, out)
+    return inside.unionByName(border)
 
 
 def chunk_list(df: DataFrame, f, schema, chunk_size: int = CHUNK_SIZE, row_no: str = "row_no") -> DataFrame:
@@ -197,13 +234,13 @@ def chunk_side_effect(df: DataFrame, f: Callable[[pd.DataFrame, int], Any], chun
 
 def read_micro_chunked(spark: SparkSession, codebook, f, schema=None, chunk_size: int = CHUNK_SIZE, vars: Selection = None,
                        data_file=None, var_attrs=ALL_ATTRS, lower_vars: bool = False, keep_chunk: bool = False,
-                       wave: int | None = None):
+                       wave: int | None = None, in_place: bool = False):
     """Read microdata and run ``f(rows, position)`` per chunk.
 
     With an output ``schema`` the results are stacked (or kept apart, ``keep_chunk``); without
     one ``f`` runs for its side effects and the number of chunks run is returned.
     """
-    df = _numbered_micro(spark, codebook, vars, data_file, var_attrs, lower_vars)
+    df = _numbered_micro(spark, codebook, vars, data_file, var_attrs, lower_vars, in_place and schema is not None)
     if schema is None:
         reader = RowReader(df)
         return chunk_side_effect(reader.stored, f, chunk_size, wave=wave)
@@ -249,17 +286,17 @@ def read_micro_list_chunked(spark: SparkSession, codebook, f: Callable[[dict[str
     return chunk_map(df, split, schema, chunk_size, keep_chunk=keep_chunk)
 
 
-def _numbered_micro(spark, codebook, vars, data_file, var_attrs, lower_vars) -> DataFrame:
-    from ..sources.micro import _book, _data_path, _is_csv, _read_csv, cut_lines
+def _numbered_micro(spark, codebook, vars, data_file, var_attrs, lower_vars, blocks: bool = False) -> DataFrame:
+    from ..sources.micro import _book, _data_path, _is_csv, cut_lines
     book = _book(spark, codebook, lower_vars)
     path = _data_path(spark, book, data_file)
     small = book.prune(vars, "long")
     if _is_csv(path):
-        raw = with_row_no(spark.read.csv(path, header=True, nullValue="NA"))
-        typed = _csv_columns(raw, small)
-        return set_attributes(typed, small, var_attrs)
-    lines = with_row_no(spark.read.text(path))
-    return set_attributes(cut_lines(lines, small, book, keep=("row_no",)), small, var_attrs)
+        csv = spark.read.csv(path, header=True, nullValue="NA", encoding=canonical(book.file_encoding))
+        return set_attributes(_csv_columns(with_row_no(csv, blocks=blocks), small), small, var_attrs)
+    lines = with_row_no(spark.read.text(path), blocks=blocks)
+    extra = ("row_no", "__lo", "__hi") if blocks else ("row_no",)
+    return set_attributes(cut_lines(lines, small, book, keep=extra), small, var_attrs)
 
 
 def _csv_columns(raw: DataFrame, book: Codebook) -> DataFrame:
@@ -273,7 +310,7 @@ def _csv_columns(raw: DataFrame, book: Codebook) -> DataFrame:
             dt = _SPARK_TYPE.get(v.var_type, T.StringType())
             c = q(have[v.name.upper()])
             cols.append((F.trim(c) if isinstance(dt, T.StringType) else c.try_cast(dt)).alias(v.name))
-    return raw.select("row_no", *cols)
+    return raw.select(*[c for c in ("row_no", "__lo", "__hi") if c in raw.columns], *cols)
 
 
 # ---------------------------------------------------------------- resumable pulls

@@ -168,3 +168,28 @@ def test_reduce_merges_as_a_tree(spark, lines):
     out = cf.chunk_reduce(df, receive, merge, "n bigint, parts bigint", 50, fan_in=3)
     assert [tuple(r) for r in out.collect()] == [(1000, 20)]
     assert cf.chunk_reduce(df.filter("row_no < 0"), receive, merge, "n bigint, parts bigint").count() == 0
+
+
+def test_chunks_in_place_equal_shuffled_chunks(spark, lines):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        df = cf.with_row_no(spark.read.text(lines), blocks=True)
+
+        def f(rows, pos):
+            assert list(rows.columns) == ["value"] and rows["value"].is_monotonic_increasing
+            return pd.DataFrame({"pos": [pos], "n": [len(rows)], "first": [rows["value"].iloc[0]]})
+
+        out = cf.chunk_map(df, f, "pos bigint, n bigint, first string", 20)
+        assert "MapInPandas" in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, out.collect())) == [(i + 1, 20, f"{i:06d}") for i in range(0, 1000, 20)]
+        odd = cf.chunk_map(df.filter("value % 7 = 0"), lambda rows, pos: pd.DataFrame({"n": [len(rows)]}), "n bigint", 20)
+        assert odd.agg(F.sum("n")).first()[0] == 143
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_read_chunked_in_place(spark, book):
+    f = lambda rows, pos: pd.DataFrame({"pos": [pos], "n": [len(rows)]})
+    a = cf.read_micro_chunked(spark, book, f, "pos bigint, n bigint", 7, in_place=True)
+    b = cf.read_micro_chunked(spark, book, f, "pos bigint, n bigint", 7)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

@@ -68,6 +68,8 @@ def test_log(spark):
         with pytest.raises(ValueError):
             cf.extract_info(log, key)
     back = {e.description: e for e in ex.log_to_extracts(log)}
+    again = ex.extracts_to_log(spark, list(back.values()))
+    assert again.columns == log.columns and {e.description: e for e in ex.log_to_extracts(again)} == back
     assert back["E86"].rectangular_on == "P" and back["E86"].samples == ("s1", "s2")
 
 
