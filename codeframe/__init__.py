@@ -36,7 +36,7 @@ from .plans.extract import (
 from .select import (
     contains, ends_with, everything, exclude, matches, mutate_at, num_range, one_of, pick, select_rows, starts_with,
 )
-from .session import build_session, sized_settings
+from .session import build_session, sized_settings, tune
 from .sources.area import read_area_table, read_area_utf8, read_mixed_micro
 from .sources.boundary import read_boundaries
 from .sources.ddi import read_codebook, read_codebook_tables

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..metadata import all_meta, q, with_meta
+from ..session import tune
 
 # Fixed patterns of the type guess.
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -61,6 +62,7 @@ def guess_types(df: DataFrame, cols: list[str] | None = None) -> dict[str, T.Dat
     names = [c for c in names if cols is None or c in cols]
     if not names:
         return {}
+    tune(df.sparkSession)
     aggs = []
     for i, c in enumerate(names):
         v = na_to_null(q(c))

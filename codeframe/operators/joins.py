@@ -79,11 +79,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple[int, float]]:
 
 
 def _salt_counts(h: Column, hot: list[tuple[int, float]], partitions: int) -> Column:
-    expr = None
-    for item, share in hot:
-        n = F.lit(max(2, math.ceil(share * partitions)))
-        expr = F.when(h == F.lit(item), n) if expr is None else expr.when(h == F.lit(item), n)
-    return expr.otherwise(F.lit(1))
+    cells = [c for item, share in hot for c in (F.lit(item).cast("bigint"), F.lit(max(2, math.ceil(share * partitions))))]
+    return F.coalesce(F.try_element_at(F.create_map(*cells), h), F.lit(1))
 
 
 def salted(left: DataFrame, right: DataFrame, lkeys: Sequence[str], rkeys: Sequence[str],

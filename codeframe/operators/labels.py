@@ -1,7 +1,7 @@
 """Label algebra: rewrite a coded column together with its label set.
 
 A label set is metadata, so rules run over the set (as Spark expressions on a local
-relation, no cluster job) and the data sees one projection: ``CASE WHEN x IN (...)`` for
+relation, no cluster job) and the data sees one projection: a lookup in a literal map for
 ordinary code lists, a broadcast join of the code list above ``INLINE_CODES`` entries.
 Nothing runs row by row in Python.
 
@@ -100,6 +100,19 @@ def _sort_key(pair):
     return (isinstance(v, str), v)
 
 
+def lookup(x: Column, dt: T.DataType, pairs, out_type: T.DataType) -> Column:
+    """Value of a short code list, NULL outside it.
+
+    A literal map: its code does not grow with the list, unlike a CASE chain, which soon
+    makes a generated method too large for the JVM to compile.
+    """
+    first: dict[Any, Any] = {}
+    for a, b in pairs:
+        first.setdefault(a, b)
+    cells = [c for a, b in first.items() for c in (F.lit(a).cast(dt), F.lit(b).cast(out_type))]
+    return F.try_element_at(F.create_map(*cells), x)
+
+
 def recode(df: DataFrame, col: str, mapping: list[tuple[Any, Any]], out_type: T.DataType,
            other: str = "null", out: str | None = None) -> DataFrame:
     """Replace codes by ``mapping``; values outside become NULL or, with ``other="keep"``, stay.
@@ -113,19 +126,17 @@ def recode(df: DataFrame, col: str, mapping: list[tuple[Any, Any]], out_type: T.
     pairs = [(_code(a, dt), None if b is None else (_code(b, out_type) if not isinstance(out_type, T.BooleanType) else b))
              for a, b in mapping]
     names = df.columns if target in df.columns else [*df.columns, target]
-    groups: dict[Any, list[Any]] = {}
-    for a, b in pairs:
-        groups.setdefault(b, []).append(a)
     if len(pairs) <= INLINE_CODES:
         same = [a for a, b in pairs if a == b and type(a) is type(b)]
-        expr = F.when(x.isin(same), x.cast(out_type)) if same else None
-        for b, codes in groups.items():
-            codes = [a for a in codes if a not in same]
-            if not codes:
-                continue
-            value = F.lit(b).cast(out_type)
-            expr = F.when(x.isin(codes), value) if expr is None else expr.when(x.isin(codes), value)
-        expr = rest if expr is None else expr.otherwise(rest)
+        gone = [a for a, b in pairs if b is None]
+        moved = [(a, b) for a, b in pairs if b is not None and a not in same]
+        expr = rest
+        if moved:
+            expr = F.coalesce(lookup(x, dt, moved, out_type), rest) if other == "keep" else lookup(x, dt, moved, out_type)
+        if same and other != "keep":
+            expr = F.when(x.isin(same), x.cast(out_type)).otherwise(expr)
+        if gone and other == "keep":
+            expr = F.when(~F.coalesce(x.isin(gone), F.lit(False)), expr)
         return df.select(*[expr.alias(target) if c == target else q(c) for c in names])
     # The list has at most MAX_NEW_LABELS entries and sits on the driver already.
     kind = pa.string() if isinstance(dt, T.StringType) else pa.int64() if is_integral(dt) else pa.float64()
@@ -404,12 +415,10 @@ def label_expr(df: DataFrame, col: str, levels: str = "default") -> Column:
     meta = get_meta(df, col)
     x = q(col)
     rest = F.lit(None).cast("string") if levels == "labels" else value_text(x, dt)
-    expr = None
-    if levels != "values":
-        for v, text in _texts(meta, levels):
-            hit = x == F.lit(_code(v, dt))
-            expr = F.when(hit, F.lit(text)) if expr is None else expr.when(hit, F.lit(text))
-    return rest if expr is None else expr.otherwise(rest)
+    if levels == "values" or not meta.val_labels:
+        return rest
+    text = lookup(x, dt, [(_code(v, dt), t) for v, t in _texts(meta, levels)], T.StringType())
+    return text if levels == "labels" else F.coalesce(text, rest)
 
 
 def as_factor(df: DataFrame, cols: str | list[str] | None = None, levels: str = "default",

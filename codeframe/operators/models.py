@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..metadata import get_meta, is_numeric, q
+from ..session import tune
 from ..sources.scratch import scratch_path
 
 MAX_LEVELS = 1000
@@ -101,6 +102,7 @@ def linear_model(df: DataFrame, response: str | Column, terms: Sequence, weights
     ``terms``: column names, ``(name, column)`` pairs such as ``("AGE^2", F.col("AGE")**2)``,
     and :class:`Factor`. Text columns count as factors.
     """
+    tune(df.sparkSession)
     names, xs = _design(df, terms, intercept)
     y = (q(response) if isinstance(response, str) else response).cast("double")
     w = F.lit(1.0) if weights is None else (q(weights) if isinstance(weights, str) else weights).cast("double")

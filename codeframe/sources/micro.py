@@ -19,6 +19,7 @@ from ..functions.charset import canonical, slice_field
 from ..metadata import ALL_ATTRS, q
 from ..operators.labels import set_attributes
 from ..select import Selection
+from ..session import tune
 from .ddi import read_codebook
 from .files import file_ext, resolve_data_file
 
@@ -79,6 +80,7 @@ def cut_lines(lines: DataFrame, book: Codebook, rectype_book: Codebook | None =
 
 
 def _book(spark: SparkSession, codebook, lower_vars: bool) -> Codebook:
+    tune(spark)
     if isinstance(codebook, Codebook):
         if lower_vars:
             warnings.warn("lower_vars has been ignored because the codebook is already loaded; "

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..codebook import Codebook, Variable
 from ..functions.charset import canonical, is_one_byte
 from ..metadata import all_meta, is_integral, q
+from ..session import tune
 
 
 def layout(df: DataFrame, widths: dict[str, int], decimals: dict[str, int] | None = None,
@@ -62,6 +63,7 @@ def write_fixed_width(df: DataFrame, path: str, variables: list[Variable], file_
     Spark writes UTF-8. A one-byte ``file_encoding`` lets readers cut fields from bytes, which
     is faster; it is allowed for ASCII content only, anything else stops the job.
     """
+    tune(df.sparkSession)
     lines = to_lines(df, variables)
     if is_one_byte(file_encoding):
         lines = lines.select(F.when(F.octet_length("value") == F.length("value"), F.col("value")).otherwise(

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..codebook import Codebook
 from ..metadata import ALL_ATTRS, all_meta, q, with_meta
 from ..operators.labels import set_attributes
+from ..session import tune
 from ..sources.micro import cut_lines
 from ..sources.scratch import scratch_path
 
@@ -19,6 +20,7 @@ from ..sources.scratch import scratch_path
 def stream_micro(spark: SparkSession, codebook: Codebook, folder: str, files_per_trigger: int = 1000,
                  var_attrs=ALL_ATTRS) -> DataFrame:
     """Fixed-width files of a folder as a stream of labelled rows."""
+    tune(spark)
     lines = spark.readStream.format("text").option("maxFilesPerTrigger", files_per_trigger).load(folder)
     return set_attributes(cut_lines(lines, codebook), codebook, var_attrs)
 
