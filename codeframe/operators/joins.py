@@ -5,8 +5,8 @@ Plan of every join:
 * A boundary side below Spark's own broadcast threshold is left to Spark, which broadcasts
   it; the data side is not moved.
 * Otherwise the data side is checked for hot keys with one mergeable frequent-items sketch
-  (``approx_top_k`` over key hashes: no shuffle, at most ``HOT_KEYS`` longs come back). Rows
-  of a hot key are spread over a number of salts that grows with the key's share, and only
+  (``approx_top_k`` over key hashes: no shuffle, at most ``MAX_HOT_KEYS`` longs come back).
+  Rows of a hot key are spread over a number of salts that grows with the key's share, and only
   the boundary rows of those keys are repeated, once per salt.
 * Without hot keys, right and full joins are Spark's own. With hot keys, or with a boundary
   side that can be broadcast, they are an inner or left join plus the boundary rows whose key
@@ -32,8 +32,7 @@ from pyspark.sql import types as T
 from ..functions.numbers import count_not_numeric, strict_number
 from ..metadata import VarMeta, all_meta, get_meta, is_factor, is_integral, q, with_meta
 
-HOT_KEYS = 64  # a key with more than 1/64 of the rows is hot, so there are at most 64
-_SKETCH_ITEMS = 10_000
+MIN_HOT_KEYS, MAX_HOT_KEYS = 64, 4096
 
 
 # ---------------------------------------------------------------- sizes and hot keys
@@ -65,22 +64,39 @@ def _key_hash(cols: Sequence[Column], types: Sequence[T.DataType]) -> Column:
                         for c, t in zip(cols, types)])
 
 
+def hot_limit(spark: SparkSession) -> int:
+    """A key is hot if it holds more than 1/limit of the rows: about four shuffle partitions'
+    worth. There can be no more than that many hot keys."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return min(max(parts // 4, MIN_HOT_KEYS), MAX_HOT_KEYS)
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple[int, float]]:
-    """(key hash, share of rows) of keys with more than 1/HOT_KEYS of all rows."""
+    """(key hash, share of rows) of the hot keys."""
     types = [df.schema[k].dataType for k in keys]
+    limit = hot_limit(df.sparkSession)
+    tracked = max(10_000, 8 * limit)
     row = (
         df.select(_key_hash([q(k) for k in keys], types).alias("h"))
-        .agg(F.expr(f"approx_top_k(h, {HOT_KEYS}, {_SKETCH_ITEMS})").alias("top"), F.count("*").alias("n"))
+        .agg(F.expr(f"approx_top_k(h, {limit}, {tracked})").alias("top"), F.count("*").alias("n"))
         .first()
     )
     if not row["n"]:
         return []
-    return [(t["item"], t["count"] / row["n"]) for t in row["top"] if t["count"] * HOT_KEYS > row["n"]]
+    return [(t["item"], t["count"] / row["n"]) for t in row["top"] if t["count"] * limit > row["n"]]
 
 
 def _salt_counts(h: Column, hot: list[tuple[int, float]], partitions: int) -> Column:
-    cells = [c for item, share in hot for c in (F.lit(item).cast("bigint"), F.lit(max(2, math.ceil(share * partitions))))]
-    return F.coalesce(F.try_element_at(F.create_map(*cells), h), F.lit(1))
+    """Number of salts of a key: its share in shuffle partitions, as a power of two. Keys of
+    one number share one hashed set, so the test stays cheap with thousands of hot keys."""
+    classes: dict[int, list[int]] = {}
+    for item, share in hot:
+        n = 1 << max(1, math.ceil(math.log2(max(share * partitions, 2))))
+        classes.setdefault(n, []).append(item)
+    expr = F.when(~h.isin([item for item, _ in hot]), F.lit(1))
+    for n, items in sorted(classes.items(), reverse=True):
+        expr = expr.when(h.isin(items), F.lit(n))
+    return expr.otherwise(F.lit(1))
 
 
 def salted(left: DataFrame, right: DataFrame, lkeys: Sequence[str], rkeys: Sequence[str],

@@ -202,3 +202,20 @@ def test_bucketed_record_types_join_without_shuffle(spark, no_broadcast, tmp_pat
     assert out.count() == 100
     spark.sql("drop table bucketed_p")
     spark.sql("drop table bucketed_h")
+
+
+def test_many_hot_keys(spark, no_broadcast):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        assert J.hot_limit(spark) == 500
+        left = spark.range(40000).select((F.col("id") % 100).alias("k"), F.col("id").alias("v"))
+        right = spark.range(120).select(F.col("id").alias("rk"))
+        hot = J.hot_keys(left, ["k"])
+        assert len(hot) == 100
+        l2, r2 = J.salted(left, right, ["k"], ["rk"], hot)
+        assert r2.count() == 100 * 32 + 20
+        assert l2.select("__salt").distinct().count() == 32
+        assert J.skew_join(left, right, ["k"], ["rk"], "inner", hot=hot).coalesce(4).count() == 40000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
