@@ -27,7 +27,7 @@ TABLE = r"^[[:blank:]]*Table [0-9]+:"
 TABLE_NAME = r"^[[:blank:]]*Table .+?:[[:blank:]]+(?<name>.+)$"
 TABLE_CODED = r"^[[:blank:]]*Table .+?:[[:blank:]]+\((?<code>.+?)\)[[:blank:]]+(?<name>.+)$"
 TABLE_CODE = r"^[[:blank:]]*[[:alnum:]]+ code:[[:blank:]]+(?<code>.+)$"
-SERIES = r"^Time series layout:[[:blank:]]+(?<kind>.+)$"
+SERIES_LINE = r"^Time series layout:[[:blank:]]+.+$"
 SERIES_HEADER = r"^[[:blank:]]+Time series"
 FIELD = r"(?<var_name>[[:alnum:]|[:punct:]]+):[[:blank:]]+(?<var_label>.+)$"
 TABLE_HEADER_LINES = 4  # title, universe, source code, table code
@@ -41,7 +41,7 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
 
 
 def with_sections(lines: DataFrame) -> DataFrame:
-    """Add the section title of every line.
+    """Add the section title of every line, and whether its codebook describes a time series.
 
     A title is a line with marker lines on both sides; its section runs to the next marker.
     """
@@ -50,26 +50,31 @@ def with_sections(lines: DataFrame) -> DataFrame:
     mark = detect(F.col("line"), MARKER)
     flagged = lines.withColumn("mark", mark).withColumn(
         "title", ~F.col("mark") & F.coalesce(F.lag("mark").over(w), F.lit(False)) & F.coalesce(F.lead("mark").over(w), F.lit(False)))
+    flagged = flagged.withColumn("series", F.max(detect(F.col("line"), SERIES_LINE)).over(Window.partitionBy("codebook_id")))
     # A marker that closes a title opens its section; any other marker ends one.
     opener = F.coalesce(F.lag("title").over(w), F.lit(False)) & F.col("mark")
     start = F.when(opener, F.lag("line").over(w)).when(F.col("mark"), F.lit(""))
     return (
         flagged.withColumn("section", F.last(start, ignorenulls=True).over(up_to))
         .filter(~F.col("mark") & ~F.col("title") & F.col("section").isNotNull() & (F.col("section") != ""))
-        .select("codebook_id", "line_no", "line", "section")
+        .select("codebook_id", "line_no", "line", "section", "series")
     )
 
 
 def layouts(lines: DataFrame) -> DataFrame:
-    """``(codebook_id, layout)``: "files", "tables", "series" or NULL when it is none."""
-    body = with_sections(lines).filter(detect(F.col("section"), DICTIONARY))
-    kind = body.groupBy("codebook_id").agg(
-        F.bool_or(detect(F.col("line"), DATA_FILE.replace("(?<data_file>.+)", ""))).alias("files"),
-        F.bool_or(detect(F.col("line"), CONTEXT)).alias("context"))
-    series = lines.groupBy("codebook_id").agg(F.bool_or(detect(F.col("line"), r"^Time series layout:")).alias("series"))
-    layout = (F.when(F.col("context") & F.col("series"), "series").when(F.col("context"), "tables")
-              .when(F.col("files"), "files"))
-    return series.join(kind, "codebook_id", "left").select("codebook_id", layout.alias("layout"))
+    """``(codebook_id, layout)``: "files", "tables" or "series"; no row when it is none."""
+    return _dictionary(lines).select("codebook_id", "layout").distinct()
+
+
+def _dictionary(lines: DataFrame) -> DataFrame:
+    """Data dictionary lines with the codebook's layout. All windows run per codebook, so the
+    lines are shuffled once."""
+    book = Window.partitionBy("codebook_id")
+    body = with_sections(lines).filter(detect(F.col("section"), DICTIONARY)).drop("section")
+    context = F.max(detect(F.col("line"), CONTEXT)).over(book)
+    of_files = F.max(capture(F.col("line"), DATA_FILE)["data_file"] != "").over(book)
+    layout = F.when(context & F.col("series"), "series").when(context, "tables").when(of_files, "files")
+    return body.withColumn("layout", layout).drop("series").filter("layout is not null")
 
 
 def textbook_variables(lines: DataFrame) -> DataFrame:
@@ -79,8 +84,7 @@ def textbook_variables(lines: DataFrame) -> DataFrame:
     """
     w = Window.partitionBy("codebook_id").orderBy("line_no")
     up_to = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    body = with_sections(lines).filter(detect(F.col("section"), DICTIONARY)).drop("section")
-    body = body.join(layouts(lines), "codebook_id").filter("layout is not null")
+    body = _dictionary(lines)
     line = F.col("line")
     is_table = detect(line, TABLE) & (F.col("layout") != "files")
     file_name = capture(line, DATA_FILE)["data_file"]
@@ -161,7 +165,7 @@ def read_text_codebook(spark: SparkSession, path: str, data_layer: Selection = N
         if project is None:
             raise ValueError("not a known text codebook layout")
     layout = layouts(lines).first()
-    if layout is None or layout["layout"] is None:
+    if layout is None:
         raise ValueError("not a known text codebook layout")
     rows = textbook_variables(lines).orderBy("pos").collect()
     if layout["layout"] == "files":
