@@ -37,6 +37,8 @@ def decode(raw: Column, charset: str | None) -> Column:
     name = canonical(charset)
     if name == "UTF-8":
         return raw.cast("string")
+    if name == "US-ASCII":
+        name = DEFAULT_CHARSET  # the same for ASCII bytes, and a stray byte does not stop the job
     if name == "WINDOWS-1252":
         # Differs from Latin-1 only in 0x80-0x9F; the table comes from Python's codec.
         high = [(chr(b), bytes([b]).decode("cp1252", errors="ignore")) for b in range(0x80, 0xA0)]

@@ -80,12 +80,14 @@ def _typed(df: DataFrame, types: dict[str, T.DataType] | None) -> DataFrame:
 
 
 def read_area_table(spark: SparkSession, data_file: str, data_layer: Selection = None, codebook=None,
-                    var_attrs=ALL_ATTRS, encoding: str | None = None, types: dict[str, T.DataType] | None = None) -> DataFrame:
+                    var_attrs=ALL_ATTRS, encoding: str | None = None, types: dict[str, T.DataType] | None = None,
+                    csv_options: dict | None = None) -> DataFrame:
     """Area-level CSV: optional second header row, guessed types, labels from the codebook.
 
     ``codebook`` is a :class:`Codebook` or a path; by default it is looked for in the same
     archive or folder, or as ``x_codebook.txt`` next to ``x.csv``. Without a codebook the
-    table has no labels.
+    table has no labels. ``csv_options`` go to Spark's CSV source, for example
+    ``{"multiLine": True}`` for texts with line breaks (such a file is read by one task).
     """
     book = codebook
     if isinstance(codebook, str):
@@ -94,13 +96,14 @@ def read_area_table(spark: SparkSession, data_file: str, data_layer: Selection =
         path = data_file if is_bundle(data_file) else codebook_path_for(data_file)
         if path != data_file or is_bundle(data_file):
             book = _optional(lambda: read_text_codebook(spark, path, data_layer) if path_exists(spark, path) else None)
-    raw = _text_csv(spark, data_file, data_layer, encoding or "ISO-8859-1")
+    raw = _text_csv(spark, data_file, data_layer, encoding or "ISO-8859-1", **(csv_options or {}))
     out = _typed(drop_second_header(raw), types)
     return set_attributes(out, book, var_attrs) if book is not None else out
 
 
 def read_area_utf8(spark: SparkSession, data_file: str, data_layer: Selection = None, ddi=None, codebook=None,
-                   var_attrs=ALL_ATTRS, types: dict[str, T.DataType] | None = None) -> tuple[DataFrame, Codebook | None]:
+                   var_attrs=ALL_ATTRS, types: dict[str, T.DataType] | None = None,
+                   csv_options: dict | None = None) -> tuple[DataFrame, Codebook | None]:
     """Area CSV in UTF-8 described by an XML codebook (terms) and a text codebook (variables).
 
     Where both are given, the variables and the project name are the text codebook's. Both are
@@ -117,12 +120,13 @@ def read_area_utf8(spark: SparkSession, data_file: str, data_layer: Selection =
     book = xml or text
     if xml is not None and text is not None:
         book = replace(xml, variables=text.variables, project=text.project)
-    out = _typed(_text_csv(spark, data_file, data_layer, "UTF-8"), types)
+    out = _typed(_text_csv(spark, data_file, data_layer, "UTF-8", **(csv_options or {})), types)
     return (set_attributes(out, book, var_attrs) if book is not None else out), book
 
 
 def read_mixed_micro(spark: SparkSession, data_file: str, ddi=None, data_layer: Selection = None,
-                     n_max: int | None = None, var_attrs=ALL_ATTRS, encoding: str | None = None) -> DataFrame:
+                     n_max: int | None = None, var_attrs=ALL_ATTRS, encoding: str | None = None,
+                     csv_options: dict | None = None) -> DataFrame:
     """CSV microdata whose codebook covers only part of the columns.
 
     The missing-value token is ``null``. Declared numbers are read leniently (symbols and
@@ -133,7 +137,7 @@ def read_mixed_micro(spark: SparkSession, data_file: str, ddi=None, data_layer:
     if book is None and is_bundle(data_file):
         book = _optional(lambda: read_codebook(spark, data_file))
     charset = encoding or (book.file_encoding if book is not None else None) or "ISO-8859-1"
-    raw = _text_csv(spark, data_file, data_layer, charset, nullValue="null")
+    raw = _text_csv(spark, data_file, data_layer, charset, nullValue="null", **(csv_options or {}))
     if n_max is not None:
         from ..streaming.chunks import with_row_no
         raw = with_row_no(raw, "__no").filter(F.col("__no") <= n_max).drop("__no")

@@ -71,6 +71,12 @@ def test_mixed(spark, tmp_path):
     assert dict(cf.read_mixed_micro(spark, str(tmp_path / "m.csv")).dtypes)["COUNTRY"] == "double"
 
 
+def test_line_breaks_in_texts(spark, tmp_path):
+    (tmp_path / "m.csv").write_text('a,b\n"x\ny",1\nz,2\n')
+    df = cf.read_area_table(spark, str(tmp_path / "m.csv"), csv_options={"multiLine": True})
+    assert sorted(map(tuple, df.collect())) == [("x\ny", 1.0), ("z", 2.0)]
+
+
 def test_given_types_skip_the_guess(spark, tmp_path):
     from pyspark.sql import types as T
     (tmp_path / "p.csv").write_text("a,b\n1,1\n2,2\n")

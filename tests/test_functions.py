@@ -77,7 +77,7 @@ def test_arithmetic(spark):
 
 @pytest.mark.parametrize("name,raw,want", [
     ("ISO-8859-1", b"Do\xf1a", "Doña"), (None, b"Do\xf1a", "Doña"), ("windows-1252", b"\x80 \x93x\x94 \xf1", "€ “x” ñ"),
-    ("UTF-8", "Doña".encode(), "Doña"), ("latin1", b"\xe9", "é")])
+    ("UTF-8", "Doña".encode(), "Doña"), ("latin1", b"\xe9", "é"), ("ASCII", b"abc", "abc")])
 def test_decode(spark, name, raw, want):
     df = spark.createDataFrame([(bytearray(raw),)], "b binary")
     assert df.select(charset.decode(F.col("b"), name)).first()[0] == want
