@@ -35,6 +35,10 @@ class Factor:
     levels: tuple | None = None
 
 
+def _number(v: float) -> float | None:
+    return None if np.isnan(v) else float(v)
+
+
 @dataclass
 class LinearFit:
     """Coefficients and covariance of a least-squares fit."""
@@ -49,11 +53,11 @@ class LinearFit:
 
     def table(self, spark) -> DataFrame:
         se = np.sqrt(np.diag(self.vcov))
-        rows = [(t, float(b), float(s), float(b / s) if s > 0 else None) for t, b, s in zip(self.names, self.coef, se)]
+        rows = [(t, _number(b), _number(s), float(b / s) if s > 0 else None) for t, b, s in zip(self.names, self.coef, se)]
         return spark.createDataFrame(rows, "term string, estimate double, std_error double, t_value double")
 
     def vcov_table(self, spark) -> DataFrame:
-        rows = [(a, b, float(self.vcov[i, j])) for i, a in enumerate(self.names) for j, b in enumerate(self.names)]
+        rows = [(a, b, _number(self.vcov[i, j])) for i, a in enumerate(self.names) for j, b in enumerate(self.names)]
         return spark.createDataFrame(rows, "term1 string, term2 string, cov double")
 
 
@@ -95,12 +99,25 @@ def _design(df: DataFrame, terms: Sequence, intercept: bool) -> tuple[list[str],
     return names, cols
 
 
+def _independent(a: np.ndarray, tol: float = 1e-10) -> list[int]:
+    """Columns that are no linear combination of earlier ones (``a`` has unit diagonal)."""
+    used: list[int] = []
+    for j in range(len(a)):
+        left = a[j, j]
+        if used:
+            left -= a[j, used] @ np.linalg.solve(a[np.ix_(used, used)], a[used, j])
+        if left > tol:
+            used.append(j)
+    return used
+
+
 def linear_model(df: DataFrame, response: str | Column, terms: Sequence, weights: str | Column | None = None,
                  intercept: bool = True) -> LinearFit:
     """(Weighted) least squares. Rows with a NULL in any used column are left out.
 
     ``terms``: column names, ``(name, column)`` pairs such as ``("AGE^2", F.col("AGE")**2)``,
-    and :class:`Factor`. Text columns count as factors.
+    and :class:`Factor`. Text columns count as factors. A term that is a combination of
+    earlier ones gets NaN.
     """
     tune(df.sparkSession)
     names, xs = _design(df, terms, intercept)
@@ -122,9 +139,8 @@ def linear_model(df: DataFrame, response: str | Column, terms: Sequence, weights
              for i in range(k + 1) for j in range(i + 1)]
     m = shifted.agg(*aggs).first()
     n = m["n"]
-    p = k + (1 if intercept else 0)
-    if n < p:
-        raise ValueError(f"{n} complete rows for {p} coefficients")
+    if n < k + (1 if intercept else 0):
+        raise ValueError(f"{n} complete rows for {k + (1 if intercept else 0)} coefficients")
     s = np.array([m[f"s_{i}"] for i in range(k + 1)])
     full = np.zeros((k + 1, k + 1))
     for i in range(k + 1):
@@ -136,19 +152,27 @@ def linear_model(df: DataFrame, response: str | Column, terms: Sequence, weights
     mean = s / sw + c0 if intercept else np.zeros(k + 1)
     a, b, yy = full[:k, :k], full[:k, k], full[k, k]
     # Scaling to unit diagonal keeps terms such as AGE and AGE^2 solvable together.
-    d = np.sqrt(np.where(np.diag(a) > 0, np.diag(a), 1.0)) if k else np.ones(0)
-    inv = np.linalg.inv(a / np.outer(d, d)) / np.outer(d, d) if k else np.zeros((0, 0))
-    slope = inv @ b if k else np.zeros(0)
-    rss = float(max(yy - slope @ b, 0.0)) if k else float(yy)
+    d = np.sqrt(np.where(np.diag(a) > 0, np.diag(a), 1.0))
+    used = _independent(a / np.outer(d, d))
+    p = len(used) + (1 if intercept else 0)
+    sub, du = np.ix_(used, used), d[used]
+    inv = np.full((k, k), np.nan)
+    slope = np.full(k, np.nan)
+    inv_used = np.linalg.inv(a[sub] / np.outer(du, du)) / np.outer(du, du)
+    inv[sub] = inv_used
+    slope[used] = inv_used @ b[used]
+    rss = float(max(yy - slope[used] @ b[used], 0.0))
     dof = n - p
     sigma2 = rss / dof if dof > 0 else float("nan")
     if intercept:
         xm = mean[:k]
-        coef = np.concatenate([[mean[k] - xm @ slope], slope])
-        cov = np.zeros((p, p))
+        coef = np.concatenate([[mean[k] - xm[used] @ slope[used]], slope])
+        cov = np.full((k + 1, k + 1), np.nan)
         cov[1:, 1:] = inv
-        cov[0, 1:] = cov[1:, 0] = -(inv @ xm) if k else 0.0
-        cov[0, 0] = 1.0 / sw + (xm @ inv @ xm if k else 0.0)
+        across = np.full(k, np.nan)
+        across[used] = -(inv_used @ xm[used])
+        cov[0, 1:] = cov[1:, 0] = across
+        cov[0, 0] = 1.0 / sw + xm[used] @ inv_used @ xm[used]
         names = ["(Intercept)", *names]
     else:
         coef, cov = slope, inv

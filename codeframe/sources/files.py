@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..select import Selection, pick
+from ..select import Selection, pick, row_condition
 from .scratch import scratch_path
 
 # Endings tried for a missing data file, and what bundle members count as.
@@ -97,8 +97,7 @@ def list_files(spark: SparkSession, path: str, types: list[str] | None = None, d
     for t in types or list(TYPES):
         cond = F.col("type") == t
         if layers[t] is not None:
-            names = [r["file"] for r in found.filter(F.col("type") == t).collect()]
-            cond = cond & F.col("file").isin(pick(names, layers[t]))
+            cond = cond & row_condition(F.col("file"), layers[t])
         keep = cond if keep is None else keep | cond
     return found.filter(keep)
 

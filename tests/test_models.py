@@ -84,3 +84,19 @@ def test_logit(spark, frame, sample, stage):
         p = 1 / (1 + np.exp(-x @ b))
         b = b + np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]), x.T @ (y - p))
     assert got["(Intercept)"] == pytest.approx(b[0], rel=1e-5) and got["AGE"] == pytest.approx(b[1], rel=1e-5)
+
+
+def test_aliased_terms(spark, frame, sample):
+    age, _, y = sample
+    fit = cf.linear_model(frame, "INCTOT", ["AGE", ("twice", F.col("AGE") * 2 + 1), ("none", F.lit(0.0)), ("sq", F.col("AGE") ** 2)])
+    x = np.column_stack([np.ones(len(y)), age, age.astype(float) ** 2])
+    b, v = ols(x, y)
+    np.testing.assert_allclose(fit.coef[[0, 1, 4]], b, rtol=1e-7)
+    np.testing.assert_allclose(fit.vcov[np.ix_([0, 1, 4], [0, 1, 4])], v, rtol=1e-5)
+    assert np.isnan(fit.coef[[2, 3]]).all() and fit.df_residual == 1997
+    assert fit.table(spark).filter("estimate is null").count() == 2
+
+
+def test_intercept_only(frame, sample):
+    fit = cf.linear_model(frame, "INCTOT", [])
+    assert fit.coef[0] == pytest.approx(sample[2].mean()) and fit.vcov[0, 0] == pytest.approx(sample[2].var(ddof=1) / 2000)
