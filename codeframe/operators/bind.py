@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -83,8 +82,7 @@ def bind_rows(*frames, id: str | None = None) -> DataFrame:
         if id is not None:
             cols.insert(0, F.lit(key if key is not None else str(i + 1)).alias(id))
         plain.append(f.select(*cols))
-    out = reduce(lambda a, b: a.unionByName(b), plain)
-    return with_meta(out, {c: m for c, m in metas.items() if m is not None})
+    return with_meta(_union(plain), {c: m for c, m in metas.items() if m is not None})
 
 
 def bind_layers(layers: dict[str, DataFrame], add_layer: bool | None = None) -> DataFrame:
@@ -113,4 +111,12 @@ def bind_layers(layers: dict[str, DataFrame], add_layer: bool | None = None) ->
     for f in tagged:
         for c, m in all_meta(f).items():
             metas.setdefault(c, m)
-    return with_meta(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged), metas)
+    return with_meta(_union(tagged), metas)
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    """Union by name, built as a balanced tree so that the plan of many tables stays shallow."""
+    while len(frames) > 1:
+        pairs = [frames[i:i + 2] for i in range(0, len(frames), 2)]
+        frames = [p[0].unionByName(p[1], allowMissingColumns=True) if len(p) == 2 else p[0] for p in pairs]
+    return frames[0]

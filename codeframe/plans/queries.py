@@ -852,7 +852,7 @@ def chunk_list_tabulate(spark, sf):
 @query("SELECT l_linestatus, sum(l_quantity) AS n FROM lineitem GROUP BY 1")
 def pull_tabulate(spark, sf):
     reader = chunks.RowReader(chunks.with_row_no(table(spark, sf, "lineitem").select("l_linestatus", "l_quantity")))
-    size = max(chunks.CHUNK_SIZE, -(-reader._total // 8))
+    size = max(chunks.CHUNK_SIZE, -(-reader.total // 8))
     parts = chunks.stack_pulls(reader, lambda p: p.groupBy("l_linestatus").agg(F.sum("l_quantity").alias("n")), size)
     return parts.groupBy("l_linestatus").agg(F.sum("n").alias("n"))
 

@@ -316,7 +316,7 @@ def _csv_columns(raw: DataFrame, book: Codebook) -> DataFrame:
 # ---------------------------------------------------------------- resumable pulls
 
 class RowReader:
-    """Pull a table piece by piece: ``pull(n)``, ``reset()``, ``is_done()``, ``position``.
+    """Pull a table piece by piece: ``pull(n)``, ``reset()``, ``is_done()``, ``position``, ``total``.
 
     The numbered rows are written once as Parquet to the shared folder. Files hold runs of
     consecutive row numbers, so a pull reads only the row groups of its range.
@@ -330,19 +330,19 @@ class RowReader:
         numbered.write.mode("errorifexists").parquet(where)
         self.path = where
         self.stored = with_meta(spark.read.schema(numbered.schema).parquet(where), self._meta)
-        self._total = self.stored.agg(F.max(q(row_no))).first()[0] or 0
+        self.total = self.stored.agg(F.max(q(row_no))).first()[0] or 0
         self.position = 0
 
     def pull(self, n: int = CHUNK_SIZE) -> DataFrame | None:
         """The next n rows, or None when all have been read."""
         if self.is_done():
             return None
-        lo, hi = self.position + 1, min(self.position + n, self._total)
+        lo, hi = self.position + 1, min(self.position + n, self.total)
         self.position = hi
         return self.stored.filter(q(self._row_no).between(lo, hi)).drop(self._row_no)
 
     def is_done(self) -> bool:
-        return self.position >= self._total
+        return self.position >= self.total
 
     def reset(self) -> None:
         self.position = 0

@@ -10,6 +10,7 @@ from codeframe import VarMeta, lbl
 from codeframe.codebook import Variable
 from codeframe.operators import labels as L
 
+# The label vectors for which results are stated.
 PAIRS = ((10, "Yes"), (11, "Yes - Logically Assigned"), (20, "No"), (30, "Maybe"), (99, "NIU"))
 VALUES = [10, 10, 11, 20, 30, 99, 30, 10]
 
