@@ -19,6 +19,7 @@ _ALIASES = {
     "CP1252": "WINDOWS-1252", "ANSI 1252": "WINDOWS-1252", "ANSI_1252": "WINDOWS-1252",
     "UTF8": "UTF-8", "ASCII": "US-ASCII",
 }
+_NEAR = 64  # positions up to here are counted in characters without more ado
 _ONE_BYTE = {"ISO-8859-1", "WINDOWS-1252", "US-ASCII"}
 
 
@@ -53,5 +54,10 @@ def slice_field(line: Column, start: int, width: int, charset: str | None, as_te
         raw = F.substring(line.cast("binary"), start, width)
         return decode(raw, charset) if as_text else raw.cast("string")
     if canonical(charset) == "UTF-8":
-        return F.substring(line, start, width)
+        chars = F.substring(line, start, width)
+        if start <= _NEAR:
+            return chars
+        # Counting characters starts at the head of the line; in a pure ASCII line bytes do.
+        ascii_line = F.octet_length(line) == F.length(line)
+        return F.when(ascii_line, F.substring(line.cast("binary"), start, width).cast("string")).otherwise(chars)
     return F.substring(decode(line.cast("binary"), charset), start, width)

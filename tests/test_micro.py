@@ -152,6 +152,13 @@ def test_utf8_positions_are_characters(spark, tmp_path):
     assert [tuple(r) for r in cf.read_micro(spark, book).collect()] == [("añb", 12), ("xyz", 34)]
 
 
+def test_far_utf8_positions(spark, tmp_path):
+    lines = ["a" * 70 + "xyz12", "ñ" * 70 + "éyz34", "", "short"]
+    (tmp_path / "u.dat").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    book = Codebook((Variable("T", start=71, end=73), Variable("N", start=74, end=75, var_type="integer")), "u.dat", str(tmp_path), file_encoding="UTF-8")
+    assert [tuple(r) for r in cf.read_micro(spark, book).collect()] == [("xyz", 12), ("éyz", 34), (None, None), (None, None)]
+
+
 def test_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, 1475.59, "ab", None), (-2, None, "", 7), (3, 0.07, "ñ", 8)], "i int, w double, t string, n bigint")
     df = cf.with_meta(df, {"i": cf.VarMeta("I", None, ((1, "one"),))})
