@@ -9,10 +9,11 @@ therefore enters the sketch of its own band and, as a possible larger partner, t
 joined, pairs that share too few are dropped, and the rest are verified on the whole sets.
 
 Nothing is capped. What words alone cannot promise has an exact way beside them:
-* sets of fewer than 48 shingles, and sets with so many empty words that the count above proves nothing, enter
-  their ``n // 4 + 1`` smallest shingles as one-shingle words (a prefix of a common order, which any linked pair shares);
-* a word held by more than ``GROUP`` sets is compared with one pivot (its smallest set) only. After the links so
-  found are merged, what still lies in different components is compared again with other pivots, and at last in full.
+* sets of fewer than 48 shingles (and, to meet them, those of up to 63) enter every shingle as a word of its own;
+* sets with so many empty words that the count above proves nothing also enter their ``n // 4 + 1`` smallest shingles as
+  one-shingle words (a prefix of a common order, which any linked pair shares);
+* a word held by more than ``linking.GROUP`` sets is compared with one pivot only. Sets with few such words show their links in
+  their other words, by the same count; the rest (as a rule groups of near copies) are settled by ``linking.settle``.
 """
 
 from __future__ import annotations
@@ -25,16 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codeframe.llm import text as T
-from codeframe.llm.components import components
+from codeframe.llm.linking import FOUND, GROUP, found_pairs, held_by_many, pack, settle
 from codeframe.llm.tables import pieces, written
 
 #: Sets with fewer shingles use single shingles as words.
 SMALL = 48
-#: Words with more sets than this are compared with a pivot instead of in all pairs.
-GROUP = 16
 #: Sketch words that one task of the join holds.
-WORDS_PER_TASK = 1_500_000
-PIVOT_ROUNDS = 2
+WORDS_PER_TASK = 600_000
 
 
 def band_edges(largest: int = 1 << 40) -> np.ndarray:
@@ -100,7 +98,9 @@ def keys_of(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
         if unsure.any():
             out.append(prefix_keys(values, bounds, unsure, 1 + bands))
     # A pair across the limit meets here: the larger set has at most 4/3 of 47 shingles.
-    out.append(prefix_keys(values, bounds, n < -(-4 * SMALL // 3), np.full(len(n), 1 << 20)))
+    rows = np.repeat(np.arange(len(n)), n)
+    small = n[rows] < -(-4 * SMALL // 3)
+    out.append((rows[small], T.mix(values[small] ^ T.mix(np.array([1 << 20], np.uint64)))))
     return np.concatenate([r for r, _ in out]), np.concatenate([k for _, k in out]), empty
 
 
@@ -117,106 +117,46 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(rows, f"id {kind}, n long, cls long")
 
 
-def _blobs(docs: DataFrame, parts: int, text_col: str) -> DataFrame:
-    """(part, runs, keys): sketch words of many sets for each target partition, packed. Equal sets of a block enter once."""
+def _entries(docs: DataFrame, parts: int, text_col: str) -> DataFrame:
+    """Sketch words of all sets, packed by target partition. Equal sets of a block enter once."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, values, bounds in T.shingle_sets(batch.column(0)):
-                cls = T.set_ids(values, bounds)
-                n = np.diff(bounds)
+                cls, n = T.set_ids(values, bounds), np.diff(bounds)
                 _, first = np.unique(cls, return_index=True)
                 once = np.zeros(len(cls), bool)
                 once[first] = True
                 once &= n > 0
-                kept = np.repeat(once, n)
-                values, cls, n = values[kept], cls[once], n[once]
-                bounds = np.concatenate([[0], np.cumsum(n)])
-                row, key, empty = keys_of(values, bounds)
-                if not len(row):
-                    continue
-                part = ((key >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
-                order = np.lexsort((row, part))
-                row, key, part = row[order], key[order], part[order]
-                head = np.ones(len(row), bool)
-                head[1:] = (row[1:] != row[:-1]) | (part[1:] != part[:-1])
-                heads = np.flatnonzero(head)
-                runs = np.zeros(len(heads), RUN)
-                runs["cls"], runs["n"], runs["words"] = cls[row[heads]], n[row[heads]], np.diff(heads, append=len(row))
-                runs["own"], runs["low"] = empty[row[heads], 0], empty[row[heads], 1]
-                short = np.ascontiguousarray(key.view(np.uint8).reshape(-1, 8)[:, :5])  # the rest of a key is in its partition
-                cuts = np.flatnonzero(np.diff(part, prepend=-1, append=parts + 1))
-                run_cuts = np.searchsorted(heads, cuts)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(part[cuts[:-1]].astype(np.int32)),
-                    pa.array([runs[x:y].tobytes() for x, y in zip(run_cuts[:-1], run_cuts[1:])], pa.binary()),
-                    pa.array([short[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:])], pa.binary())], names=["part", "runs", "keys"])
+                values, cls, n = values[np.repeat(once, n)], cls[once], n[once]
+                row, key, empty = keys_of(values, np.concatenate([[0], np.cumsum(n)]))
+                if len(row):
+                    yield pack(row, key, cls, n, empty, parts)
 
     return docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(rows, "part int, runs binary, keys binary")
 
 
-RUN = np.dtype([("cls", "<i8"), ("n", "<i4"), ("words", "<i4"), ("own", "<i4"), ("low", "<i4")])
-#: kind 0: sets a and b share ``shared`` words; kind 1: set b is one of many that hold word a.
-_FOUND = pa.schema([("kind", pa.int8()), ("a", pa.int64()), ("b", pa.int64()), ("na", pa.int64()), ("nb", pa.int64()),
-                    ("empty", pa.int64()), ("shared", pa.int64())])
-
-
-def near(na: np.ndarray, nb: np.ndarray) -> np.ndarray:
-    """Can sets of these sizes reach 3/4?"""
-    return 4 * np.minimum(na, nb) >= 3 * np.maximum(na, nb)
-
-
-def _found(table: pa.Table, group: int) -> pa.Table:
-    """All pairs of the sets that share a word, counted; for words of many sets, pairs with the smallest set, and the holders."""
-    runs = np.concatenate([np.frombuffer(x, RUN) for x in table["runs"].to_pylist()])
-    raw = np.frombuffer(b"".join(table["keys"].to_pylist()), np.uint8).reshape(-1, 5)
-    wide = np.zeros((len(raw), 8), np.uint8)
-    wide[:, :5] = raw
-    keys = wide.view(np.uint64).ravel() | (np.uint64(table["part"][0].as_py()) << np.uint64(40))
-    at = np.repeat(np.arange(len(runs)), runs["words"])
-    order = np.lexsort((runs["cls"][at], keys))
-    keys, at = keys[order], at[order]
-    cls = runs["cls"][at]
-    fresh = np.ones(len(keys), bool)
-    fresh[1:] = (keys[1:] != keys[:-1]) | (cls[1:] != cls[:-1])
-    keys, at = keys[fresh], at[fresh]
-    heads = np.flatnonzero(np.diff(keys, prepend=keys[0] + np.uint64(1)))
-    sizes = np.diff(heads, append=len(keys))
-    left, right = [], []
-    few = (sizes > 1) & (sizes <= group)
-    for step in range(1, group):
-        start, size = heads[few & (sizes > step)], sizes[few & (sizes > step)] - step
-        x = np.repeat(start, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        left.append(x)
-        right.append(x + step)
-    many = np.flatnonzero(sizes > group)
-    held = np.repeat(many, sizes[many])
-    hot = np.concatenate([np.arange(heads[g], heads[g] + sizes[g]) for g in many]) if len(many) else np.zeros(0, np.int64)
-    rest = hot != heads[held]
-    left.append(heads[held][rest])
-    right.append(hot[rest])
-    a, b = runs[at[np.concatenate(left)]], runs[at[np.concatenate(right)]]
-    ok = near(a["n"], b["n"])
-    a, b = a[ok], b[ok]
+def _pair_empties(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Empty words that two sets may share in the sketch of the smaller one's band."""
     low = np.minimum(band(a["n"]), band(b["n"]))
-    empty = np.minimum(*(np.where(band(x["n"]) == low, x["own"], x["low"]) for x in (a, b)))
-    order = np.lexsort((b["cls"], a["cls"]))
-    a, b, empty = a[order], b[order], empty[order]
-    head = np.ones(len(a), bool)
-    head[1:] = (a["cls"][1:] != a["cls"][:-1]) | (b["cls"][1:] != b["cls"][:-1])
-    heads = np.flatnonzero(head)
-    h = runs[at[hot]]
-    zero = np.zeros(len(h), np.int64)
-    columns = zip((np.zeros(len(heads), np.int8), a["cls"][heads], b["cls"][heads], a["n"][heads], b["n"][heads], empty[heads],
-                   np.diff(heads, append=len(a))),
-                  (np.ones(len(h), np.int8), keys[hot].view(np.int64), h["cls"], h["n"], zero, zero, zero))
-    return pa.Table.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(columns, _FOUND)], schema=_FOUND)
+    return np.minimum(*(np.where(band(x["n"]) == low, x["own"], x["low"]) for x in (a, b)))
+
+
+def _spare(runs: np.ndarray) -> np.ndarray:
+    """How many of a set's words may be much-held (or cancel each other) while any linked pair still shares another one."""
+    n = runs["n"].astype(np.int64)
+    own = np.maximum(band(n), 0)
+    low = np.maximum(own - 1, 0)
+    as_smaller = WORDS[own] - n // 3 - runs["own"]
+    as_larger = np.where(own > 0, WORDS[low] - np.minimum(_MOST[low], (EDGES[own] - 1 + n) // 7) - runs["low"], as_smaller)
+    in_small = -(-3 * n // 4)  # a linked set shares that many shingles at least
+    return np.where(n < SMALL, in_small, np.where(n < -(-4 * SMALL // 3), np.minimum(in_small, as_smaller), np.minimum(as_smaller, as_larger)))
 
 
 def shared_words(docs: DataFrame, parts: int, text_col: str = "text", group: int = GROUP) -> DataFrame:
-    """Pairs of sets that share sketch words, and the holders of words that many share (see ``_FOUND``)."""
-    blobs = _blobs(docs, parts, text_col)
-    return blobs.groupBy("part").applyInArrow(lambda t: _found(t, group), "kind byte, a long, b long, na long, nb long, empty long, shared long")
+    """Pairs of sets that share sketch words, and the holders of words that many share (``linking.FOUND``)."""
+    packed = _entries(docs, parts, text_col)
+    return packed.groupBy("part").applyInArrow(lambda t: found_pairs(t, group, _pair_empties, _spare), FOUND)
 
 
 def allowance(n: str) -> F.Column:
@@ -230,27 +170,19 @@ def allowance(n: str) -> F.Column:
     return out
 
 
-def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(a, b) of those pairs of set ids whose whole sets have a Jaccard similarity of 3/4 or more.
-
-    ``members`` has a row (id) of each set (cls). Only texts of sets that occur in a pair are read into sets again.
-    """
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(members, "cls").select(F.col("id").alias("__id"), "cls")
+def sets_of(asked: DataFrame, docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(cls, set): the whole sets of the ids asked for, read again from the texts of ``members`` (cls, id), one for each id."""
+    wanted = asked.join(members, "cls").select(F.col("id").alias("__id"), "cls")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, values, bounds in T.shingle_sets(batch.column(1)):
-                right = T.set_ids(values, bounds) == batch.column(0).slice(a, b - a).to_numpy()
+                right = T.set_ids(values, bounds) == batch.column(0).slice(a, b - a).to_numpy()  # an id may stand on several texts
                 sets = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), sets], names=["cls", "set"]).filter(pa.array(right))
 
-    texts = docs.join(asked, F.col(id_col) == F.col("__id")).select("cls", F.col(text_col).cast("string").alias("t"))
-    # a doubled id may bring one set twice, so pairs are made distinct below
-    sets = texts.mapInArrow(rows, "cls long, set array<long>")
-    joined = (pairs.select("a", "b").join(sets.select(F.col("cls").alias("b"), F.col("set").alias("sb")), "b")
-              .join(sets.select(F.col("cls").alias("a"), F.col("set").alias("sa")), "a"))
-    both = F.size(F.array_intersect("sa", "sb")).cast("long")
-    return joined.where(100 * both >= 75 * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct()
+    texts = docs.join(wanted, F.col(id_col) == F.col("__id")).select("cls", F.col(text_col).cast("string").alias("t"))
+    return texts.mapInArrow(rows, "cls long, set array<long>")
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
@@ -267,51 +199,23 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     members = sized.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"))
     total = sized.agg(F.sum("n")).first()[0] or 0
     found = written(shared_words(docs, pieces(spark, 0.75 * total, WORDS_PER_TASK), text_col, group), "words")
-    hot = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("cls"), F.col("na").alias("n"))
-    holds = hot.groupBy("cls").agg(F.count(F.lit(1)).alias("hot"))
+    hot = held_by_many(found)
+    holds = hot.groupBy("cls").agg(F.count(F.lit(1)).alias("hot"), F.min("spare").alias("least"))
+    # the others' links show in words that few share
+    unsure = hot.drop("spare").join(holds.where(F.col("hot") >= F.col("least")).select("cls"), "cls", "left_semi")
     pairs = found.where("kind = 0").groupBy("a", "b").agg(*(F.max(c).alias(c) for c in ("na", "nb", "empty")), F.sum("shared").alias("shared"))
     pairs = pairs.withColumn("least", F.least("na", "nb"))
     # shared words, and those that may be hidden among empty and much-held ones, must reach k - (a + b) // 7
-    short = allowance("least") - F.floor((F.col("na") + F.col("nb")) / 7) - F.col("empty") - F.col("shared")
+    need = F.when(F.col("least") < SMALL, F.ceil(3 * (F.col("na") + F.col("nb")) / 7)).otherwise(
+        allowance("least") - F.floor((F.col("na") + F.col("nb")) / 7) - F.col("empty"))
+    short = need - F.col("shared")
     likely = (pairs.withColumn("short", short).join(holds.select(F.col("cls").alias("a"), F.col("hot").alias("ha")), "a", "left")
               .join(holds.select(F.col("cls").alias("b"), F.col("hot").alias("hb")), "b", "left")
               .where(F.col("short") <= F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))).select("a", "b"))
-    tried = written(likely, "pairs")
-    links = written(verified(tried, docs, members, id_col, text_col), "links")
-    parts = written(components(links), "parts")
-    if not hot.isEmpty():
-        for turn in range(PIVOT_ROUNDS + 1):
-            more = written(_unsettled(hot, parts, tried, turn, PIVOT_ROUNDS), "more")
-            if more.isEmpty():
-                break
-            tried = tried.unionByName(more)
-            fresh = written(verified(more, docs, members, id_col, text_col), "links")
-            if not fresh.isEmpty():
-                links = links.unionByName(fresh)
-                parts = written(components(links), "parts")
+    parts = settle(likely, unsure, lambda asked: sets_of(asked, docs, members, id_col, text_col))
     smallest = (members.join(parts.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "id", F.coalesce("component", "cls").alias("component")))
     names = smallest.groupBy("component").agg(F.min("id").alias("component_id"))
     by_set = smallest.join(names, "component").select(F.col("cls").alias("__cls"), "component_id")
     return sized.join(by_set, F.col("cls") == F.col("__cls"), "left").select(
         "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
-
-def _unsettled(hot: DataFrame, parts: DataFrame, tried: DataFrame, turn: int, pivots: int) -> DataFrame:
-    """Pairs of sets of one much-held word that lie in different components and were not compared yet.
-
-    At first only those with one pivot of each word (the set that comes first in an order that changes from turn to turn),
-    then all that are left. Words whose holders are all in one component, as after a group of near copies, drop out.
-    """
-    placed = hot.join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn("part", F.coalesce("component", "cls"))
-    mixed = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"),
-                                      F.min(F.struct(F.xxhash64("cls", F.lit(turn)), "cls", "n", "part")).alias("pivot")).where("lo <> hi")
-    if turn < pivots:
-        left = mixed.select("key", F.col("pivot.cls").alias("x"), F.col("pivot.n").alias("nx"), F.col("pivot.part").alias("px"))
-        differ = F.col("x") != F.col("y")
-    else:
-        left = placed.join(mixed.select("key"), "key", "left_semi").select("key", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("part").alias("px"))
-        differ = F.col("x") < F.col("y")
-    right = placed.select("key", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("part").alias("py"))
-    sizes = 4 * F.least("nx", "ny") >= 3 * F.greatest("nx", "ny")
-    pairs = left.join(right, "key").where(differ & sizes & (F.col("px") != F.col("py"))).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    return pairs.distinct().join(tried, ["a", "b"], "left_anti")

@@ -13,7 +13,7 @@ import pyarrow as pa
 
 SHINGLE = 5
 #: Bytes of text handled at once; a longer text is handled alone and whole.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C13)
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
