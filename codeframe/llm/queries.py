@@ -2,19 +2,84 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeframe.llm.parity_join import similar_groups
+from codeframe.llm import bpe, cross_entropy, hamming_index, lang_crf, mixing, paragraphs, parity_join, quality, tool_calls
+from codeframe.llm.bit_sliced import top_products
 from codeframe.llm.tables import table
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights 5, 2, 1 by source, 150 % of all words, no source more than twice."""
+    return mixing.mix_sources(table(spark, sf_dir, "documents"), [5, 2, 1], 150, 2).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+#: Tools that the turns of ``conversations`` are read as calls of.
+TOOLS = {
+    "search": {"properties": {"query": {"type": "string", "maxLength": 400}, "limit": {"type": "integer", "minimum": 1, "maximum": 8}}, "required": ["query"]},
+    "translate": {"properties": {"query": {"type": "string"}, "limit": {"type": "integer", "maximum": 6}}, "required": ["query", "limit"]},
+}
+
+
+def tool_turns(chats: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(calls, results) of a chat: each user turn asks for a tool by an id of its own and depends on the user turn before; the turn that follows answers it."""
+    name_of = lambda turn: F.md5(F.concat_ws(":", F.col("conv_id").cast("string"), turn.cast("string")))
+    text = F.coalesce("text", F.lit(""))
+    tool = F.when(F.length(text) % 3 == 0, "search").when(F.length(text) % 3 == 1, "translate").otherwise("lookup")
+    arguments = F.concat(F.lit('{ "query": '), tool_calls.quoted(text), F.lit(', "limit": '), F.col("turn").cast("string"), F.lit(" }"))
+    parent = F.when(F.col("turn") >= 2, name_of(F.col("turn") - 2))
+    calls = chats.where("role = 'user'").select("conv_id", "turn", name_of(F.col("turn")).alias("call_id"), tool.alias("name"),
+                                                arguments.alias("arguments"), parent.alias("parent"))
+    results = chats.where("role = 'assistant'").select(name_of(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
+    return calls, results
+
+
+def op2_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user turn as a call and every assistant turn as a result, linked, ordered, validated and serialised."""
+    calls, results = tool_turns(table(spark, sf_dir, "conversations"))
+    return tool_calls.link_tool_calls(calls, results, TOOLS)
+
+
+def op3_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_index.nearest(table(spark, sf_dir, "embeddings"), "id % 20 = 0", 20)
+
+
+def op4_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents labelled as good and not toxic; background: all."""
+    good = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
+    return cross_entropy.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
+def op5_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
+def op6_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_crf.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return similar_groups(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+    return parity_join.similar_groups(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+def op8_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(table(spark, sf_dir, "embeddings"), "id % 50 = 0", 5)
+
+
+def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op7_ngram_jaccard_join,)}
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_tool_call_linking, op3_multi_index_hashing, op4_cross_entropy_difference, op5_paragraph_dedup,
+                                   op6_language_crf, op7_ngram_jaccard_join, op8_pairwise_quality, op9_bit_sliced_top_k, op10_byte_level_bpe)}
 
 ORACLES = {
     "op7_ngram_jaccard_join": r"""
@@ -30,4 +95,26 @@ ORACLES = {
         r AS (SELECT a AS doc_id, a AS other FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a)
         SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(m.c, s.doc_id)) AS component_id
         FROM s LEFT JOIN (SELECT doc_id, min(other) AS c FROM r GROUP BY doc_id) m ON m.doc_id = s.doc_id""",
+    "op1_source_mixing": r"""
+        WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+                     md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents),
+        p AS (SELECT source, sum(size) AS z, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS s FROM d GROUP BY source),
+        w AS (SELECT *, CASE s % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w, 2 * z AS cap, sum(z) OVER () AS total FROM p),
+        o AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / w, s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+                sum(w) OVER (ORDER BY cap / w, s ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open FROM w),
+        f AS (SELECT *, cap * open * 100 <= (total * 150 - before * 100) * w AS f FROM o),
+        g AS (SELECT source, CAST(z AS BIGINT) AS z, CASE WHEN f THEN CAST(cap AS DOUBLE) ELSE (CAST(total AS DOUBLE) * 1.5
+                - CAST(coalesce(sum(CASE WHEN f THEN cap END) OVER (), 0) AS DOUBLE)) / CAST(sum(CASE WHEN NOT f THEN w END) OVER () AS DOUBLE) * w END AS target FROM f),
+        q AS (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS quota FROM g),
+        r AS (SELECT d.*, q.z, q.target, q.quota, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
+        SELECT doc_id, source, CAST(size AS BIGINT) AS size, z AS source_size, target,
+          CAST(greatest(0, least(at + size, quota) - at) + greatest(0, least(at + z + size, quota) - at - z) AS BIGINT) AS taken FROM r""",
+    "op9_bit_sliced_top_k": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+                   WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(range(1, len(a.e) + 1), lambda i: a.e[i] * b.e[i])) AS BIGINT) AS score
+              FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0)
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+        QUALIFY rank <= 5""",
 }
