@@ -26,9 +26,12 @@ from pyspark.sql import types as T
 from ..metadata import (
     ALL_ATTRS, Lbl, VarMeta, all_meta, fill_lbl, get_meta, is_integral, is_numeric, labelled_columns, q, with_meta,
 )
+from ..sources.scratch import scratch_path
 
-INLINE_CODES = 200  # longer code lists are joined instead of inlined
-MAX_NEW_LABELS = 20_000  # labels that fit into column metadata; larger sets stay a table
+INLINE_CODES = 200  # longer code lists are joined instead of inlined; results are the same
+BROADCAST_CODES = 100_000  # code lists up to this length (a few MB) are broadcast; Spark decides about longer ones
+MAX_NEW_LABELS = 20_000  # new labels kept in column metadata; more are kept as a table that the metadata names
+LABEL_TABLE = "label_table"  # metadata key of such a table's path
 
 Rule = Union[Callable[[Column, Column], Column], Column, str]
 
@@ -100,16 +103,28 @@ def _sort_key(pair):
     return (isinstance(v, str), v)
 
 
+def one_per_code(pairs) -> list[tuple[Any, Any]]:
+    """The first pair of each code, in order. Every form of a lookup starts here, so a code that stands twice gives the
+    same value whatever the length of the list."""
+    first: dict[Any, Any] = {}
+    for a, b in pairs:
+        first.setdefault(a, b)
+    return list(first.items())
+
+
+def _code_frame(df: DataFrame, table: pa.Table) -> DataFrame:
+    """A code list, which sits on the driver already, as a table; broadcast if its length is within the bound."""
+    frame = df.sparkSession.createDataFrame(table)
+    return F.broadcast(frame) if table.num_rows <= BROADCAST_CODES else frame
+
+
 def lookup(x: Column, dt: T.DataType, pairs, out_type: T.DataType) -> Column:
     """Value of a short code list, NULL outside it.
 
     A literal map: its code does not grow with the list, unlike a CASE chain, which soon
     makes a generated method too large for the JVM to compile.
     """
-    first: dict[Any, Any] = {}
-    for a, b in pairs:
-        first.setdefault(a, b)
-    cells = [c for a, b in first.items() for c in (F.lit(a).cast(dt), F.lit(b).cast(out_type))]
+    cells = [c for a, b in one_per_code(pairs) for c in (F.lit(a).cast(dt), F.lit(b).cast(out_type))]
     return F.try_element_at(F.create_map(*cells), x)
 
 
@@ -123,8 +138,8 @@ def recode(df: DataFrame, col: str, mapping: list[tuple[Any, Any]], out_type: T.
     target = out or col
     x = q(col)
     rest = x.cast(out_type) if other == "keep" else F.lit(None).cast(out_type)
-    pairs = [(_code(a, dt), None if b is None else (_code(b, out_type) if not isinstance(out_type, T.BooleanType) else b))
-             for a, b in mapping]
+    pairs = one_per_code((_code(a, dt), None if b is None else (_code(b, out_type) if not isinstance(out_type, T.BooleanType) else b))
+                         for a, b in mapping)
     names = df.columns if target in df.columns else [*df.columns, target]
     if len(pairs) <= INLINE_CODES:
         same = [a for a, b in pairs if a == b and type(a) is type(b)]
@@ -138,16 +153,15 @@ def recode(df: DataFrame, col: str, mapping: list[tuple[Any, Any]], out_type: T.
         if gone and other == "keep":
             expr = F.when(~F.coalesce(x.isin(gone), F.lit(False)), expr)
         return df.select(*[expr.alias(target) if c == target else q(c) for c in names])
-    # The list has at most MAX_NEW_LABELS entries and sits on the driver already.
     kind = pa.string() if isinstance(dt, T.StringType) else pa.int64() if is_integral(dt) else pa.float64()
     value_kind = (pa.string() if isinstance(out_type, T.StringType) else pa.bool_() if isinstance(out_type, T.BooleanType)
                   else pa.int64() if is_integral(out_type) else pa.float64())
-    codes = df.sparkSession.createDataFrame(pa.table({
+    codes = _code_frame(df, pa.table({
         "__code": pa.array([a for a, _ in pairs], kind),
         "__new": pa.array([b for _, b in pairs], value_kind),
         "__hit": pa.array([True] * len(pairs)),
     }))
-    joined = df.join(F.broadcast(codes), x == F.col("__code"), "left")
+    joined = df.join(codes, x == F.col("__code"), "left")
     expr = F.when(F.col("__hit"), F.col("__new").cast(out_type)).otherwise(rest)
     return joined.select(*[expr.alias(target) if c == target else q(c) for c in names])
 
@@ -328,7 +342,7 @@ def unlabelled_values(df: DataFrame, col: str) -> DataFrame:
     if 0 < len(known) <= INLINE_CODES:
         return vals.filter(~F.col("val").isin(known)).distinct()
     if known:
-        return vals.join(F.broadcast(_code_table(df, col, get_meta(df, col))), "val", "left_anti").distinct()
+        return vals.join(_code_table(df, col, get_meta(df, col)), "val", "left_anti").distinct()
     return vals.distinct()
 
 
@@ -342,18 +356,20 @@ def label_table_for_values(df: DataFrame, col: str, labeller=None) -> DataFrame:
 def lbl_add_vals(df: DataFrame, col: str, labeller=None, vals: list | None = None) -> DataFrame:
     """Label values that have none: the given ones, or all distinct unlabelled values.
 
-    ``labeller`` maps the column ``val`` to text (a function of a column, or SQL text).
+    ``labeller`` maps the column ``val`` to text (a function of a column, or SQL text). Up to MAX_NEW_LABELS new labels join the
+    column's metadata. More are written as a table to the shared folder and the metadata name it:
+    :func:`as_factor` decodes by both, so any number of values can be labelled.
     """
     meta = get_meta(df, col)
     dt = df.schema[col].dataType
     old = [(_plain(v), t) for v, t in meta.val_labels]
     if vals is None:
-        rows = label_table_for_values(df, col, labeller).limit(MAX_NEW_LABELS + 1).collect()
+        table = label_table_for_values(df, col, labeller)
+        rows = table.limit(MAX_NEW_LABELS + 1).collect()
         if len(rows) > MAX_NEW_LABELS:
-            raise ValueError(
-                f"Column {col} has more than {MAX_NEW_LABELS} unlabelled values, too many for column metadata: "
-                "use label_table_for_values() with decode_with_table()."
-            )
+            path = scratch_path(df.sparkSession, "labels")
+            table.write.parquet(path)
+            return with_meta(df, {col: replace(meta, other={**meta.other, LABEL_TABLE: path})})
         new = [(_plain(r["val"]), r["lbl"]) for r in rows]
     else:
         known = {v for v, _ in old}
@@ -387,7 +403,7 @@ def lbl_clean(df: DataFrame, cols: str | list[str] | None = None) -> DataFrame:
         used = {c: {_plain(v) for v in row[f"s{i}"]} for i, c in enumerate(short)}
     for c, m in metas.items():
         if c not in used:
-            found = df.select(q(c).alias("val")).join(F.broadcast(_code_table(df, c, m)), "val", "left_semi").distinct()
+            found = df.select(q(c).alias("val")).join(_code_table(df, c, m), "val", "left_semi").distinct()
             used[c] = {_plain(r["val"]) for r in found.collect()}
     return with_meta(df, {c: m.with_labels([p for p in m.val_labels if _plain(p[0]) in used[c]]) for c, m in metas.items()})
 
@@ -396,7 +412,8 @@ def _code_table(df: DataFrame, col: str, meta: VarMeta) -> DataFrame:
     """The codes of a label set as a table ``(val)``; as large as the metadata it comes from."""
     dt = df.schema[col].dataType
     kind = pa.string() if isinstance(dt, T.StringType) else pa.int64() if is_integral(dt) else pa.float64()
-    return df.sparkSession.createDataFrame(pa.table({"val": pa.array([_code(v, dt) for v, _ in meta.val_labels], kind)}))
+    codes = list(dict.fromkeys(_code(v, dt) for v, _ in meta.val_labels))
+    return _code_frame(df, pa.table({"val": pa.array(codes, kind)}))
 
 
 # ---------------------------------------------------------------- decoding and stripping
@@ -415,6 +432,8 @@ def label_expr(df: DataFrame, col: str, levels: str = "default") -> Column:
     meta = get_meta(df, col)
     x = q(col)
     rest = F.lit(None).cast("string") if levels == "labels" else value_text(x, dt)
+    if LABEL_TABLE in meta.other and levels != "values":
+        raise ValueError(f"the labels of {col} are a table: as_factor() joins it")
     if levels == "values" or not meta.val_labels:
         return rest
     text = lookup(x, dt, [(_code(v, dt), t) for v, t in _texts(meta, levels)], T.StringType())
@@ -440,6 +459,10 @@ def as_factor(df: DataFrame, cols: str | list[str] | None = None, levels: str =
         meta = metas[c]
         ordered = sorted(_texts(meta, levels), key=_sort_key)
         new_meta[c] = replace(meta, val_labels=(), levels=tuple(dict.fromkeys(t for _, t in ordered)))
+        if LABEL_TABLE in meta.other and levels != "values":
+            new_meta[c] = replace(new_meta[c], other={k: v for k, v in meta.other.items() if k != LABEL_TABLE})
+            out, exprs[c] = _decode_by_stored(df, out, c, meta, levels)
+            continue
         if len(meta.val_labels) <= INLINE_CODES or levels == "values":
             exprs[c] = label_expr(df, c, levels)
             continue
@@ -457,6 +480,19 @@ def as_factor(df: DataFrame, cols: str | list[str] | None = None, levels: str =
     return with_meta(out.select(*select), new_meta)
 
 
+def _decode_by_stored(df: DataFrame, out: DataFrame, c: str, meta: VarMeta, levels: str) -> tuple[DataFrame, Column]:
+    """Label text of a column whose further labels are a stored table; its own labels come first."""
+    dt = df.schema[c].dataType
+    text = value_text(q(c), dt)
+    out = recode(out, c, list(meta.val_labels), T.StringType(), out=f"__own_{c}")
+    stored = df.sparkSession.read.parquet(meta.other[LABEL_TABLE]).select(F.col("val").alias(f"__val_{c}"), F.col("lbl").alias(f"__more_{c}"))
+    out = out.join(stored, q(c) == q(f"__val_{c}"), "left").drop(f"__val_{c}")
+    found = F.coalesce(q(f"__own_{c}"), q(f"__more_{c}"))
+    if levels == "both":
+        found = F.concat(F.lit("["), text, F.lit("] "), found)
+    return out, found if levels == "labels" else F.coalesce(found, text)
+
+
 def decode_with_table(df: DataFrame, col: str, label_table: DataFrame, out: str | None = None) -> DataFrame:
     """Label text by joining a ``(val, lbl)`` table of any size.
 

@@ -1,7 +1,7 @@
 """Name selection: lists of names and matchers such as ``starts_with("WT")``.
 
-A selection is a name, a matcher, or a (nested) list of them; a leading ``exclude`` drops
-names. Matching ignores case unless told otherwise.
+A selection is a name, a matcher, or a (nested) list of them; ``exclude`` drops names from what
+stands before it, or from all. Matching ignores case unless told otherwise.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ class Matcher:
 
     names: Callable[[Sequence[str]], list[str]]
     rows: Callable[[Column], Column]
+    minus: Selection = None  # what an exclusion takes away
 
     def __call__(self, names: Sequence[str]) -> list[str]:
         return self.names(names)
@@ -84,8 +85,9 @@ def everything() -> Matcher:
 
 
 def exclude(selection: Selection) -> Matcher:
+    """All names but those selected; behind another part of a list, takes them away from what that part chose."""
     return Matcher(lambda names: [n for n in names if n not in set(pick(names, selection))],
-                   lambda c: ~row_condition(c, selection))
+                   lambda c: ~row_condition(c, selection), selection)
 
 
 def row_condition(c: Column, selection: Selection) -> Column:
@@ -96,8 +98,12 @@ def row_condition(c: Column, selection: Selection) -> Column:
         return c == selection
     if isinstance(selection, Matcher):
         return selection.rows(c)
-    parts = [row_condition(c, p) for p in selection]
-    return reduce(or_, parts) if parts else F.lit(False)
+    out = None
+    for part in selection:
+        hit = row_condition(c, part)
+        taken_away = isinstance(part, Matcher) and part.minus is not None
+        out = hit if out is None else out & hit if taken_away else out | hit
+    return F.lit(False) if out is None else out
 
 
 def pick(names: Sequence[str], selection: Selection) -> list[str]:
@@ -111,8 +117,12 @@ def pick(names: Sequence[str], selection: Selection) -> list[str]:
     if isinstance(selection, Matcher):
         return list(dict.fromkeys(selection(names)))
     out: dict[str, None] = {}
-    for part in selection:
-        out.update(dict.fromkeys(pick(names, part)))
+    for i, part in enumerate(selection):
+        chosen = pick(names, part)
+        if i and isinstance(part, Matcher) and part.minus is not None:
+            out = {n: None for n in out if n in chosen}
+        else:
+            out.update(dict.fromkeys(chosen))
     return list(out)
 
 

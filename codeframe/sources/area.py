@@ -7,7 +7,10 @@ Columns are read as text and typed on all their values (one aggregate over the f
 from __future__ import annotations
 
 import csv
+import warnings
 from dataclasses import replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +18,11 @@ from pyspark.sql import types as T
 
 from ..codebook import Codebook
 from ..functions.charset import canonical
-from ..functions.numbers import convert, guess_types, lenient_number, na_to_null, to_number
+from ..functions.numbers import BOOLEAN, DATE, NUMBER, TIMESTAMP, convert, guess_types, lenient_number, na_to_null, to_number
 from ..metadata import ALL_ATTRS, q
 from ..operators.labels import set_attributes
 from ..select import Selection
+from ..streaming.chunks import _is_plain_scan
 from .ddi import read_codebook
 from .files import file_ext, find_files, is_bundle, member_lines, path_exists
 from .textbook import codebook_path_for, read_text_codebook
@@ -46,31 +50,46 @@ def _text_csv(spark: SparkSession, path: str, member: Selection, charset: str, *
 
 
 def _optional(read):
-    """A codebook if there is a readable one."""
+    """A codebook if there is one; one that cannot be read or chosen is left out with a warning."""
     try:
         return read()
-    except (ValueError, FileNotFoundError):
+    except FileNotFoundError:
+        return None
+    except ValueError as why:
+        warnings.warn(f"no labels: {why}", stacklevel=3)
         return None
 
 
-def drop_second_header(df: DataFrame) -> DataFrame:
-    """Remove a descriptive second header row, if there is one.
+def drop_second_header(df: DataFrame, second_header: bool | None = None) -> DataFrame:
+    """Remove descriptive second header rows: the first data row of each file, never a later one.
 
-    It is one if no value of the first data row converts to anything but text. Such a row
-    repeats at the head of every file of a folder, so rows equal to it in all columns go.
+    With None, a first row is taken for a header if it holds text and none of its values converts to anything else, and a warning tells
+    when rows go; True drops the first row of every file, False none. Rows that did not come
+    straight from files (archive members) have one file's head only.
     """
-    head = df.limit(1)
-    first = df.first()
-    if first is None:
-        return df
-    types = guess_types(head)
-    if not all(isinstance(types.get(c), T.StringType) for c in df.columns):
+    if second_header is False or not df.columns:
         return df
-    same = None
-    for c in df.columns:
-        hit = q(c).eqNullSafe(F.lit(first[c]))
-        same = hit if same is None else same & hit
-    return df.filter(~same)
+    if second_header is None:
+        first = df.first()
+        if first is None or not all(isinstance(t, T.StringType) for t in guess_types(df.limit(1)).values()):
+            return df
+        warnings.warn("a first data row without any number is taken for a second header and left out; "
+                      "second_header=False keeps it", stacklevel=3)
+    if not _is_plain_scan(df):
+        same = reduce(and_, [q(c).eqNullSafe(F.lit(df.first()[c])) for c in df.columns])
+        return df.filter(~same)
+    place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
+             F.monotonically_increasing_id().alias("__id")]
+    heads = (df.select(*place).filter("__start = 0").groupBy(F.col("__file").alias("__head_file"))
+             .agg(F.min("__id").alias("__head")))
+    text_only = F.lit(True)
+    if second_header is None:
+        for c in df.columns:
+            text_only = text_only & (q(c).isNull() | ~F.trim(q(c)).rlike(f"{NUMBER}|{BOOLEAN}|{DATE}|{TIMESTAMP}"))
+    tagged = df.select(*[q(c) for c in df.columns], *place)
+    is_head = (F.col("__start") == 0) & (F.col("__id") == F.col("__head")) & text_only
+    out = tagged.join(heads, F.col("__file") == F.col("__head_file"), "left").filter(~F.coalesce(is_head, F.lit(False)))
+    return out.select(*[q(c) for c in df.columns])
 
 
 def _typed(df: DataFrame, types: dict[str, T.DataType] | None) -> DataFrame:
@@ -81,13 +100,14 @@ def _typed(df: DataFrame, types: dict[str, T.DataType] | None) -> DataFrame:
 
 def read_area_table(spark: SparkSession, data_file: str, data_layer: Selection = None, codebook=None,
                     var_attrs=ALL_ATTRS, encoding: str | None = None, types: dict[str, T.DataType] | None = None,
-                    csv_options: dict | None = None) -> DataFrame:
+                    csv_options: dict | None = None, second_header: bool | None = None) -> DataFrame:
     """Area-level CSV: optional second header row, guessed types, labels from the codebook.
 
     ``codebook`` is a :class:`Codebook` or a path; by default it is looked for in the same
     archive or folder, or as ``x_codebook.txt`` next to ``x.csv``. Without a codebook the
     table has no labels. ``csv_options`` go to Spark's CSV source, for example
     ``{"multiLine": True}`` for texts with line breaks (such a file is read by one task).
+    ``second_header``: see :func:`drop_second_header`.
     """
     book = codebook
     if isinstance(codebook, str):
@@ -97,7 +117,7 @@ def read_area_table(spark: SparkSession, data_file: str, data_layer: Selection =
         if path != data_file or is_bundle(data_file):
             book = _optional(lambda: read_text_codebook(spark, path, data_layer) if path_exists(spark, path) else None)
     raw = _text_csv(spark, data_file, data_layer, encoding or "ISO-8859-1", **(csv_options or {}))
-    out = _typed(drop_second_header(raw), types)
+    out = _typed(drop_second_header(raw, second_header), types)
     return set_attributes(out, book, var_attrs) if book is not None else out
 
 

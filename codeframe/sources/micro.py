@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import warnings
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,8 @@ from pyspark.sql import types as T
 
 from ..codebook import Codebook, Variable
 from ..functions.charset import canonical, slice_field
-from ..metadata import ALL_ATTRS, q
+from ..functions.numbers import to_number
+from ..metadata import ALL_ATTRS, is_integral, q
 from ..operators.labels import set_attributes
 from ..select import Selection
 from ..session import tune
@@ -42,10 +44,17 @@ def cut_variable(line: Column, v: Variable, charset: str | None) -> Column:
     if isinstance(dt, T.StringType):
         text = F.trim(slice_field(line, v.start, v.width, charset, as_text=True))
         return F.when(text != "", text)
-    number = slice_field(line, v.start, v.width, charset, as_text=False).try_cast(dt)
+    number = typed_text(slice_field(line, v.start, v.width, charset, as_text=False), dt)
     return number / F.lit(10.0 ** v.imp_decim) if v.imp_decim else number
 
 
+def typed_text(text: Column, dt: T.DataType) -> Column:
+    """A field's text as its type; what is no number is NULL, Java's own forms ("12D", "NaN", "0x1p3") included."""
+    if isinstance(dt, T.StringType):
+        return F.trim(text)
+    return text.try_cast(dt) if is_integral(dt) else to_number(text, dt.simpleString())
+
+
 def rectype_expr(line: Column, book: Codebook) -> Column:
     """Record-type code of a line, as text. Codes are ASCII, so their bytes need no decoding."""
     ids = [v for v in book.variables if v.name == book.rectype_idvar]
@@ -108,11 +117,27 @@ def read_lines(spark: SparkSession, path, n_max: int | None = None, spread_gzip:
     """
     lines = spark.read.text(path)
     if n_max is not None:
-        from ..streaming.chunks import with_row_no
-        return with_row_no(lines, "__no").filter(F.col("__no") <= n_max).drop("__no")
+        return first_rows(lines, n_max, spark.read.text)
     return _spread(lines) if spread_gzip and _few_gzip_files(lines) else lines
 
 
+def first_rows(df: DataFrame, n: int, read: Callable[[list[str]], DataFrame]) -> DataFrame:
+    """The first n rows of a scan, in file and line order; only the files that hold them are read.
+
+    ``read`` makes the same scan of a list of files. Each file is asked for no more rows than are still missing.
+    """
+    from ..streaming.chunks import with_row_no
+    used, missing = [], n
+    for path in sorted(df.inputFiles()):
+        used.append(path)
+        missing -= read([path]).limit(missing).count()
+        if missing <= 0:
+            break
+    if not used:
+        return df.limit(0)
+    return with_row_no(read(used), "__no").filter(F.col("__no") <= n).drop("__no")
+
+
 def _few_gzip_files(df: DataFrame) -> bool:
     """Only gzip files, and fewer of them than tasks can run."""
     files = df.inputFiles()
@@ -133,8 +158,8 @@ def _read_csv(spark: SparkSession, path, book: Codebook, n_max: int | None, spre
         raise ValueError("a file of several record types cannot be CSV")
     raw = spark.read.csv(path, header=True, encoding=canonical(book.file_encoding), nullValue="NA")
     if n_max is not None:
-        from ..streaming.chunks import with_row_no
-        raw = with_row_no(raw, "__no").filter(F.col("__no") <= n_max).drop("__no")
+        raw = first_rows(raw, n_max, lambda files: spark.read.schema(raw.schema).csv(
+            files, header=True, encoding=canonical(book.file_encoding), nullValue="NA"))
     elif spread_gzip and _few_gzip_files(raw):
         wanted = {v.name.upper() for v in book.variables}
         raw = _spread(raw.select(*[q(c) for c in raw.columns if c.upper() in wanted]))
@@ -146,7 +171,7 @@ def _read_csv(spark: SparkSession, path, book: Codebook, n_max: int | None, spre
             continue
         c = q(have[v.name.upper()])
         dt = _SPARK_TYPE.get(v.var_type, T.StringType())
-        cols.append((F.trim(c) if isinstance(dt, T.StringType) else c.try_cast(dt)).alias(v.name))
+        cols.append(typed_text(c, dt).alias(v.name))
     return raw.select(*cols)
 
 

@@ -31,9 +31,10 @@ def layout(df: DataFrame, widths: dict[str, int], decimals: dict[str, int] | Non
 
 
 def _field(c: Column, v: Variable, dt: T.DataType) -> Column:
-    """One field of exactly ``v.width`` characters; a value that does not fit stops the job."""
+    """One field of exactly ``v.width`` characters; a value that does not fit, or breaks the line, stops the job."""
     if isinstance(dt, T.StringType):
-        text, pad = F.coalesce(c, F.lit("")), F.rpad
+        broken = F.raise_error(F.concat(F.lit(f"line break in {v.name}: "), c)).cast("string")
+        text, pad = F.coalesce(F.when(c.contains("\n") | c.contains("\r"), broken).otherwise(c), F.lit("")), F.rpad
     else:
         # Scale to whole units; round() undoes binary noise such as 1475.59 * 100.
         units = F.round(c.cast("double") * F.lit(10.0 ** v.imp_decim)).cast("bigint") if not is_integral(dt) else (

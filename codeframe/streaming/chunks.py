@@ -39,23 +39,26 @@ def with_row_no(df: DataFrame, name: str = "row_no", blocks: bool = False) -> Da
     ``spark.sql.files.minPartitionNum`` pins the splits.
 
     ``blocks`` also keeps the row range of the block (``__lo``, ``__hi``), which lets
-    :func:`chunk_map` run most chunks where they lie.
+    :func:`chunk_map` run most chunks where they lie. Without it the table gains the number only.
+
+    ``df`` must be a scan, with columns chosen or rows filtered at most: after a shuffle, a sort or a join
+    rows have no place in a file any more, and the call is refused.
     """
     meta = all_meta(df)
-    if not df.inputFiles():
+    if not _is_plain_scan(df):
         raise ValueError("rows are numbered on a file scan; write the table to files first")
     tagged = df.select(
         *[q(c) for c in df.columns], F.col("_metadata.file_path").alias("__file"),
         F.col("_metadata.file_block_start").alias("__start"), F.col("_metadata.file_block_length").alias("__len"),
         F.monotonically_increasing_id().alias("__id"))
-    blocks = (
+    sizes = (
         df.select(F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
                   F.col("_metadata.file_block_length").alias("__len"), F.monotonically_increasing_id().alias("__id"))
         .groupBy("__file", "__start", "__len").agg(F.count("*").alias("__n"), F.min("__id").alias("__first"))
     )
     # One row per input split: a few hundred thousand at most, on one task.
     order = Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(
+    offsets = sizes.select(
         F.col("__file").alias("__bfile"), F.col("__start").alias("__bstart"), F.col("__len").alias("__blen"),
         "__first", "__n", F.coalesce(F.sum("__n").over(order), F.lit(0)).alias("__offset"))
     small = _split_bound(df) <= MAX_BROADCAST_SPLITS
@@ -64,7 +67,8 @@ def with_row_no(df: DataFrame, name: str = "row_no", blocks: bool = False) -> Da
         (F.col("__file") == F.col("__bfile")) & (F.col("__start") == F.col("__bstart")) & (F.col("__len") == F.col("__blen")),
         "left")
     number = F.col("__offset") + (F.col("__id") - F.col("__first")) + 1
-    checked = F.when(F.col("__first").isNotNull(), number).otherwise(
+    inside = F.col("__first").isNotNull() & (F.col("__id") - F.col("__first") < F.col("__n"))
+    checked = F.when(inside, number).otherwise(
         F.raise_error(F.lit("the file was split differently in two scans; set spark.sql.files.minPartitionNum")).cast("bigint"))
     cols = [*[q(c) for c in df.columns], checked.alias(name)]
     if blocks:  # without the broadcast, rows do not stay in their block
@@ -74,6 +78,18 @@ def with_row_no(df: DataFrame, name: str = "row_no", blocks: bool = False) -> Da
     return with_meta(joined.select(*cols), meta)
 
 
+def _is_plain_scan(df: DataFrame) -> bool:
+    """Is the plan one file scan under projections and filters only?"""
+    if not df.inputFiles():
+        return False
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.children().size() == 1:
+        if plan.nodeName() not in ("Project", "Filter", "SubqueryAlias", "View"):
+            return False
+        plan = plan.children().head()
+    return plan.children().isEmpty()
+
+
 def _split_bound(df: DataFrame) -> int:
     """Upper bound of the number of input splits: one per file and one per full split."""
     split = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
@@ -208,7 +224,7 @@ def chunk_side_effect(df: DataFrame, f: Callable[[pd.DataFrame, int], Any], chun
     A chunk may run again when its executor is lost: side effects must allow it. Use a stored
     table (a :class:`RowReader` writes one) so that a wave reads only its rows.
     """
-    meta, keep = _labels_of(df), [c for c in df.columns if c != row_no]
+    meta, keep = _labels_of(df), [c for c in df.columns if c not in (row_no, "__lo", "__hi")]
     last = df.agg(F.max(q(row_no))).first()[0]
     if last is None:
         return 0
@@ -300,7 +316,7 @@ def _numbered_micro(spark, codebook, vars, data_file, var_attrs, lower_vars, blo
 
 
 def _csv_columns(raw: DataFrame, book: Codebook) -> DataFrame:
-    from ..sources.micro import _SPARK_TYPE
+    from ..sources.micro import _SPARK_TYPE, typed_text
     if book.hierarchical:
         raise ValueError("a file of several record types cannot be CSV")
     have = {c.upper(): c for c in raw.columns}
@@ -309,7 +325,7 @@ def _csv_columns(raw: DataFrame, book: Codebook) -> DataFrame:
         if v.name.upper() in have:
             dt = _SPARK_TYPE.get(v.var_type, T.StringType())
             c = q(have[v.name.upper()])
-            cols.append((F.trim(c) if isinstance(dt, T.StringType) else c.try_cast(dt)).alias(v.name))
+            cols.append(typed_text(c, dt).alias(v.name))
     return raw.select(*[c for c in ("row_no", "__lo", "__hi") if c in raw.columns], *cols)
 
 
@@ -339,7 +355,7 @@ class RowReader:
             return None
         lo, hi = self.position + 1, min(self.position + n, self.total)
         self.position = hi
-        return self.stored.filter(q(self._row_no).between(lo, hi)).drop(self._row_no)
+        return self.stored.filter(q(self._row_no).between(lo, hi)).drop(self._row_no, "__lo", "__hi")
 
     def is_done(self) -> bool:
         return self.position >= self.total
