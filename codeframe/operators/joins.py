@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from ..functions.numbers import count_not_numeric, strict_number
 from ..metadata import VarMeta, all_meta, get_meta, is_factor, is_integral, q, with_meta
 
-MIN_HOT_KEYS, MAX_HOT_KEYS = 64, 4096
+MIN_HOT_KEYS, MAX_HOT_KEYS = 64, 100_000  # the latter is what one sketch can report; it is reached at 400,000 shuffle partitions
 
 
 # ---------------------------------------------------------------- sizes and hot keys
@@ -126,13 +126,13 @@ def needs_salt_check(left: DataFrame, right: DataFrame, skew: str) -> bool:
 
 
 def skew_join(left: DataFrame, right: DataFrame, lkeys: Sequence[str], rkeys: Sequence[str], how: str,
-              skew: str = "salt", hot: list[tuple[int, float]] | None = None, null_safe: bool = True) -> DataFrame:
+              skew: str = "aqe", hot: list[tuple[int, float]] | None = None, null_safe: bool = True) -> DataFrame:
     """Equi-join that may keep left rows (inner, left, left_semi, left_anti).
 
     The two sides must share no column name. With ``null_safe`` a NULL key meets a NULL key;
     without it, a partitioning or bucketing on the keys can be used again. ``skew="aqe"`` leaves hot keys to Spark's
-    run-time skew handling and saves the sketch pass; ``hot`` gives the hot keys if they are
-    known.
+    run-time skew handling, which these join types allow, and runs no job. ``skew="salt"`` sketches the keys first and spreads
+    the rows of hot ones by all their columns: choose the columns before. ``hot`` gives the hot keys if they are known.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported: {how}")
@@ -277,14 +277,16 @@ class JoinResult:
 
 
 def shape_join(data: DataFrame, shape: DataFrame, by, how: str = "inner", suffix: tuple[str, str] = ("", "_SHAPE"),
-               require_geometry: bool = False, skew: str = "salt", eager_checks: bool = False,
+               require_geometry: bool = False, skew: str | None = None, eager_checks: bool = False,
                geometry: str = "geometry") -> JoinResult:
     """Join data to boundaries on aligned keys; data columns come first.
 
     NULL keys match NULL keys. ``how`` is inner, left (all data), right (all boundaries) or
     full. With ``require_geometry`` only inner and right are allowed. Non-key columns with
-    the same name get the suffixes. Summarise the data before joining large geometries.
+    the same name get the suffixes. Summarise the data before joining large geometries. By default (``skew=None``) inner
+    and left joins leave hot keys to Spark's run-time splitting; right and full joins, which it cannot split, sketch the keys first.
     """
+    skew = skew or ("aqe" if how in ("inner", "left") else "salt")
     if how not in ("inner", "left", "right", "full"):
         raise ValueError("how must be one of inner, left, right, full")
     if require_geometry and how in ("left", "full"):
@@ -411,7 +413,7 @@ def coded_area_with_boundaries(data: DataFrame, shape: DataFrame, shape_key: str
     return shape_join(data, shape.drop(label), {geo[0]: shape_key}, "inner", **kw)
 
 
-def rectangularize(person: DataFrame, household: DataFrame, keys: Sequence[str], skew: str = "salt") -> DataFrame:
+def rectangularize(person: DataFrame, household: DataFrame, keys: Sequence[str], skew: str = "aqe") -> DataFrame:
     """Put the household variables on every person row (persons without household are kept).
 
     Columns that both have stay as the person's. A NULL key belongs to no household.

@@ -289,7 +289,7 @@ def log_to_extracts(log: DataFrame) -> list[Extract]:
 # ---------------------------------------------------------------- running an extract
 
 def run_extract(extract: Extract, person: DataFrame, household: DataFrame | None = None, sample: str = "SAMPLE",
-                keys: Sequence[str] = (), cases: Column | None = None, skew: str = "salt") -> DataFrame:
+                keys: Sequence[str] = (), cases: Column | None = None, skew: str = "aqe") -> DataFrame:
     """Select samples and variables and put household variables on person rows.
 
     Sample and case filters are applied before the join and reach a columnar source; only
