@@ -118,13 +118,23 @@ def _code_frame(df: DataFrame, table: pa.Table) -> DataFrame:
     return F.broadcast(frame) if table.num_rows <= BROADCAST_CODES else frame
 
 
+DENSE_CODES = 2_000  # widest span of whole-number codes that is looked up by position
+
+
 def lookup(x: Column, dt: T.DataType, pairs, out_type: T.DataType) -> Column:
     """Value of a short code list, NULL outside it.
 
-    A literal map: its code does not grow with the list, unlike a CASE chain, which soon
+    Whole-number codes that lie close together are positions in a literal array, found in one step. Others are a literal
+    map, whose code does not grow with the list, unlike a CASE chain, which soon
     makes a generated method too large for the JVM to compile.
     """
-    cells = [c for a, b in one_per_code(pairs) for c in (F.lit(a).cast(dt), F.lit(b).cast(out_type))]
+    known = dict(one_per_code(pairs))
+    if known and is_integral(dt) and max(known) - min(known) < min(DENSE_CODES, 8 * len(known) + 8):
+        low = min(known)
+        cells = [F.lit(known.get(c)).cast(out_type) for c in range(low, max(known) + 1)]
+        at = F.when((x >= low) & (x <= max(known)), (x - low).cast("int"))
+        return F.get(F.array(*cells), at)
+    cells = [c for a, b in known.items() for c in (F.lit(a).cast(dt), F.lit(b).cast(out_type))]
     return F.try_element_at(F.create_map(*cells), x)
 
 

@@ -1,9 +1,8 @@
 """Regressions over tables of any size.
 
-Least squares needs one pass: the moments of the model matrix are sums, computed JVM-side
-with partial aggregation, and only the k x k system is solved on the driver. The columns are
-shifted by a rough centre first, which does not change the result but keeps the sums well
-conditioned. Generalised models use Spark ML's iterative fit.
+Least squares needs two passes: the means, then the moments of the shifted model matrix, both sums computed JVM-side
+with partial aggregation; only the k x k system is solved on the driver. The shift does not change
+the result but keeps the sums well conditioned. Generalised models use Spark ML's iterative fit.
 """
 
 from __future__ import annotations
@@ -20,8 +19,7 @@ from ..metadata import get_meta, is_numeric, q
 from ..session import tune
 from ..sources.scratch import scratch_path
 
-MAX_LEVELS = 1000
-_CENTRE_ROWS = 1000
+MAX_LEVELS = 1000  # default bound of the levels of a factor; a parameter of the fits
 
 
 @dataclass(frozen=True)
@@ -61,29 +59,29 @@ class LinearFit:
         return spark.createDataFrame(rows, "term1 string, term2 string, cov double")
 
 
-def factor_levels(df: DataFrame, f: Factor) -> list:
-    """Levels of a factor term, in order. More than MAX_LEVELS is an error: a k x k system
-    of that size is no longer a small one."""
+def factor_levels(df: DataFrame, f: Factor, max_levels: int = MAX_LEVELS) -> list:
+    """Levels of a factor term, in order. More than ``max_levels`` is an error: the driver solves a k x k system, and the
+    caller says how large a one it may be."""
     if f.levels is not None:
         return list(f.levels)
     meta = get_meta(df, f.col)
-    present = [r[0] for r in df.select(q(f.col)).filter(q(f.col).isNotNull()).distinct().limit(MAX_LEVELS + 1).collect()]
-    if len(present) > MAX_LEVELS:
-        raise ValueError(f"{f.col} has more than {MAX_LEVELS} levels")
+    present = [r[0] for r in df.select(q(f.col)).filter(q(f.col).isNotNull()).distinct().limit(max_levels + 1).collect()]
+    if len(present) > max_levels:
+        raise ValueError(f"{f.col} has more than {max_levels} levels; max_levels allows more")
     if meta.levels is not None:
         rest = sorted(v for v in present if v not in meta.levels)
         return [v for v in meta.levels if v in present] + rest
     return sorted(present)
 
 
-def _design(df: DataFrame, terms: Sequence, intercept: bool) -> tuple[list[str], list[Column]]:
+def _design(df: DataFrame, terms: Sequence, max_levels: int) -> tuple[list[str], list[Column]]:
     names: list[str] = []
     cols: list[Column] = []
     for i, t in enumerate(terms):
         if isinstance(t, str) and not is_numeric(df.schema[t].dataType) and not isinstance(df.schema[t].dataType, T.BooleanType):
             t = Factor(t)
         if isinstance(t, Factor):
-            levels = factor_levels(df, t)
+            levels = factor_levels(df, t, max_levels)
             meta = dict(get_meta(df, t.col).val_labels)
             for level in levels[1:]:
                 names.append(f"{t.col}{meta.get(level, level)}")
@@ -112,7 +110,7 @@ def _independent(a: np.ndarray, tol: float = 1e-10) -> list[int]:
 
 
 def linear_model(df: DataFrame, response: str | Column, terms: Sequence, weights: str | Column | None = None,
-                 intercept: bool = True) -> LinearFit:
+                 intercept: bool = True, max_levels: int = MAX_LEVELS) -> LinearFit:
     """(Weighted) least squares. Rows with a NULL in any used column are left out.
 
     ``terms``: column names, ``(name, column)`` pairs such as ``("AGE^2", F.col("AGE")**2)``,
@@ -120,7 +118,7 @@ def linear_model(df: DataFrame, response: str | Column, terms: Sequence, weights
     earlier ones gets NaN.
     """
     tune(df.sparkSession)
-    names, xs = _design(df, terms, intercept)
+    names, xs = _design(df, terms, max_levels)
     y = (q(response) if isinstance(response, str) else response).cast("double")
     w = F.lit(1.0) if weights is None else (q(weights) if isinstance(weights, str) else weights).cast("double")
     k = len(xs)
@@ -129,8 +127,8 @@ def linear_model(df: DataFrame, response: str | Column, terms: Sequence, weights
     if weights is not None:
         frame = frame.filter("w > 0")
     vars_ = [*cols, "y"]
-    # Any centre is exact; rows at the head of the scan give a good enough one.
-    centre = frame.limit(_CENTRE_ROWS).agg(*[F.avg(c).alias(c) for c in vars_]).first() if intercept else None
+    # Any centre is exact; the means of all rows keep the sums small and depend on no row order.
+    centre = frame.agg(*[F.avg(c).alias(c) for c in vars_]).first() if intercept else None
     c0 = np.array([(centre[v] or 0.0) if centre is not None else 0.0 for v in vars_])
     shifted = frame.select(*[(F.col(v) - F.lit(float(c))).alias(v) for v, c in zip(vars_, c0)], "w")
     aggs = [F.count("*").alias("n"), F.sum("w").alias("sw")]
@@ -181,22 +179,29 @@ def linear_model(df: DataFrame, response: str | Column, terms: Sequence, weights
 
 
 def generalized_model(df: DataFrame, response: str, terms: Sequence, family: str = "binomial", link: str | None = "logit",
-                      weights: str | None = None, max_iter: int = 25, tol: float = 1e-8, stage: bool = False) -> DataFrame:
+                      weights: str | None = None, max_iter: int = 25, tol: float = 1e-8, stage: bool = True,
+                      max_levels: int = MAX_LEVELS) -> DataFrame:
     """Generalised linear model by iteratively reweighted least squares (several passes).
 
     Returns ``(term, estimate, std_error)``. Rows with a NULL in any used column are left out.
     ``stage`` writes the model columns once to the shared folder, so that the passes do not
-    parse or join the source again.
+    parse or join the source again. A binomial or Poisson model of factors only is fitted to the counts of its design
+    cells: one pass over the rows, and the passes of the fit see one row a cell.
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GeneralizedLinearRegression
 
-    names, xs = _design(df, terms, True)
+    names, xs = _design(df, terms, max_levels)
     cols = [f"x{i}" for i in range(len(xs))]
     keep = [q(response).cast("double").alias("y"), *[c.alias(n) for c, n in zip(xs, cols)]]
     if weights:
         keep.append(q(weights).cast("double").alias("w"))
     frame = df.select(*keep).dropna()
+    factors = all(isinstance(t, Factor) or (isinstance(t, str) and not is_numeric(df.schema[t].dataType)) for t in terms)
+    if factors and family in ("binomial", "poisson"):
+        times = F.sum("w") if weights else F.count("*").cast("double")
+        frame, weights = frame.groupBy("y", *cols).agg(times.alias("w")), "w"
+        stage = True
     if stage:
         path = scratch_path(df.sparkSession, "model")
         frame.write.parquet(path)
