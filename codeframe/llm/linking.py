@@ -2,8 +2,10 @@
 
 Map tasks pack (key, set) entries for each of a number of target partitions; equal sets of a block enter once. A task
 of the join holds one partition: about so many keys as the caller sizes it for. Sets that share a key with at most ``GROUP`` others
-are listed in pairs. A key held by more is compared with one pivot; once the links found are merged into
-components, holders that lie in different ones are compared with further pivots, and at last all that are left.
+are listed in pairs. Holders of a key that more have are compared with one pivot, the one that holds most such keys:
+of a group of near copies that is the text they were copied from, or one close to it. Once the links found are merged
+into components, those holders of a key that still lie in different ones are compared in full, behind a test of small parity
+sketches whose Hamming distance never exceeds the sets' difference.
 """
 
 from __future__ import annotations
@@ -12,14 +14,15 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codeframe.llm.components import components
 from codeframe.llm.tables import written
+from codeframe.llm.text import mix
 
 GROUP = 16
-PIVOT_ROUNDS = 1
+SKETCH_WORDS = 16
 
 RUN = np.dtype([("cls", "<i8"), ("n", "<i4"), ("words", "<i4"), ("own", "<i4"), ("low", "<i4")])
 #: kind 0: sets a and b share ``shared`` keys; kind 1: set b is one of many that hold key a.
@@ -54,7 +57,7 @@ def pack(row: np.ndarray, key: np.ndarray, cls: np.ndarray, n: np.ndarray, empty
 
 def found_pairs(table: pa.Table, group: int, empties: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None,
                 spares: Callable[[np.ndarray], np.ndarray] | None = None) -> pa.Table:
-    """One partition's pairs of sets that share a key, counted; for keys of many sets, pairs with the smallest set, and the holders.
+    """One partition's pairs of sets that share a key with few others, counted; for keys of many sets, the holders.
 
     ``empties`` gives, from two arrays of runs, what goes into the column ``empty`` of their pairs; ``spares`` the same of holders.
     """
@@ -80,11 +83,7 @@ def found_pairs(table: pa.Table, group: int, empties: Callable[[np.ndarray, np.n
         left.append(x)
         right.append(x + step)
     many = np.flatnonzero(sizes > group)
-    held = np.repeat(many, sizes[many])
     hot = np.concatenate([np.arange(heads[g], heads[g] + sizes[g]) for g in many]) if len(many) else np.zeros(0, np.int64)
-    rest = hot != heads[held]
-    left.append(heads[held][rest])
-    right.append(hot[rest])
     a, b = runs[at[np.concatenate(left)]], runs[at[np.concatenate(right)]]
     ok = near(a["n"], b["n"])
     a, b = a[ok], b[ok]
@@ -104,7 +103,7 @@ def found_pairs(table: pa.Table, group: int, empties: Callable[[np.ndarray, np.n
 
 
 def held_by_many(found: DataFrame) -> DataFrame:
-    """(key, cls, n, spare): the holders of keys that were compared with one pivot only."""
+    """(key, cls, n, spare): the holders of keys that many sets have."""
     return found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("cls"), F.col("na").alias("n"), F.col("empty").alias("spare"))
 
 
@@ -116,11 +115,29 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.where(100 * both >= 75 * (F.size("sa") + F.size("sb") - both)).select("a", "b").distinct()
 
 
-def settle(likely: DataFrame, hot: DataFrame, fetch: Callable[[DataFrame], DataFrame], pivots: int = PIVOT_ROUNDS) -> DataFrame:
+def with_sketches(cls: pa.Array, values: np.ndarray, bounds: np.ndarray) -> pa.RecordBatch:
+    """(cls, set, sketch): whole sets, and in 64 * SKETCH_WORDS bits the parity of the elements that fall on each bit.
+
+    An element that only one of two sets has toggles one bit of one sketch, so sketches never differ in more bits than sets in elements.
+    """
+    n, bits = len(bounds) - 1, 64 * SKETCH_WORDS
+    row = np.repeat(np.arange(n), np.diff(bounds))
+    bit = (mix(values) % np.uint64(bits)).astype(np.int64)
+    odd = np.bincount(row * bits + bit, minlength=n * bits).astype(np.uint8) & 1
+    words = np.packbits(odd.reshape(n, bits), axis=1, bitorder="little").view(np.int64)
+    sets = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))
+    sketch = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * SKETCH_WORDS), pa.array(words.ravel()))
+    return pa.RecordBatch.from_arrays([cls, sets, sketch], names=["cls", "set", "sketch"])
+
+
+SETS = "cls long, set array<long>, sketch array<long>"
+
+
+def settle(likely: DataFrame, hot: DataFrame, fetch: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(node, component) of all sets that have a link.
 
-    ``likely`` has the pairs (a, b) that may be links, ``hot`` the holders (key, cls, n) of keys that were compared with one pivot
-    only and whose links other keys need not show. ``fetch`` brings the whole sets (cls, set) of a table of ids (cls); it is
+    ``likely`` has the pairs (a, b) that may be links, ``hot`` the holders (key, cls, n) of keys that many sets have, as far as
+    their links need not show in other keys. ``fetch`` brings the whole sets (``SETS``) of a table of ids (cls); it is
     called once, for all sets that any later step may compare.
     """
     tried, hot = written(likely.select("a", "b"), "pairs"), written(hot, "hot")
@@ -130,10 +147,13 @@ def settle(likely: DataFrame, hot: DataFrame, fetch: Callable[[DataFrame], DataF
     parts = written(components(links), "parts")
     if hot.isEmpty():
         return parts
-    for turn in range(pivots + 1):
-        more = written(_unsettled(hot, parts, tried, turn, pivots), "more")
+    central = hot.groupBy("cls").agg(F.count(F.lit(1)).alias("central"))
+    known = central.join(sets.select("cls", "sketch"), "cls")
+    hot = written(hot.join(known, "cls"), "hot")
+    for compare in (_with_pivot, _in_full):
+        more = written(_untried(compare(hot, parts), tried), "more")
         if more.isEmpty():
-            break
+            continue
         tried = tried.unionByName(more)
         fresh = written(verified(more, sets), "links")
         if not fresh.isEmpty():
@@ -143,22 +163,42 @@ def settle(likely: DataFrame, hot: DataFrame, fetch: Callable[[DataFrame], DataF
     return parts
 
 
-def _unsettled(hot: DataFrame, parts: DataFrame, tried: DataFrame, turn: int, pivots: int) -> DataFrame:
-    """Pairs of sets of one much-held key that lie in different components and were not compared yet.
-
-    At first only those with one pivot of each key (the set that comes first in an order that changes from turn to turn),
-    then all that are left. Keys whose holders are all in one component, as after a group of near copies, drop out.
-    """
+def _mixed(hot: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The holders with their components, and of each key that has holders in several ones the most central holder."""
     placed = hot.join(parts.withColumnRenamed("node", "cls"), "cls", "left").withColumn("part", F.coalesce("component", "cls"))
-    mixed = placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"),
-                                      F.min(F.struct(F.xxhash64("cls", F.lit(turn)), "cls", "n", "part")).alias("pivot")).where("lo <> hi")
-    if turn < pivots:
-        left = mixed.select("key", F.col("pivot.cls").alias("x"), F.col("pivot.n").alias("nx"), F.col("pivot.part").alias("px"))
-        differ = F.col("x") != F.col("y")
-    else:
-        left = placed.join(mixed.select("key"), "key", "left_semi").select("key", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("part").alias("px"))
-        differ = F.col("x") < F.col("y")
+    most = F.max(F.struct("central", F.xxhash64("cls"), "cls", "n", "part")).alias("pivot")
+    return placed, placed.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), most).where("lo <> hi")
+
+
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _near() -> Column:
+    return 4 * F.least("nx", "ny") >= 3 * F.greatest("nx", "ny")
+
+
+def _with_pivot(hot: DataFrame, parts: DataFrame) -> DataFrame:
+    """Each key's most central holder with the others of other components."""
+    placed, mixed = _mixed(hot, parts)
+    left = mixed.select("key", F.col("pivot.cls").alias("x"), F.col("pivot.n").alias("nx"), F.col("pivot.part").alias("px"))
     right = placed.select("key", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("part").alias("py"))
-    sizes = 4 * F.least("nx", "ny") >= 3 * F.greatest("nx", "ny")
-    pairs = left.join(right, "key").where(differ & sizes & (F.col("px") != F.col("py"))).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return left.join(right, "key").where((F.col("px") != F.col("py")) & _near()).select(*_pair("x", "y"))
+
+
+def _in_full(hot: DataFrame, parts: DataFrame) -> DataFrame:
+    """All holders of a key that lie in different components and whose sketches may belong to sets that reach 3/4.
+
+    Keys whose holders are all in one component, as after a group of near copies, drop out before.
+    """
+    placed, mixed = _mixed(hot, parts)
+    placed = placed.join(mixed.select("key"), "key", "left_semi")
+    left = placed.select("key", F.col("cls").alias("x"), F.col("n").alias("nx"), F.col("part").alias("px"), F.col("sketch").alias("sx"))
+    right = placed.select("key", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("part").alias("py"), F.col("sketch").alias("sy"))
+    apart = sum((F.bit_count(F.col("sx")[i].bitwiseXOR(F.col("sy")[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+    fits = (F.col("x") < F.col("y")) & (F.col("px") != F.col("py")) & _near() & (7 * apart <= F.col("nx") + F.col("ny"))
+    return left.join(right, "key").where(fits).select(*_pair("x", "y"))
+
+
+def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
     return pairs.distinct().join(tried, ["a", "b"], "left_anti")

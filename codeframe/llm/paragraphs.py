@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codeframe.llm import text as T
-from codeframe.llm.linking import FOUND, GROUP, found_pairs, held_by_many, pack, settle
+from codeframe.llm.linking import FOUND, GROUP, SETS, found_pairs, held_by_many, pack, settle, with_sketches
 from codeframe.llm.tables import pieces, written
 
 #: Shorter paragraphs are no passages: boilerplate lines, headings.
@@ -114,7 +114,7 @@ def _banded(docs: DataFrame, parts: int, bands: int, rows: int, min_words: int,
 
 
 def _sets_of(asked: DataFrame, docs: DataFrame, members: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
-    """(cls, set): the whole sets of the classes asked for, read again from the documents of ``members`` (cls, doc_id).
+    """(cls, set, sketch): the whole sets of the classes asked for, read again from the documents of ``members`` (cls, doc_id).
 
     Only those documents are read again, once each; a document's list of classes is no longer than the document.
     """
@@ -127,11 +127,11 @@ def _sets_of(asked: DataFrame, docs: DataFrame, members: DataFrame, min_words: i
             for a, row, _, _, _, _, values, bounds in _sets(batch.column(1), min_words):
                 cls = T.set_ids(values, bounds)
                 keep = np.array([c in w for c, w in zip(cls.tolist(), ({*wanted[a + r]} for r in row.tolist()))], bool)
-                sets = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(cls), sets], names=["cls", "set"]).filter(pa.array(keep))
+                yield with_sketches(pa.array(cls), values, bounds).filter(pa.array(keep))
 
-    texts = docs.join(asked, F.col(id_col) == F.col("__id")).select("wanted", F.col(text_col).cast("string").alias("t"))
-    return texts.mapInArrow(rows, "cls long, set array<long>").dropDuplicates(["cls"])
+    texts = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).cast("string").alias("t"))
+    texts = texts.join(asked, F.col("__doc") == F.col("__id")).select("wanted", "t")
+    return texts.mapInArrow(rows, SETS).dropDuplicates(["cls"])
 
 
 def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, recall: float = RECALL, group: int = GROUP,

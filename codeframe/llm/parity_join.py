@@ -12,7 +12,7 @@ Nothing is capped. What words alone cannot promise has an exact way beside them:
 * sets of fewer than 48 shingles (and, to meet them, those of up to 63) enter every shingle as a word of its own;
 * sets with so many empty words that the count above proves nothing also enter their ``n // 4 + 1`` smallest shingles as
   one-shingle words (a prefix of a common order, which any linked pair shares);
-* a word held by more than ``linking.GROUP`` sets is compared with one pivot only. Sets with few such words show their links in
+* a word held by more than ``linking.GROUP`` sets is not listed in pairs. Sets with few such words show their links in
   their other words, by the same count; the rest (as a rule groups of near copies) are settled by ``linking.settle``.
 """
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from codeframe.llm import text as T
-from codeframe.llm.linking import FOUND, GROUP, found_pairs, held_by_many, pack, settle
+from codeframe.llm.linking import FOUND, GROUP, SETS, found_pairs, held_by_many, pack, settle, with_sketches
 from codeframe.llm.tables import pieces, written
 
 #: Sets with fewer shingles use single shingles as words.
@@ -171,18 +171,18 @@ def allowance(n: str) -> F.Column:
 
 
 def sets_of(asked: DataFrame, docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(cls, set): the whole sets of the ids asked for, read again from the texts of ``members`` (cls, id), one for each id."""
+    """(cls, set, sketch): the whole sets of the ids asked for, read again from the texts of ``members`` (cls, id), one for each id."""
     wanted = asked.join(members, "cls").select(F.col("id").alias("__id"), "cls")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, values, bounds in T.shingle_sets(batch.column(1)):
                 right = T.set_ids(values, bounds) == batch.column(0).slice(a, b - a).to_numpy()  # an id may stand on several texts
-                sets = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), sets], names=["cls", "set"]).filter(pa.array(right))
+                yield with_sketches(batch.column(0).slice(a, b - a), values, bounds).filter(pa.array(right))
 
-    texts = docs.join(wanted, F.col(id_col) == F.col("__id")).select("cls", F.col(text_col).cast("string").alias("t"))
-    return texts.mapInArrow(rows, "cls long, set array<long>")
+    texts = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).cast("string").alias("t"))
+    texts = texts.join(wanted, F.col("__doc") == F.col("__id")).select("cls", "t")
+    return texts.mapInArrow(rows, SETS)
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:

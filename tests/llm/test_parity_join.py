@@ -73,10 +73,22 @@ def test_words_that_differ_never_exceed_the_difference():
         assert set(P.EDGES[1:20] >= 4 * P.EDGES[:19] / 3) == {True}
 
 
+def test_bit_sketches_bound_the_difference():
+    draw = np.random.default_rng(3)
+    sets = [np.unique(draw.integers(0, 400, n).astype(np.uint64)) for n in (5, 50, 120, 300, 300)]
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    import pyarrow as pa
+    rows = linking.with_sketches(pa.array(range(5)), np.concatenate(sets), bounds)
+    sketch = np.array(rows.column(2).to_pylist(), np.int64).view(np.uint64)
+    for i in range(5):
+        for j in range(5):
+            assert np.bitwise_count(sketch[i] ^ sketch[j]).sum() <= len(np.setxor1d(sets[i], sets[j]))
+
+
 def test_hot_key_is_settled(spark):
     """Holders of a key that did not link with the first pivot still meet."""
     found = spark.createDataFrame([(1, i, 10) for i in range(1, 8)], "key long, cls long, n long")
-    sets = spark.createDataFrame([(i, [x + 100 * (i // 4) for x in range(10)]) for i in range(1, 8)], "cls long, set array<long>")
+    sets = spark.createDataFrame([(i, [x + 100 * (i // 4) for x in range(10)], [i // 4] * linking.SKETCH_WORDS) for i in range(1, 8)], linking.SETS)
     none = spark.createDataFrame([], "a long, b long")
     got = {r.node: r.component for r in linking.settle(none, found, lambda asked: sets.join(asked, "cls")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4, 7: 4}

@@ -25,7 +25,7 @@ def exact(rows, queries, k, score):
 
 def test_bit_sliced_against_all_pairs(spark):
     draw = np.random.default_rng(0)
-    rows = [(int(i), [float(np.float32(x)) for x in draw.normal(size=6) * 10 ** draw.integers(-2, 2)]) for i in draw.permutation(700)]
+    rows = [(int(i), [float(np.float32(x)) for x in draw.normal(size=6) * 10.0 ** draw.integers(-2, 2)]) for i in draw.permutation(700)]
     rows += [(1000 + i, [0.5] * 6) for i in range(40)]
     floor = lambda a, b: sum(math.floor(256 * x) * math.floor(256 * y) for x, y in zip(a, b))
     for blocks in ((65536, 128), (100, 5)):
