@@ -15,7 +15,7 @@ from codeframe.llm.tables import running_total, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_WORDS = 1024
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 2_000
 #: 2**32 divided by the golden ratio, rounded to an odd number, and the same times 2**31 modulo 2**32.
 GOLDEN = 2654435769
 _GOLDEN_HIGH = (GOLDEN << 31) % (1 << 32)
@@ -124,7 +124,7 @@ def mix_sources(docs: DataFrame, weights: list[int], share_pct: int = 150, most:
     other; they tie in the shuffled order by id and size. Sources of size 0 have target 0. An empty table gives none.
     The order depends on ids alone, so that a rerun takes the same words.
     """
-    sized = sized_documents(docs)
+    sized = written(sized_documents(docs), "sized")  # words are counted once
     goals = written(targets(sized, weights, share_pct, most), "targets")
     filled, placed = mixture(sized, goals, block, most)
     taken = filled.groupBy("s", "before").agg(F.sum("words").alias("got")).select(F.col("s").alias("__s"), F.col("before").alias("__b"), "got")
@@ -137,7 +137,7 @@ def mixed_documents(docs: DataFrame, weights: list[int], share_pct: int = 150, m
 
     Documents without words take no part in a mix of words and are kept once, as they are.
     """
-    sized = sized_documents(docs)
+    sized = written(sized_documents(docs), "sized")  # words are counted once
     goals = written(targets(sized, weights, share_pct, most), "targets")
     filled, placed = mixture(sized, goals, block, most)
     # an id that stands on several rows is matched with them in the order of source and size
