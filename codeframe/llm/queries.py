@@ -107,9 +107,9 @@ ORACLES = {
                 - CAST(coalesce(sum(CASE WHEN f THEN cap END) OVER (), 0) AS DOUBLE)) / CAST(sum(CASE WHEN NOT f THEN w END) OVER () AS DOUBLE) * w END AS target FROM f),
         q AS (SELECT *, CAST(floor(target + 0.5) AS BIGINT) AS quota FROM g),
         r AS (SELECT d.*, q.z, q.target, q.quota, coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size
-                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
         SELECT doc_id, source, CAST(size AS BIGINT) AS size, z AS source_size, target,
-          CAST(greatest(0, least(at + size, quota) - at) + greatest(0, least(at + z + size, quota) - at - z) AS BIGINT) AS taken FROM r""",
+          CAST(greatest(0, least(pos + size, quota) - pos) + greatest(0, least(pos + z + size, quota) - pos - z) AS BIGINT) AS taken FROM r""",
     "op9_bit_sliced_top_k": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
                    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
