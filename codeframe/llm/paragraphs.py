@@ -3,6 +3,9 @@
 A paragraph is a line of a text. Its set holds all distinct runs of five lower-cased words. Equal sets are one class; classes
 that agree in a whole band of MinHash values are compared on their whole sets, and those with a Jaccard similarity of 3/4 or more
 are linked. Of each component of links the first paragraph (smallest document id, then line) stays, the others go.
+
+Passages are runs of 50 words that stand elsewhere too, wherever they lie in the text: inside long lines, over short ones, in texts without
+line breaks. They are found exactly, by the hashes of runs of 50 words.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from codeframe.llm import text as T
 from codeframe.llm.linking import FOUND, GROUP, SETS, found_pairs, held_by_many, pack, settle, with_sketches
@@ -21,6 +25,9 @@ from codeframe.llm.tables import pieces, written
 #: Shorter paragraphs are no passages: boilerplate lines, headings.
 MIN_WORDS = 20
 RECALL = 0.995
+#: Words of a passage; a run of ANCHOR words inside it is looked for first.
+PASSAGE = 50
+ANCHOR = 30
 KEYS_PER_TASK = 600_000
 
 
@@ -177,3 +184,85 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         count = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col("__cut"), count).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
+
+
+def _windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each run of PASSAGE words of a block: text, first word in the text, anchor and its place; with the texts' words (starts, ends, first, hashes).
+
+    The anchor is the smallest hash of the runs of ANCHOR words inside, so equal runs of PASSAGE words have equal anchors.
+    """
+    starts, ends, first = T.words(T.LOWER[data], offsets)
+    hashes = T.word_hashes(T.LOWER[data], starts)
+    many = np.maximum(np.diff(first) - PASSAGE + 1, 0)
+    row = np.repeat(np.arange(len(many)), many)
+    pos = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    if not len(row):
+        return row, pos, np.zeros(0, np.uint64), pos, starts, ends, first, hashes
+    at = first[row] + pos
+    short = T.shingles(hashes, np.array([0, len(hashes)]), ANCHOR)[0]
+    inside = np.lib.stride_tricks.sliding_window_view(short, PASSAGE - ANCHOR + 1)
+    place = np.concatenate([at[x: x + (1 << 15)] + inside[at[x: x + (1 << 15)]].argmin(1) for x in range(0, len(at), 1 << 15)])
+    return row, pos, short[place], place, starts, ends, first, hashes
+
+
+def _anchors(texts: DataFrame, kind: str) -> DataFrame:
+    """(doc_id, tid, key): the anchors of each text, one for each place."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, _, data, offsets in T.blocks(batch.column(2)):
+                row, _, anchor, place, *_ = _windows(data, offsets)
+                _, one = np.unique(place, return_index=True)
+                at = pa.array(row[one] + a)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(anchor[one].view(np.int64))], names=["doc_id", "tid", "key"])
+
+    return texts.mapInArrow(rows, f"doc_id {kind}, tid long, key long")
+
+
+def _grams(texts: DataFrame, kind: str) -> DataFrame:
+    """(doc_id, tid, pos, line, start, end, key): the runs of PASSAGE words of each text whose anchor is in ``wanted``."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = batch.column(3)
+            for a, b, data, offsets in T.blocks(batch.column(2)):
+                row, pos, anchor, _, starts, ends, first, hashes = _windows(data, offsets)
+                # whether an anchor stands twice does not depend on the text that asks
+                keep = np.isin(anchor.view(np.int64), wanted.slice(a, b - a).flatten().to_numpy())
+                row, pos = row[keep], pos[keep]
+                at = first[row] + pos
+                key = T.shingles(hashes, np.array([0, len(hashes)]), PASSAGE)[0][at]
+                breaks = np.concatenate([[0], np.cumsum(data == 10)])
+                where = pa.array(row + a)
+                cells = (pos, breaks[starts[at]] - breaks[offsets[row]], starts[at] - offsets[row], ends[at + PASSAGE - 1] - offsets[row], key.view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(where), batch.column(1).take(where), *map(pa.array, cells)],
+                                                 names=["doc_id", "tid", "pos", "line", "start", "end", "key"])
+
+    return texts.mapInArrow(rows, f"doc_id {kind}, tid long, pos long, line long, start long, end long, key long")
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, line, start, end, words, first_doc_id, first_line, removed): the longest stretches of words all of which lie in runs of PASSAGE words
+    that stood before, by document id, then place.
+
+    Lines play no part: ``line`` is the one in which a stretch begins, ``start`` and ``end`` are its bytes, and (first_doc_id, first_line)
+    is where its first PASSAGE words stand for the first time. ``removed`` is true. Words are compared as those of paragraphs. Rows without an id take no part;
+    rows equal in id and text count as one document. All repeats are found: anchors only choose the texts and runs to look at.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t"))
+    texts = texts.select("doc_id", F.xxhash64("t").alias("tid"), "t")
+    anchors = written(_anchors(texts, kind), "anchors")
+    twice = anchors.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key")
+    asked = anchors.join(twice, "key").groupBy("doc_id", "tid").agg(F.collect_set("key").alias("wanted"))
+    grams = written(_grams(texts.join(asked, ["doc_id", "tid"]).select("doc_id", "tid", "t", "wanted"), kind), "grams")
+    place = F.struct("doc_id", "tid", "pos", "line")
+    known = grams.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("key", "first")
+    again = grams.join(known, "key").where(place != F.col("first"))
+    # rows equal in id and text give equal places
+    again = again.groupBy("doc_id", "tid", "pos").agg(*(F.min(c).alias(c) for c in ("line", "start", "end", "first")))
+    order = W.partitionBy("doc_id", "tid").orderBy("pos")
+    fresh = F.coalesce(F.col("pos") > F.lag("pos").over(order) + PASSAGE, F.lit(True)).cast("long")
+    runs = again.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order)).groupBy("doc_id", "tid", "run").agg(
+        F.min("line").alias("line"), F.min("start").alias("start"), F.max("end").alias("end"),
+        (F.max("pos") + PASSAGE - F.min("pos")).alias("words"), F.min_by("first", "pos").alias("first"))
+    return runs.select("doc_id", "line", "start", "end", "words", F.col("first.doc_id").alias("first_doc_id"),
+                       F.col("first.line").alias("first_line"), F.lit(True).alias("removed"))

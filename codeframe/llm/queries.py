@@ -53,7 +53,10 @@ def op4_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+    """Paragraphs that occur again, equal or nearly so, and passages of 50 words and more that occur again anywhere."""
+    docs = table(spark, sf_dir, "documents")
+    lines = paragraphs.repeated_paragraphs(docs).withColumn("kind", F.lit("paragraph"))
+    return lines.unionByName(paragraphs.repeated_passages(docs).withColumn("kind", F.lit("passage")))
 
 
 def op6_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
