@@ -32,14 +32,14 @@ def tool_turns(chats: DataFrame) -> tuple[DataFrame, DataFrame]:
     parent = F.when(F.col("turn") >= 2, name_of(F.col("turn") - 2))
     calls = chats.where("role = 'user'").select("conv_id", "turn", name_of(F.col("turn")).alias("call_id"), tool.alias("name"),
                                                 arguments.alias("arguments"), parent.alias("parent"))
-    results = chats.where("role = 'assistant'").select(name_of(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
+    results = chats.where("role = 'assistant'").select("conv_id", name_of(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
     return calls, results
 
 
 def op2_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every user turn as a call and every assistant turn as a result, linked, ordered, validated and serialised."""
     calls, results = tool_turns(table(spark, sf_dir, "conversations"))
-    return tool_calls.link_tool_calls(calls, results, TOOLS)
+    return tool_calls.link_every_call(calls, results, TOOLS)
 
 
 def op3_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
