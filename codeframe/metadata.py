@@ -70,6 +70,9 @@ def fill_lbl(target: Any, labels: list[tuple[Any, str]]) -> Lbl:
     return target
 
 
+LABEL_TABLE = "label_table"  # metadata key of the path of labels that are too many for metadata
+
+
 @dataclass(frozen=True)
 class VarMeta:
     """Everything known about one column besides its values."""
@@ -82,7 +85,7 @@ class VarMeta:
 
     @property
     def labelled(self) -> bool:
-        return len(self.val_labels) > 0
+        return len(self.val_labels) > 0 or LABEL_TABLE in self.other
 
     def with_labels(self, pairs) -> VarMeta:
         return replace(self, val_labels=tuple(pairs))

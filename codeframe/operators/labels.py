@@ -24,14 +24,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..metadata import (
-    ALL_ATTRS, Lbl, VarMeta, all_meta, fill_lbl, get_meta, is_integral, is_numeric, labelled_columns, q, with_meta,
+    ALL_ATTRS, LABEL_TABLE, Lbl, VarMeta, all_meta, fill_lbl, get_meta, is_integral, is_numeric, labelled_columns, q, with_meta,
 )
 from ..sources.scratch import scratch_path
 
 INLINE_CODES = 200  # longer code lists are joined instead of inlined; results are the same
 BROADCAST_CODES = 100_000  # code lists up to this length (a few MB) are broadcast; Spark decides about longer ones
 MAX_NEW_LABELS = 20_000  # new labels kept in column metadata; more are kept as a table that the metadata names
-LABEL_TABLE = "label_table"  # metadata key of such a table's path
 
 Rule = Union[Callable[[Column, Column], Column], Column, str]
 
@@ -194,6 +193,86 @@ def _unique_or_fail(pairs) -> list[tuple[Any, str]]:
     return sorted(distinct, key=_sort_key)
 
 
+# ---------------------------------------------------------------- label sets with a stored table
+
+def label_rows(df: DataFrame, col: str) -> DataFrame:
+    """The whole label set of a column as a table ``(val, lbl)``: its metadata and the stored table that they name."""
+    meta, dt = get_meta(df, col), df.schema[col].dataType
+    kind = pa.string() if isinstance(dt, T.StringType) else pa.int64() if is_integral(dt) else pa.float64()
+    pairs = one_per_code((_code(v, dt), t) for v, t in meta.val_labels)
+    wide = "string" if isinstance(dt, T.StringType) else "bigint" if is_integral(dt) else "double"
+    own = _code_frame(df, pa.table({"val": pa.array([v for v, _ in pairs], kind), "lbl": pa.array([t for _, t in pairs], pa.string())}))
+    if LABEL_TABLE not in meta.other:
+        return own
+    stored = df.sparkSession.read.parquet(meta.other[LABEL_TABLE]).select(F.col("val").cast(wide).alias("val"), "lbl")
+    return stored.join(own.select("val"), "val", "left_anti").select("val", "lbl").unionByName(own)
+
+
+def _unstored(meta: VarMeta) -> VarMeta:
+    return replace(meta, other={k: v for k, v in meta.other.items() if k != LABEL_TABLE})
+
+
+def _with_rows(out: DataFrame, before: DataFrame, col: str, meta: VarMeta, rows: DataFrame) -> DataFrame:
+    """``out`` with the label set ``rows`` (val, lbl) for ``col``: metadata up to MAX_NEW_LABELS entries, else a stored table."""
+    path = scratch_path(before.sparkSession, "labels")
+    rows.select("val", "lbl").write.parquet(path)
+    stored = before.sparkSession.read.schema(rows.select("val", "lbl").schema).parquet(path)
+    few = stored.limit(MAX_NEW_LABELS + 1).collect()
+    if len(few) <= MAX_NEW_LABELS:
+        pairs = sorted(((_plain(r["val"]), r["lbl"]) for r in few), key=_sort_key)
+        return _finish(out, before, col, _unstored(meta).with_labels(pairs))
+    return _finish(out, before, col, replace(meta, val_labels=(), other={**meta.other, LABEL_TABLE: path}))
+
+
+def _for_rules(df: DataFrame, col: str) -> DataFrame:
+    """``label_rows`` with ``__key``, the code as the data have it; whole codes of a set are whole numbers to a rule, as in ``apply_rule``."""
+    rows = label_rows(df, col).withColumn("__key", F.col("val"))
+    if dict(rows.dtypes)["val"] == "double" and rows.where("val <> floor(val)").isEmpty():
+        rows = rows.withColumn("val", F.col("val").cast("bigint"))
+    return rows
+
+
+def _rows_type(old: T.DataType, rows: DataFrame, c: str) -> T.DataType:
+    """``_out_type`` of a column of new codes."""
+    kind = rows.schema[c].dataType
+    present = rows.where(F.col(c).isNotNull())
+    if isinstance(kind, T.StringType):
+        sample: list[Any] = [] if present.isEmpty() else ["text"]
+    elif isinstance(kind, T.BooleanType):
+        sample = [] if present.isEmpty() else [True]
+    else:
+        broken = not present.where(F.col(c) != F.floor(c)).isEmpty()
+        sample = [0.5] if broken else [] if present.isEmpty() else [1]
+    return _out_type(old, sample)
+
+
+def _recode_by_rows(df: DataFrame, col: str, rows: DataFrame, out_type: T.DataType, other: str = "null") -> DataFrame:
+    """``recode`` by a table ``(__key, __new)`` of distinct codes."""
+    mapping = rows.select(F.col("__key").alias("__code"), F.col("__new"), F.lit(True).alias("__hit"))
+    joined = df.join(mapping, q(col) == F.col("__code"), "left")
+    rest = q(col).cast(out_type) if other == "keep" else F.lit(None).cast(out_type)
+    kind = dict(mapping.dtypes)["__new"]
+    new = value_text(F.col("__new"), T.DoubleType()) if isinstance(out_type, T.StringType) and kind in ("double", "float") else F.col("__new").cast(out_type)
+    expr = F.when(F.col("__hit"), new).otherwise(rest)
+    return joined.select(*[expr.alias(c) if c == col else q(c) for c in df.columns])
+
+
+def _known(df: DataFrame, col: str, target: Any) -> list[tuple[Any, str]]:
+    """The labels of a set that ``target`` (a Lbl or a value) names by value or text, in order: what ``fill_lbl`` needs of it."""
+    goal = target if isinstance(target, Lbl) else Lbl(val=target)
+    rows, dt = label_rows(df, col), df.schema[col].dataType
+    hit = F.lit(False)
+    if goal.val is not None and isinstance(goal.val, str) == isinstance(dt, T.StringType):
+        hit = hit | (F.col("val") == F.lit(_code(goal.val, dt)))
+    if goal.val is None and goal.lbl is not None:
+        hit = hit | (F.col("lbl") == goal.lbl)
+    return [(_plain(r["val"]), r["lbl"]) for r in rows.where(hit).orderBy("val").limit(1).collect()]
+
+
+def _stored_set(df: DataFrame, col: str) -> bool:
+    return LABEL_TABLE in get_meta(df, col).other
+
+
 # ---------------------------------------------------------------- operators
 
 def lbl_na_if(df: DataFrame, col: str, rule: Rule) -> DataFrame:
@@ -202,6 +281,14 @@ def lbl_na_if(df: DataFrame, col: str, rule: Rule) -> DataFrame:
     Only labelled values are looked at; values without a label stay.
     """
     meta = get_meta(df, col)
+    if _stored_set(df, col):
+        rows = _for_rules(df, col)
+        rows = rows.withColumn("__hit", _rule_column(rule, F.col("val"), F.col("lbl")).cast("boolean"))
+        if not rows.where("__hit IS NULL").isEmpty():
+            raise ValueError("the rule is NULL for some labels")
+        dt = df.schema[col].dataType
+        gone = rows.where("__hit").select("__key", F.lit(None).cast(dt).alias("__new"))
+        return _with_rows(_recode_by_rows(df, col, gone, dt, other="keep"), df, col, meta, rows.where("NOT __hit").select(F.col("__key").alias("val"), "lbl"))
     hits = apply_rule(df, meta.val_labels, rule)
     if any(h is None for h in hits):
         raise ValueError("the rule is NULL for some labels")
@@ -226,6 +313,15 @@ def lbl_collapse(df: DataFrame, col: str, rule: Rule, keep_unlabelled: bool = Fa
     with ``keep_unlabelled``).
     """
     meta = get_meta(df, col)
+    if _stored_set(df, col):
+        rows = _for_rules(df, col)
+        rows = rows.withColumn("__new", _rule_column(rule, F.col("val"), F.col("lbl")))
+        dt = _rows_type(df.schema[col].dataType, rows, "__new")
+        kinds = dict(rows.dtypes)
+        new = F.col("__new").cast("int") if kinds["__new"] == "boolean" else F.col("__new")
+        moved = F.col("__key") != new if (kinds["__key"] == "string") == (kinds["__new"] == "string") else F.lit(True)
+        best = rows.where("__new IS NOT NULL").groupBy(F.col("__new").alias("val")).agg(F.min(F.struct(moved.alias("m"), "__key", "lbl")).alias("b"))
+        return _with_rows(_recode_by_rows(df, col, rows, dt, other="keep" if keep_unlabelled else "null"), df, col, meta, best.select("val", F.col("b.lbl").alias("lbl")))
     new = [_plain(v) for v in apply_rule(df, meta.val_labels, rule)]
     dt = _out_type(df.schema[col].dataType, new)
     best: dict[Any, tuple] = {}
@@ -248,6 +344,23 @@ def lbl_relabel(df: DataFrame, col: str, *rules: tuple[Any, Rule]) -> DataFrame:
     meta = get_meta(df, col)
     if not meta.labelled:
         raise ValueError("the column has no labels; lbl_define() gives it some")
+    if _stored_set(df, col):
+        rows = _for_rules(df, col)
+        goals = [fill_lbl(target, _known(df, col, target)) for target, _ in rules]
+        text = any(isinstance(g.val, str) for g in goals) or dict(rows.dtypes)["val"] == "string"
+        shown = value_text(F.col("val"), rows.schema["val"].dataType) if text else F.col("val")
+        value, lbl = shown, F.col("lbl")
+        for goal, (_, rule) in zip(goals, rules):
+            hit = F.coalesce(_rule_column(rule, F.col("val"), F.col("lbl")).cast("boolean"), F.lit(False))
+            value = F.when(hit, F.lit(str(_plain(goal.val)) if text else _plain(goal.val))).otherwise(value)
+            lbl = F.when(hit, F.lit(goal.lbl)).otherwise(lbl)
+        rows = rows.select("__key", value.alias("__new"), lbl.alias("__lbl"))
+        labels = rows.select(F.col("__new").alias("val"), F.col("__lbl").alias("lbl")).distinct()
+        double = labels.groupBy("val").agg(F.min("lbl").alias("lo"), F.max("lbl").alias("hi")).where("lo <> hi").limit(10).collect()
+        if double:
+            raise ValueError("values with several labels: " + ", ".join(f"{_plain(r['val'])} -> '{r['lo']}', '{r['hi']}'" for r in double))
+        dt = _rows_type(df.schema[col].dataType, rows, "__new")
+        return _with_rows(_recode_by_rows(df, col, rows, dt), df, col, meta, labels)
     old = list(meta.val_labels)
     new: list[tuple[Any, str]] = list(old)
     for target, rule in rules:
@@ -321,6 +434,10 @@ def lbl_define(df: DataFrame, col: str, *rules: tuple[Any, Rule]) -> DataFrame:
 def lbl_add(df: DataFrame, col: str, *labels: Any) -> DataFrame:
     """Add labels for given values; the data stay as they are."""
     meta = get_meta(df, col)
+    if _stored_set(df, col):
+        goals = [fill_lbl(new, _known(df, col, new)) for new in labels]
+        added = _unique_or_fail([p for g in goals for p in [*_known(df, col, g.val), (_plain(g.val), g.lbl)]])
+        return _with_rows(df, df, col, meta, label_rows(with_meta(df, {col: meta.with_labels([*meta.val_labels, *added])}), col))
     current = list(meta.val_labels)
     for new in labels:
         goal = fill_lbl(new, current)
@@ -349,6 +466,8 @@ def unlabelled_values(df: DataFrame, col: str) -> DataFrame:
     dt = df.schema[col].dataType
     known = [_code(v, dt) for v, _ in get_meta(df, col).val_labels]
     vals = df.select(q(col).alias("val")).filter(F.col("val").isNotNull())
+    if _stored_set(df, col):
+        return vals.distinct().join(label_rows(df, col).select("val"), "val", "left_anti").select(F.col("val").cast(dt).alias("val"))
     if 0 < len(known) <= INLINE_CODES:
         return vals.filter(~F.col("val").isin(known)).distinct()
     if known:
@@ -367,14 +486,17 @@ def lbl_add_vals(df: DataFrame, col: str, labeller=None, vals: list | None = Non
     """Label values that have none: the given ones, or all distinct unlabelled values.
 
     ``labeller`` maps the column ``val`` to text (a function of a column, or SQL text). Up to MAX_NEW_LABELS new labels join the
-    column's metadata. More are written as a table to the shared folder and the metadata name it:
-    :func:`as_factor` decodes by both, so any number of values can be labelled.
+    column's metadata. More are written as a table to the shared folder and the metadata name it; all operators
+    here read both (:func:`label_rows`), so any number of values can be labelled.
     """
     meta = get_meta(df, col)
     dt = df.schema[col].dataType
     old = [(_plain(v), t) for v, t in meta.val_labels]
     if vals is None:
         table = label_table_for_values(df, col, labeller)
+        if _stored_set(df, col):
+            have = label_rows(df, col)
+            return _with_rows(df, df, col, meta, have.unionByName(table.withColumn("val", F.col("val").cast(dict(have.dtypes)["val"]))))
         rows = table.limit(MAX_NEW_LABELS + 1).collect()
         if len(rows) > MAX_NEW_LABELS:
             path = scratch_path(df.sparkSession, "labels")
@@ -384,12 +506,14 @@ def lbl_add_vals(df: DataFrame, col: str, labeller=None, vals: list | None = Non
     else:
         known = {v for v, _ in old}
         wanted = [_plain(v) for v in vals]
-        if any(v in known for v in wanted):
+        if any(v in known or _stored_set(df, col) and _known(df, col, v) for v in wanted):
             raise ValueError("some of the values are labelled already")
         kind = pa.string() if isinstance(dt, T.StringType) else pa.float64() if not is_integral(dt) else pa.int64()
         table = pa.table({"val": pa.array([_code(v, dt) for v in wanted], kind)})
         frame = df.sparkSession.createDataFrame(table).select("val", _as_labeller(labeller, dt).alias("lbl"))
         new = [(_plain(r["val"]), r["lbl"]) for r in frame.collect()]
+        if _stored_set(df, col):
+            return _with_rows(df, df, col, meta, label_rows(df, col).unionByName(frame))
     return with_meta(df, {col: meta.with_labels(sorted(old + new, key=_sort_key))})
 
 
@@ -401,7 +525,11 @@ def lbl_clean(df: DataFrame, cols: str | list[str] | None = None) -> DataFrame:
     """
     wanted = [cols] if isinstance(cols, str) else cols if cols is not None else labelled_columns(df)
     metas = {c: get_meta(df, c) for c in wanted}
-    metas = {c: m for c, m in metas.items() if m.labelled}
+    stored = [c for c, m in metas.items() if LABEL_TABLE in m.other]
+    for c in stored:
+        used_rows = label_rows(df, c).join(df.select(q(c).alias("val")).distinct(), "val", "left_semi")
+        df = _with_rows(df, df, c, metas[c], used_rows)
+    metas = {c: m for c, m in metas.items() if m.labelled and c not in stored}
     used: dict[str, set] = {}
     short = [c for c, m in metas.items() if len(m.val_labels) <= INLINE_CODES]
     if short:
@@ -522,13 +650,13 @@ def decode_with_table(df: DataFrame, col: str, label_table: DataFrame, out: str
 def zap_labels(df: DataFrame, cols: str | list[str] | None = None) -> DataFrame:
     """Remove value labels (variable label and description stay)."""
     wanted = [cols] if isinstance(cols, str) else cols if cols is not None else df.columns
-    return with_meta(df, {c: get_meta(df, c).with_labels(()) for c in wanted})
+    return with_meta(df, {c: _unstored(get_meta(df, c)).with_labels(()) for c in wanted})
 
 
 def zap_attributes(df: DataFrame, cols: str | list[str] | None = None) -> DataFrame:
     """Remove value labels, variable label and description."""
     wanted = [cols] if isinstance(cols, str) else cols if cols is not None else df.columns
-    return with_meta(df, {c: VarMeta(other=get_meta(df, c).other) for c in wanted})
+    return with_meta(df, {c: VarMeta(other=_unstored(get_meta(df, c)).other) for c in wanted})
 
 
 # ---------------------------------------------------------------- attaching codebook metadata
