@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeframe.llm import bpe, cross_entropy, hamming_index, lang_crf, mixing, paragraphs, parity_join, quality, tool_calls
+from codeframe.llm import bpe, cross_entropy, hamming_index, lang_crf, license_scan, mixing, paragraphs, parity_join, quality, tool_calls
 from codeframe.llm.bit_sliced import top_products
 from codeframe.llm.tables import table
 
@@ -81,8 +81,13 @@ def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License names and notices in every document."""
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_tool_call_linking, op3_multi_index_hashing, op4_cross_entropy_difference, op5_paragraph_dedup,
-                                   op6_language_crf, op7_ngram_jaccard_join, op8_pairwise_quality, op9_bit_sliced_top_k, op10_byte_level_bpe)}
+                                   op6_language_crf, op7_ngram_jaccard_join, op8_pairwise_quality, op9_bit_sliced_top_k, op10_byte_level_bpe, op11_license_scan)}
 
 ORACLES = {
     "op7_ngram_jaccard_join": r"""
@@ -120,4 +125,24 @@ ORACLES = {
               FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0)
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
         QUALIFY rank <= 5""",
+    "op11_license_scan": r"""
+        WITH t AS (SELECT * FROM (VALUES {templates}) v(template, label, k, words, least, drift)),
+        g AS (SELECT template, k, q - 1 AS q, words[q:q + k - 1] AS gram FROM (SELECT template, k, words, unnest(range(1, len(words) - k + 2)) AS q FROM t)),
+        d AS (SELECT row_number() OVER () AS r, doc_id,
+                list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'),
+                            lambda w: w <> '') AS w FROM documents),
+        p AS (SELECT r, k, p - 1 AS p, w[p:p + k - 1] AS gram FROM (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM t))),
+        h AS (SELECT r, template, p - q AS diagonal, min(p) AS start, list(DISTINCT q) AS qs FROM p JOIN g USING (k, gram) GROUP BY ALL),
+        o AS (SELECT h.*, CASE WHEN diagonal <= lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) + drift THEN 0 ELSE 1 END AS fresh FROM h JOIN t USING (template)),
+        n AS (SELECT *, sum(fresh) OVER (PARTITION BY r, template ORDER BY diagonal) AS run FROM o),
+        s AS (SELECT r, template, run, min(start) AS start, flatten(list(qs)) AS qs FROM n GROUP BY ALL),
+        v AS (SELECT r, template, label, start, least, CAST(len(list_distinct(flatten(list_transform(qs, lambda q: range(q, q + k))))) AS DOUBLE) / len(words) AS share
+              FROM s JOIN t USING (template)),
+        f AS (SELECT r, count(*) FILTER (template < {base}) AS n_base, min(start) FILTER (template < {base}) AS first_word, max(start) FILTER (template < {base}) AS last_word,
+                array_to_string(list_sort(list_distinct(list(label) FILTER (template < {base}))), ',') AS base_labels, array_to_string(list_sort(list_distinct(list(label))), ',') AS labels,
+                max(share) AS score FROM v WHERE share >= least GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+          CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+        FROM d LEFT JOIN f USING (r)""".format(base=len(license_scan.PHRASES), templates=", ".join(
+            f"({i}, '{t.label}', {license_scan.gram_length(t)}, {t.words}, CAST({t.share} AS DOUBLE), {t.drift})" for i, t in enumerate([*license_scan.PHRASES, *license_scan.NOTICES]))),
 }
