@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeframe.llm import bpe, cross_entropy, hamming_index, lang_crf, license_scan, mixing, paragraphs, parity_join, quality, tool_calls
+from codeframe.llm import bpe, cross_entropy, hamming_index, lang_crf, license_scan, mixing, paragraphs, parity_join, quality, shared_search, tool_calls
 from codeframe.llm.bit_sliced import top_products
 from codeframe.llm.tables import table
 
@@ -86,8 +86,14 @@ def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op12_shared_term_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents of every benchmark item."""
+    return shared_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
 QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_tool_call_linking, op3_multi_index_hashing, op4_cross_entropy_difference, op5_paragraph_dedup,
-                                   op6_language_crf, op7_ngram_jaccard_join, op8_pairwise_quality, op9_bit_sliced_top_k, op10_byte_level_bpe, op11_license_scan)}
+                                   op6_language_crf, op7_ngram_jaccard_join, op8_pairwise_quality, op9_bit_sliced_top_k, op10_byte_level_bpe, op11_license_scan,
+                                   op12_shared_term_search)}
 
 ORACLES = {
     "op7_ngram_jaccard_join": r"""
@@ -145,4 +151,16 @@ ORACLES = {
           CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
         FROM d LEFT JOIN f USING (r)""".format(base=len(license_scan.PHRASES), templates=", ".join(
             f"({i}, '{t.label}', {license_scan.gram_length(t)}, {t.words}, CAST({t.share} AS DOUBLE), {t.drift})" for i, t in enumerate([*license_scan.PHRASES, *license_scan.NOTICES]))),
+    "op12_shared_term_search": r"""
+        WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        z AS (SELECT count(*) FILTER (len(w) > 0) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d),
+        i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+        x AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY ALL),
+        q AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM x, z GROUP BY t, docs),
+        s AS (SELECT item_id, r, CAST(sum(q.w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(d.w) * docs) // terms)))) AS BIGINT) AS score
+              FROM i JOIN q USING (t) JOIN x USING (t) JOIN d USING (r), z GROUP BY item_id, r)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM s JOIN d USING (r)
+        WHERE score > 0 QUALIFY rank <= 10""",
 }
