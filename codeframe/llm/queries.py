@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeframe.llm import bpe, cross_entropy, hamming_index, lang_crf, license_scan, mixing, paragraphs, parity_join, quality, shared_search, tool_calls
+from codeframe.llm import alignment, bpe, cross_entropy, hamming_index, lang_crf, license_scan, mixing, paragraphs, parity_join, quality, shared_search, tool_calls
 from codeframe.llm.bit_sliced import top_products
 from codeframe.llm.tables import table
 
@@ -91,9 +91,15 @@ def op12_shared_term_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level and sentence-piece tokens of every document, aligned."""
+    first = alignment.byte_level(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return alignment.align(table(spark, sf_dir, "documents"), first, alignment.pieces(public_tokenizers.path("piece_bpe_32k.model")))
+
+
 QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_tool_call_linking, op3_multi_index_hashing, op4_cross_entropy_difference, op5_paragraph_dedup,
                                    op6_language_crf, op7_ngram_jaccard_join, op8_pairwise_quality, op9_bit_sliced_top_k, op10_byte_level_bpe, op11_license_scan,
-                                   op12_shared_term_search)}
+                                   op12_shared_term_search, op13_token_alignment)}
 
 ORACLES = {
     "op7_ngram_jaccard_join": r"""
