@@ -28,8 +28,13 @@ from codeframe.llm.tables import written
 RANGE = 1 << 15
 #: Fragments that one step of the tree composes.
 FAN = 16
-#: Link entries that one task looks up.
-ENTRIES = 3_000_000
+#: Link entries that one task looks up, and pairs whose counts it holds for that.
+ENTRIES = 1_500_000
+PAIRS = 4_000_000
+#: Least number of parts of the pairs.
+PARTS = 16
+#: Texts whose links are packed together.
+PACKED = 2048
 
 
 @dataclass(frozen=True)
@@ -340,20 +345,19 @@ def _pair_counts(rows: DataFrame, size: int) -> DataFrame:
     counts = written(rows.select(F.explode("pairs").alias("pair")).groupBy("pair").agg(F.count(F.lit(1)).alias("docs")), "pairs")
     a = F.expr(f"pair div {size}")
     most = counts.groupBy(a.alias("a")).agg(F.max("docs").alias("most"))
-    return counts.join(most, a == F.col("a")).select("pair", "docs", (F.col("docs") == F.col("most")).alias("best"))
+    return written(counts.join(most, a == F.col("a")).select("pair", "docs", (F.col("docs") == F.col("most")).alias("best")), "counts")
 
 
 def _looked_up(rows: DataFrame, counts: DataFrame, entries: int) -> DataFrame:
     """(key, n_best, count_sum): the counts of each text's links, summed.
 
-    Links are packed by hash part of the pair, so that a text has one partial sum a part. A part that holds more than ``entries`` links (it has a pair that very many texts hold)
-    is split among tasks, each of which gets the part's counts.
+    Links are packed by hash part of the pair, so that a text has one partial sum a part. The number of parts follows from the number of distinct pairs, which the vocabularies
+    bound, not from the corpus. A part with more than ``entries`` links is split among tasks, each of which gets the part's counts.
     """
-    total = rows.agg(F.sum(F.size("pairs"))).first()[0] or 0
-    parts = max(1, -(-total // entries))
+    parts = max(PARTS, -(-counts.count() // PAIRS))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(x, PACKED) for whole in batches for x in range(0, whole.num_rows, PACKED)):
             many = batch.column(1).value_lengths().to_numpy()
             pair, times = batch.column(1).flatten().to_numpy(), batch.column(2).flatten().to_numpy()
             row = np.repeat(np.arange(batch.num_rows), many)
@@ -363,20 +367,19 @@ def _looked_up(rows: DataFrame, counts: DataFrame, entries: int) -> DataFrame:
             cuts = np.concatenate([np.flatnonzero(np.diff(part, prepend=-1)), [len(part)]])
             spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
             blobs = [pa.array([x[p:q].tobytes() for p, q in spans], pa.binary()) for x in (keys, pair, times.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]].astype(np.int32)), pa.array(np.diff(cuts).astype(np.int32)), *blobs], names=["part", "links", "keys", "pairs", "times"])
-
-    packed = written(rows.where(F.size("pairs") > 0).select("key", "pairs", "times").mapInArrow(pack, "part int, links int, keys binary, pairs binary, times binary"), "links")
-    held = packed.groupBy("part").agg(F.ceil(F.sum("links") / entries).cast("int").alias("tasks"))
-    # a row's own content chooses its task, so that repeated tasks agree
-    links = packed.join(held, "part").withColumn("task", F.pmod(F.xxhash64("keys"), F.col("tasks")).cast("int")).drop("tasks")
+            yield pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]].astype(np.int32)), *blobs], names=["part", "keys", "pairs", "times"])
 
     def part_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             part = (T.mix(batch.column(0).to_numpy().view(np.uint64)) % np.uint64(parts)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(part), *batch.columns], names=["part", "pair", "docs", "best"])
 
-    known = counts.mapInArrow(part_of, "part int, pair long, docs long, best boolean").join(held, "part")
-    known = known.select("part", "pair", "docs", "best", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"))
+    known = counts.mapInArrow(part_of, "part int, pair long, docs long, best boolean")
+    held = known.groupBy("part").agg(F.ceil(F.sum("docs") / entries).cast("int").alias("tasks"))
+    links = rows.where(F.size("pairs") > 0).select("key", "pairs", "times").mapInArrow(pack, "part int, keys binary, pairs binary, times binary")
+    # a row's own content chooses its task, so that repeated tasks agree
+    links = links.join(held, "part").withColumn("task", F.pmod(F.xxhash64("keys"), F.col("tasks")).cast("int")).drop("tasks")
+    known = known.join(held, "part").select("part", "pair", "docs", "best", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"))
 
     def look_up(_: tuple, links: pa.Table, known: pa.Table) -> pa.Table:
         keys, pair, times = (np.concatenate([np.frombuffer(x, kind) for x in links[c].to_pylist()] or [np.zeros(0, kind)])
