@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 import warnings
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from types import MappingProxyType
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,8 +20,8 @@ DATA_FORMATS = ("fixed_width", "csv", "stata", "spss", "sas9")
 SINK_FORMATS = ("fixed_width", "csv", "parquet")
 RECTANGULAR_ON = ("P",)
 
-# Collection codes of public surveys; add_collection() adds more.
-_COLLECTIONS: dict[str, str] = {
+# Collection codes of public surveys. A registry of more is a dict of one's own: {**COLLECTIONS, "own": "..."}.
+COLLECTIONS: Mapping[str, str] = MappingProxyType({
     "usa": "US Census and American Community Survey",
     "cps": "Current Population Survey",
     "ahtus": "American Heritage Time Use Study",
@@ -31,22 +32,16 @@ _COLLECTIONS: dict[str, str] = {
     "meps": "Medical Expenditure Panel Survey",
     "nhis": "National Health Interview Survey",
     "pma": "Performance Monitoring for Action",
-}
+})
 
 
+def collections(spark: SparkSession, registry: Mapping[str, str] = COLLECTIONS) -> DataFrame:
+    """``(collection_name, code)`` of the collections of a registry."""
+    return spark.createDataFrame([(n, c) for c, n in registry.items()], "collection_name string, code string")
 
-def add_collection(code: str, name: str) -> None:
-    """Register another collection code."""
-    _COLLECTIONS[code] = name
 
-
-def collections(spark: SparkSession) -> DataFrame:
-    """``(collection_name, code)`` of the known collections."""
-    return spark.createDataFrame([(n, c) for c, n in _COLLECTIONS.items()], "collection_name string, code string")
-
-
-def known_collections() -> list[str]:
-    return list(_COLLECTIONS)
+def known_collections(registry: Mapping[str, str] = COLLECTIONS) -> list[str]:
+    return list(registry)
 
 
 @dataclass(frozen=True)
@@ -168,9 +163,9 @@ def _from_dict(d: dict, collection: str) -> Extract:
         number=d.get("number"), status=d.get("status", "unsubmitted"))
 
 
-def extract_from_json(source: str, collection: str) -> Extract:
+def extract_from_json(source: str, collection: str, registry: Mapping[str, str] = COLLECTIONS) -> Extract:
     """Exactly one definition, from JSON text or from a file path."""
-    if collection not in _COLLECTIONS:
+    if collection not in registry:
         raise ValueError(f"unknown collection {collection}; known_collections() lists the codes")
     text = source
     if not source.lstrip().startswith(("{", "[")):
@@ -275,15 +270,12 @@ def extracts_to_log(spark: SparkSession, extracts: Sequence[Extract]) -> DataFra
     return spark.createDataFrame(rows, schema)
 
 
-def log_to_extracts(log: DataFrame) -> list[Extract]:
-    """The rows of a (small) log as extract definitions."""
-    out = []
-    for r in log.collect():
+def log_to_extracts(log: DataFrame) -> Iterator[Extract]:
+    """The rows of a log as extract definitions, fetched partition by partition."""
+    for r in log.toLocalIterator():
         links = {k: v.asDict() for k, v in (r["download_links"] or {}).items()}
-        out.append(Extract(r["collection"], r["description"], tuple(r["samples"] or ()), tuple(r["variables"] or ()),
-                           r["data_format"], r["data_structure"], r["rectangular_on"], r["submitted"], links, r["number"],
-                           r["status"]))
-    return out
+        yield Extract(r["collection"], r["description"], tuple(r["samples"] or ()), tuple(r["variables"] or ()), r["data_format"],
+                      r["data_structure"], r["rectangular_on"], r["submitted"], links, r["number"], r["status"])
 
 
 # ---------------------------------------------------------------- running an extract

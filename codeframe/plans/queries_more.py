@@ -356,9 +356,9 @@ def refusals(spark, sf):
     SELECT code, count(*) AS n FROM (SELECT (['usa', 'cps', 'ahtus', 'mtus', 'atus', 'dhs', 'highered', 'meps', 'nhis', 'pma', 'own'])[o_orderkey % 11 + 1] AS code FROM orders) GROUP BY 1""")
 def collection_codes(spark, sf):
     """Collection codes, one added, joined to orders by position."""
-    ex.add_collection("own", "A collection of one's own")
-    codes = ex.known_collections()
-    known = ex.collections(spark)
+    registry = {**ex.COLLECTIONS, "own": "A collection of one's own"}
+    codes = ex.known_collections(registry)
+    known = ex.collections(spark, registry)
     place = F.element_at(F.array(*map(F.lit, codes)), (F.col("o_orderkey") % 11 + 1).cast("int"))
     return table(spark, sf, "orders").select(place.alias("code")).join(known, "code").groupBy("code").agg(F.count("*").alias("n"))
 
