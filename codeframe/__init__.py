@@ -39,6 +39,7 @@ from .select import (
 from .session import build_session, sized_settings, tune
 from .sources.area import read_area_table, read_area_utf8, read_mixed_micro
 from .sources.boundary import read_boundaries
+from .sources.carried import read_micro_rectangular
 from .sources.ddi import read_codebook, read_codebook_tables
 from .sources.files import find_files, list_data, list_files, list_raster, list_shape
 from .sources.micro import collect_with_labels, read_micro, read_micro_list

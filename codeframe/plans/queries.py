@@ -427,6 +427,10 @@ def _hier_file(spark, sf, tag) -> Codebook:
                                             F.col("l_quantity").alias("QTY"), F.col("l_returnflag").alias("FLAG"))
     path = scratch_path(spark, tag)
     sinks.write_hierarchical(h, p, path, list(HIER_VARS), "RECTYPE")
+    return hier_book(path)
+
+
+def hier_book(path: str) -> Codebook:
     base, name = path.rsplit("/", 1)
     return Codebook(variables=HIER_VARS, file_name=name, file_path=base, file_type="hierarchical", rectypes=("H", "P"),
                     rectype_idvar="RECTYPE", rectype_labels=(("H", "Household Record"), ("P", "Person Record")),

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from ..codebook import Codebook, Variable, label_table, val_labels, var_desc, var_info, var_label
 from ..metadata import VarMeta, is_labelled, with_meta
 from ..operators import joins, labels, models, tabulate
-from ..sources import area, ddi, files, micro, textbook
+from ..sources import area, carried, ddi, files, micro, sinks, textbook
 from ..sources.scratch import scratch_path
 from ..streaming import chunks
 from . import extract as ex
-from .queries import FLAG_LABELS, FLAG_SQL, _hier_file, persons, query, sizes, table
+from .queries import FLAG_LABELS, FLAG_SQL, HIER_VARS, STATUS_SQL, _hier_file, hier_book, persons, query, sizes, table
 
 # ---------------------------------------------------------------- label sets of any length
 
@@ -402,3 +402,33 @@ def first_lines_themselves(spark, sf):
 def sizes_kept(spark, sf):
     """Label sets of 40 codes leave the data as they are when labels are stripped."""
     return labels.zap_labels(sizes(spark, sf)).select("p_partkey", F.col("p_size").alias("code"))
+
+
+# ---------------------------------------------------------------- record types merged by line order
+
+def _ordered_hier_file(spark, sf, tag):
+    h = table(spark, sf, "orders").select(F.col("o_orderkey").alias("SERIAL"), F.col("o_orderstatus").alias("STATUS"), F.col("o_totalprice").alias("PRICE"))
+    p = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("SERIAL"), F.col("l_linenumber").alias("LINE"),
+                                            F.col("l_quantity").alias("QTY"), F.col("l_returnflag").alias("FLAG"))
+    path = scratch_path(spark, tag)
+    sinks.write_hierarchical(h, p, path, list(HIER_VARS), "RECTYPE", keys=["SERIAL"], order=["LINE", "QTY", "FLAG"])
+    return hier_book(path)
+
+
+@query("""
+    SELECT CAST(l_orderkey AS DOUBLE) AS SERIAL, l_linenumber AS LINE, l_quantity AS QTY, l_returnflag AS FLAG,
+           o_orderstatus AS STATUS, o_totalprice AS PRICE
+    FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey""")
+def rectangularize_by_line_order(spark, sf):
+    """Household variables on person rows, carried down the file."""
+    return carried.read_micro_rectangular(spark, _ordered_hier_file(spark, sf, "hier")).drop("RECTYPE")
+
+
+@query(f"""
+    WITH f AS (SELECT o_orderstatus, sum(o_totalprice) AS n FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) GROUP BY 1)
+    SELECT {STATUS_SQL} AS "STATUS", round(n, 2) AS n, round(n / sum(n) OVER (), 9) AS share FROM f""")
+def household_frequency_by_line_order(spark, sf):
+    """Households by status, from the first person of each, as the file has them."""
+    rows = carried.read_micro_rectangular(spark, _ordered_hier_file(spark, sf, "hier"), vars=["STATUS", "PRICE"], first="FIRST")
+    out = tabulate.weighted_frequency(rows.where("FIRST"), "STATUS", "PRICE")
+    return out.select("STATUS", F.round("n", 2).alias("n"), F.round("share", 9).alias("share"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
@@ -44,8 +45,8 @@ def _field(c: Column, v: Variable, dt: T.DataType) -> Column:
         F.raise_error(F.concat(F.lit(f"value does not fit into {v.width} columns of {v.name}: "), text)).cast("string"))
 
 
-def to_lines(df: DataFrame, variables: list[Variable], total_width: int | None = None) -> DataFrame:
-    """Fixed-width lines ``(value)`` of a table; gaps between fields are blanks."""
+def to_lines(df: DataFrame, variables: list[Variable], total_width: int | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Fixed-width lines ``(value)`` of a table, with the columns to keep; gaps between fields are blanks."""
     parts, pos = [], 1
     for v in sorted(variables, key=lambda v: v.start):
         if v.start > pos:
@@ -54,7 +55,7 @@ def to_lines(df: DataFrame, variables: list[Variable], total_width: int | None =
         pos = v.end + 1
     if total_width and total_width >= pos:
         parts.append(F.lit(" " * (total_width - pos + 1)))
-    return df.select(F.concat(*parts).alias("value"))
+    return df.select(F.concat(*parts).alias("value"), *[q(c) for c in keep])
 
 
 def write_fixed_width(df: DataFrame, path: str, variables: list[Variable], file_encoding: str = "UTF-8",
@@ -101,19 +102,29 @@ def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, pat
 
 
 def write_hierarchical(household: DataFrame, person: DataFrame, path: str, variables: list[Variable], idvar: str,
-                       rectypes: dict[str, DataFrame] | None = None, mode: str = "errorifexists") -> None:
+                       rectypes: dict[str, DataFrame] | None = None, mode: str = "errorifexists",
+                       keys: Sequence[str] = (), order: Sequence[str] = ()) -> None:
     """Write record types into one file of mixed lines.
 
     Every record type's lines are cut to the same layout; ``variables`` say which types they
-    belong to. Lines of one household are not placed next to each other: readers link record
-    types by the key variables, never by position.
+    belong to. With ``keys``, which all types have, the lines of one key stand together: types in the
+    order given, lines of a type by ``order`` (columns that a type lacks count as NULL). Files follow each other by name, and
+    a key with very many lines may run over several. Without keys, lines of one household are not placed next
+    to each other and readers link record types by the key variables.
     """
     parts = rectypes or {"H": household, "P": person}
     lines = None
     width = max(v.end for v in variables)
-    for code, df in parts.items():
+    places = [*[f"__k{i}" for i in range(len(keys))], *(["__type"] if keys else []), *[f"__o{i}" for i in range(len(order) if keys else 0)]]
+    kinds = {c: df.schema[c].dataType for df in parts.values() for c in order if c in df.columns}
+    for number, (code, df) in enumerate(parts.items()):
         mine = [v for v in variables if v.rectypes is None or code in v.rectypes]
         frame = df if idvar in df.columns else df.withColumn(idvar, F.lit(code))
-        part = to_lines(frame, mine, width)
+        if keys:
+            by = [q(c) if c in df.columns else F.lit(None).cast(kinds[c]) for c in order]
+            frame = frame.select("*", *[c.alias(n) for c, n in zip([*map(q, keys), F.lit(number), *by], places)])
+        part = to_lines(frame, mine, width, keep=places)
         lines = part if lines is None else lines.unionByName(part)
+    if keys:
+        lines = lines.repartitionByRange(*places).sortWithinPartitions(*places).select("value")
     lines.write.mode(mode).text(path)
