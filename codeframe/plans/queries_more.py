@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import io
 import warnings
-import zipfile
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +10,7 @@ from pyspark.sql import functions as F
 from ..codebook import Codebook, Variable, label_table, val_labels, var_desc, var_info, var_label
 from ..metadata import VarMeta, is_labelled, with_meta
 from ..operators import joins, labels, models, tabulate
-from ..sources import area, carried, ddi, files, micro, sinks, textbook
+from ..sources import archive, area, carried, ddi, files, micro, sinks, textbook
 from ..sources.scratch import scratch_path
 from ..streaming import chunks
 from . import extract as ex
@@ -301,25 +299,40 @@ def codebook_text_code_labels(spark, sf):
 
 # ---------------------------------------------------------------- listings, checks, collections
 
+def _archives(spark, sf, tag):
+    """A folder of archives, written by tasks: parts by size, each archive with data, boundary, raster and other members."""
+    p = table(spark, sf, "part")
+    key = F.col("p_partkey").cast("string")
+    ending = F.element_at(F.array(*map(F.lit, (".csv", "_shape.zip", ".tiff", ".txt"))), (F.col("p_partkey") % 4 + 1).cast("int"))
+    member = F.concat(F.lit("p"), key, ending)
+    folder = scratch_path(spark, tag)
+    archive.write_archives(p.select(F.concat(F.lit("size"), F.col("p_size").cast("string"), F.lit(".zip")).alias("bundle"), member.alias("file"), key.alias("content")), folder)
+    return folder
+
+
 @query("""
-    SELECT CASE n_nationkey % 4 WHEN 0 THEN 'data' WHEN 1 THEN 'shape' WHEN 2 THEN 'raster' END AS type,
-           'n' || n_nationkey || CASE n_nationkey % 4 WHEN 0 THEN '.csv' WHEN 1 THEN '_shape.zip' WHEN 2 THEN '.tiff' END AS file FROM nation WHERE n_nationkey % 4 < 3""")
+    SELECT 'size' || p_size || '.zip' AS bundle, CASE p_partkey % 4 WHEN 0 THEN 'data' WHEN 1 THEN 'shape' WHEN 2 THEN 'raster' END AS type,
+           'p' || p_partkey || CASE p_partkey % 4 WHEN 0 THEN '.csv' WHEN 1 THEN '_shape.zip' WHEN 2 THEN '.tiff' END AS file FROM part WHERE p_partkey % 4 < 3""")
 def bundle_listing(spark, sf):
-    """Data, boundary and raster members of an archive, by the three single listings."""
-    names = [r[0] for r in table(spark, sf, "nation").select("n_nationkey").collect()]
-    packed = io.BytesIO()
-    with zipfile.ZipFile(packed, "w") as z:
-        for k in names:
-            z.writestr(f"n{k}" + (".csv", "_shape.zip", ".tiff", ".txt")[k % 4], b"x")
-    path = scratch_path(spark, "bundle") + ".zip"
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(where)
-    out.write(bytearray(packed.getvalue()))
-    out.close()
-    data = files.list_data(spark, path).select(F.lit("data").alias("type"), "file")
-    shape = files.list_shape(spark, path).select(F.lit("shape").alias("type"), "file")
-    raster = files.list_raster(spark, path).select(F.lit("raster").alias("type"), "file")
-    return data.unionByName(shape).unionByName(raster)
+    """Members of many archives by type, from the archives' directories."""
+    found = files.classify(files.archive_members(spark, _archives(spark, sf, "bundles")))
+    return found.select(F.substring_index("bundle", "/", -1).alias("bundle"), "type", "file")
+
+
+@query("""
+    SELECT 'size' || p_size || '.zip' AS bundle, 'rows' || p_partkey // 200 || '.csv' AS file,
+           row_number() OVER (PARTITION BY p_size, p_partkey // 200 ORDER BY p_partkey) AS line_no, p_partkey || ',' || p_name AS line FROM part""")
+def archive_lines(spark, sf):
+    """Lines of all members of every archive in a folder, each member read as a stream. A member holds 200 part keys at most."""
+    p = table(spark, sf, "part")
+    line = F.concat_ws(",", F.col("p_partkey").cast("string"), "p_name")
+    listed = F.array_sort(F.collect_list(F.struct("p_partkey", line.alias("line"))))
+    members = p.groupBy(F.concat(F.lit("size"), F.col("p_size").cast("string"), F.lit(".zip")).alias("bundle"),
+                        F.concat(F.lit("rows"), F.expr("p_partkey div 200").cast("string"), F.lit(".csv")).alias("file"))
+    members = members.agg(F.array_join(F.transform(listed, lambda x: x["line"]), "\n").alias("content"))
+    folder = scratch_path(spark, "archives")
+    archive.write_archives(members, folder)
+    return files.member_lines(spark, folder).select(F.substring_index("bundle", "/", -1).alias("bundle"), "file", "line_no", F.col("raw").cast("string").alias("line"))
 
 
 def _refused(f, kind) -> bool:

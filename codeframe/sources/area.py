@@ -23,6 +23,7 @@ from ..metadata import ALL_ATTRS, q
 from ..operators.labels import set_attributes
 from ..select import Selection
 from ..streaming.chunks import _is_plain_scan
+from .archive import can_open, peek
 from .ddi import read_codebook
 from .files import file_ext, find_files, is_bundle, member_lines, path_exists
 from .textbook import codebook_path_for, read_text_codebook
@@ -38,7 +39,7 @@ def _text_csv(spark: SparkSession, path: str, member: Selection, charset: str, *
         lines = member_lines(spark, path, names)
         text = lines.select("line_no", F.col("raw").cast("string").alias("value") if canonical(charset) == "UTF-8"
                             else F.decode("raw", canonical(charset)).alias("value"))
-        header = text.filter("line_no = 1").first()["value"]
+        header = peek(path, names[0])[0].decode(canonical(charset)) if can_open(path) else text.filter("line_no = 1").first()["value"]
         cols = next(csv.reader([header.lstrip("\ufeff")]))
         ddl = ", ".join("`" + c.replace("`", "``") + "` string" for c in cols)
         parsed = text.filter("line_no > 1 and value != ''").select(F.from_csv("value", ddl, options).alias("r"))
@@ -69,14 +70,20 @@ def drop_second_header(df: DataFrame, second_header: bool | None = None) -> Data
     """
     if second_header is False or not df.columns:
         return df
+    plain = _is_plain_scan(df)
+    first = df.first() if second_header is None or not plain else None
     if second_header is None:
-        first = df.first()
-        if first is None or not all(isinstance(t, T.StringType) for t in guess_types(df.limit(1)).values()):
+        if first is None:
+            return df
+        alone = df.sparkSession.createDataFrame([tuple(first)], df.schema)
+        if not all(isinstance(t, T.StringType) for t in guess_types(alone).values()):
             return df
         warnings.warn("a first data row without any number is taken for a second header and left out; "
                       "second_header=False keeps it", stacklevel=3)
-    if not _is_plain_scan(df):
-        same = reduce(and_, [q(c).eqNullSafe(F.lit(df.first()[c])) for c in df.columns])
+    if not plain:
+        if first is None:
+            return df
+        same = reduce(and_, [q(c).eqNullSafe(F.lit(first[c])) for c in df.columns])
         return df.filter(~same)
     place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start"),
              F.monotonically_increasing_id().alias("__id")]

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..select import Selection, pick, row_condition
+from . import archive
 from .scratch import scratch_path
 
 # Endings tried for a missing data file, and what bundle members count as.
@@ -54,6 +55,12 @@ def resolve_data_file(spark: SparkSession, path: str, fallbacks=FALLBACK_EXTENSI
 
 
 def _zip_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Members by archive, from their directories alone."""
+    for pdf in batches:
+        yield pd.DataFrame([(path, name) for path in pdf["path"] for name in archive.directory(path)], columns=["bundle", "file"])
+
+
+def _zip_members_of_content(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = [(path, name)
                 for path, content in zip(pdf["path"], pdf["content"])
@@ -61,12 +68,18 @@ def _zip_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["bundle", "file"])
 
 
+def _listed(zips: DataFrame, path: str) -> DataFrame:
+    """``(bundle, file)`` of archives; whole archives are read only from file systems that Spark alone can open."""
+    if archive.can_open(path):
+        return zips.select("path").mapInPandas(_zip_members, "bundle string, file string")
+    return zips.select("path", "content").mapInPandas(_zip_members_of_content, "bundle string, file string")
+
+
 def bundle_members(spark: SparkSession, path: str) -> DataFrame:
     """``(bundle, file)``: members of a zip archive or a folder of archives, or the files of a
     folder without archives (contents are not read for these)."""
     if file_ext(path) == ".zip":
-        zips = spark.read.format("binaryFile").load(path).select("path", "content")
-        return zips.mapInPandas(_zip_members, "bundle string, file string")
+        return _listed(spark.read.format("binaryFile").load(path), path)
     if file_ext(path) != "":
         raise ValueError(f"neither a folder nor a zip archive: {path}")
     names = spark.read.format("binaryFile").load(path).select("path")
@@ -75,8 +88,7 @@ def bundle_members(spark: SparkSession, path: str) -> DataFrame:
 
 def archive_members(spark: SparkSession, folder: str) -> DataFrame:
     """``(bundle, file)`` for every zip archive in a folder, in one distributed pass."""
-    zips = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder).select("path", "content")
-    return zips.mapInPandas(_zip_members, "bundle string, file string")
+    return _listed(spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder), folder)
 
 
 def classify(members: DataFrame) -> DataFrame:
@@ -127,13 +139,13 @@ def find_files(spark: SparkSession, path: str, extension: str | None = None, sel
     return names
 
 
-def _extract(wanted: set[str]):
+def _extract(wanted: set[str] | None):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
                     for name in z.namelist():
-                        if name not in wanted:
+                        if name.endswith("/") or (wanted is not None and name not in wanted):
                             continue
                         with z.open(name) as member:
                             f = gzip.open(member) if name.endswith(".gz") else member
@@ -150,10 +162,18 @@ def _extract(wanted: set[str]):
     return run
 
 
-def member_lines(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """``(bundle, file, line_no, raw)``: lines of archive members as bytes, in blocks of rows."""
+def member_lines(spark: SparkSession, path: str, names: list[str] | None = None) -> DataFrame:
+    """``(bundle, file, line_no, raw)``: lines of archive members (None: all) as bytes, one task a member, or for several small ones.
+
+    ``path`` is an archive or a folder of archives. On a file system that Python cannot open, Spark reads archives whole, which
+    limits each to 2 GB.
+    """
+    if archive.can_open(path):
+        found = [path] if file_ext(path) == ".zip" else [
+            r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path").orderBy("path").toLocalIterator()]
+        return archive.lines(spark, found, names)
     zips = spark.read.format("binaryFile").load(path).select("path", "content")
-    return zips.mapInPandas(_extract(set(names)), "bundle string, file string, line_no bigint, raw binary")
+    return zips.mapInPandas(_extract(None if names is None else set(names)), "bundle string, file string, line_no bigint, raw binary")
 
 
 def unpack_text(spark: SparkSession, path: str, member: str) -> str:
@@ -161,9 +181,8 @@ def unpack_text(spark: SparkSession, path: str, member: str) -> str:
 
     Its bytes stay as they are. One member is one file, written by one task as it is read.
     """
-    lines = member_lines(spark, path, [member]).select("line_no", F.col("raw").cast("string").alias("value"))
     target = scratch_path(spark, "member")
-    lines.repartition(1).sortWithinPartitions("line_no").select("value").write.text(target)
+    member_lines(spark, path, [member]).select(F.col("raw").cast("string").alias("value")).write.text(target)
     return target
 
 
