@@ -49,4 +49,5 @@ from .streaming.chunks import (
     ListRowReader, RowReader, batch_map, chunk_list, chunk_map, chunk_reduce, chunk_side_effect, read_micro_chunked,
     read_micro_list_chunked, read_micro_list_pulled, read_micro_pulled, with_chunk_id, with_row_no,
 )
+from .streaming.lines import LineIndex, LineReader, build_line_index, open_line_index
 from .streaming.running import load_rows, load_stream, running_tabulation, stream_micro, stream_table

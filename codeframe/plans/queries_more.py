@@ -13,6 +13,7 @@ from ..operators import joins, labels, models, tabulate
 from ..sources import archive, area, carried, ddi, files, micro, sinks, textbook
 from ..sources.scratch import scratch_path
 from ..streaming import chunks
+from ..streaming.lines import build_line_index
 from . import extract as ex
 from .queries import FLAG_LABELS, FLAG_SQL, HIER_VARS, STATUS_SQL, _hier_file, hier_book, persons, query, sizes, table
 
@@ -445,3 +446,29 @@ def household_frequency_by_line_order(spark, sf):
     rows = carried.read_micro_rectangular(spark, _ordered_hier_file(spark, sf, "hier"), vars=["STATUS", "PRICE"], first="FIRST")
     out = tabulate.weighted_frequency(rows.where("FIRST"), "STATUS", "PRICE")
     return out.select("STATUS", F.round("n", 2).alias("n"), F.round("share", 9).alias("share"))
+
+
+@query("""
+    WITH n AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS row_no, o_orderkey, o_totalprice FROM orders), t AS (SELECT count(*) AS total FROM orders)
+    SELECT 1 AS pull, o_orderkey, o_totalprice FROM n WHERE row_no <= 400
+    UNION ALL SELECT 2, o_orderkey, o_totalprice FROM n, t WHERE row_no > total // 2 AND row_no <= total // 2 + 300
+    UNION ALL SELECT 3, o_orderkey, o_totalprice FROM n, t WHERE row_no > total - 50""")
+def pull_by_ranges(spark, sf):
+    """Three pulls out of a fixed-width file by its line index: at its head, in its middle, at its end."""
+    path = scratch_path(spark, "ordered")
+    fields = (("o_orderkey", 12, 0), ("o_totalprice", 14, 2))
+    layout, at = [], 1
+    for name, width, decimals in fields:
+        layout.append(Variable(name, start=at, end=at + width - 1, var_type="numeric", imp_decim=decimals))
+        at += width
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_totalprice").repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey")
+    fixed = sinks.write_fixed_width(rows, path, layout, "US-ASCII")
+    index = build_line_index(spark, path, step=1000)
+    reader = chunks.read_micro_pulled(spark, fixed, index=index)
+    out = [reader.pull(400)]
+    reader.seek(reader.total // 2)
+    out.append(reader.pull(300))
+    reader.seek(reader.total - 50)
+    out.append(reader.pull(300))
+    parts = [p.select(F.lit(i).alias("pull"), F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_totalprice") for i, p in enumerate(out, 1)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

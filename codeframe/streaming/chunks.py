@@ -22,6 +22,7 @@ from ..operators.joins import plan_bytes
 from ..operators.labels import set_attributes
 from ..select import Selection
 from ..sources.scratch import scratch_path
+from .lines import LineIndex, LineReader, files_of
 
 CHUNK_SIZE = 10_000
 MAX_BROADCAST_SPLITS = 500_000  # about 100 bytes each
@@ -56,11 +57,13 @@ def with_row_no(df: DataFrame, name: str = "row_no", blocks: bool = False) -> Da
                   F.col("_metadata.file_block_length").alias("__len"), F.monotonically_increasing_id().alias("__id"))
         .groupBy("__file", "__start", "__len").agg(F.count("*").alias("__n"), F.min("__id").alias("__first"))
     )
-    # One row per input split: a few hundred thousand at most, on one task.
-    order = Window.orderBy("__file", "__start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
+    # Sums before each block: over the blocks of its file, and over files, of which each gives one row.
+    inside = Window.partitionBy("__file").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
+    over = Window.orderBy("__in").rowsBetween(Window.unboundedPreceding, -1)
+    files = sizes.groupBy(F.col("__file").alias("__in")).agg(F.sum("__n").alias("__rows")).select("__in", F.coalesce(F.sum("__rows").over(over), F.lit(0)).alias("__earlier"))
+    offsets = sizes.withColumn("__here", F.coalesce(F.sum("__n").over(inside), F.lit(0))).join(files, F.col("__file") == F.col("__in")).select(
         F.col("__file").alias("__bfile"), F.col("__start").alias("__bstart"), F.col("__len").alias("__blen"),
-        "__first", "__n", F.coalesce(F.sum("__n").over(order), F.lit(0)).alias("__offset"))
+        "__first", "__n", (F.col("__here") + F.col("__earlier")).alias("__offset"))
     small = _split_bound(df) <= MAX_BROADCAST_SPLITS
     joined = tagged.join(
         F.broadcast(offsets) if small else offsets,
@@ -402,17 +405,43 @@ def _no_csv(path) -> None:
 
 
 def read_micro_pulled(spark: SparkSession, codebook, vars: Selection = None, data_file=None, var_attrs=ALL_ATTRS,
-                      lower_vars: bool = False) -> RowReader:
-    """Resumable reader of a fixed-width file, record types mixed."""
-    from ..sources.micro import _book, _data_path
+                      lower_vars: bool = False, index: LineIndex | None = None) -> RowReader | LineReader:
+    """Resumable reader of a fixed-width file, record types mixed.
+
+    With a line index of the file (:func:`build_line_index`) a pull reads the bytes of its lines only; without one the rows are written once as Parquet.
+    """
+    from ..sources.micro import _book, _data_path, cut_lines
     book = _book(spark, codebook, lower_vars)
-    _no_csv(_data_path(spark, book, data_file))
+    path = _data_path(spark, book, data_file)
+    _no_csv(path)
+    if index is not None:
+        small = book.prune(vars, "long")
+        return LineReader(_same_files(index, path), lambda lines: set_attributes(cut_lines(lines, small, book), small, var_attrs))
     return RowReader(_numbered_micro(spark, book, vars, data_file, var_attrs, False))
 
 
-def read_micro_list_pulled(spark: SparkSession, codebook, **kw) -> ListRowReader:
-    """Resumable reader of a fixed-width file, one table per record type."""
-    return ListRowReader(spark, codebook, **kw)
+def read_micro_list_pulled(spark: SparkSession, codebook, index: LineIndex | None = None, **kw) -> ListRowReader | LineReader:
+    """Resumable reader of a fixed-width file, one table per record type; with a line index by byte ranges, as :func:`read_micro_pulled`."""
+    if index is None:
+        return ListRowReader(spark, codebook, **kw)
+    return _ranged_list(spark, codebook, index, **kw)
+
+
+def _ranged_list(spark, codebook, index, vars: Selection = None, data_file=None, var_attrs=ALL_ATTRS, lower_vars: bool = False) -> LineReader:
+    from ..sources.micro import _book, _data_path, cut_lines, split_rectypes
+    book = _book(spark, codebook, lower_vars)
+    path = _data_path(spark, book, data_file)
+    _no_csv(path)
+    small = book.prune(vars, "list")
+    if not book.hierarchical:
+        return LineReader(_same_files(index, path), lambda lines: {"P": set_attributes(cut_lines(lines, small), small, var_attrs)})
+    return LineReader(_same_files(index, path), lambda lines: split_rectypes(lines, book, small, var_attrs))
+
+
+def _same_files(index: LineIndex, path) -> LineIndex:
+    if files_of(path) != index.files:
+        raise ValueError("the index is of other files, or they changed since")
+    return index
 
 
 def stack_pulls(reader: RowReader, f: Callable[[DataFrame], DataFrame], n: int = CHUNK_SIZE) -> DataFrame:
