@@ -2,15 +2,17 @@
 
 Least squares needs two passes: the means, then the moments of the shifted model matrix, both sums computed JVM-side
 with partial aggregation; only the k x k system is solved on the driver. The shift does not change
-the result but keeps the sums well conditioned. Generalised models use Spark ML's iterative fit.
+the result but keeps the sums well conditioned. Terms that are close to collinear lose half their digits in moments; they are fitted by
+triangular factors instead, one for each task, merged as a tree. Generalised models use Spark ML's iterative fit.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,9 @@ from ..session import tune
 from ..sources.scratch import scratch_path
 
 MAX_LEVELS = 1000  # default bound of the levels of a factor; a parameter of the fits
+FAN = 32  # factors that one task merges
+MOST_CONDITION = 1e6  # of the scaled design, up to which moments keep at least four digits more than needed for 1e-6
+DEPENDENT = 1e-12  # part of a column's length that the columns before it leave, from which it counts as their combination
 
 
 @dataclass(frozen=True)
@@ -109,14 +114,100 @@ def _independent(a: np.ndarray, tol: float = 1e-10) -> list[int]:
     return used
 
 
+def triangular_factor(frame: DataFrame, cols: Sequence[str], intercept: bool) -> tuple[np.ndarray, int]:
+    """(R, rows) of the matrix (1, ``cols``, y), its rows scaled by the root of w: the upper triangle with R'R = X'X.
+
+    Each task keeps the factor of the rows it has seen and takes up a batch by factoring both together; the factors of the tasks are merged ``FAN`` at a time in the same
+    way. A task holds a batch and a triangle, and one triangle comes to the driver.
+    """
+    size = len(cols) + 1 + intercept
+
+    def stacked(parts: list[np.ndarray]) -> np.ndarray:
+        r = np.linalg.qr(np.concatenate(parts), mode="r")
+        return np.concatenate([r, np.zeros((size - len(r), size))]) if len(r) < size else r
+
+    def row(number: int, n: int, r: np.ndarray) -> list[pa.Array]:
+        return [pa.array([number], pa.int64()), pa.array([n], pa.int64()), pa.array([np.ascontiguousarray(r).tobytes()], pa.binary())]
+
+    def factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        r, n = np.zeros((0, size)), 0
+        for batch in batches:
+            if batch.num_rows:
+                x = np.column_stack([c.to_numpy() for c in batch.columns[:-1]])
+                x = np.column_stack([np.ones(len(x)), x]) if intercept else x
+                r = stacked([r, x * np.sqrt(batch.columns[-1].to_numpy())[:, None]])
+                n += batch.num_rows
+        if n:
+            yield pa.RecordBatch.from_arrays(row(TaskContext.get().partitionId(), n, r), names=["id", "n", "r"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        parts = [np.frombuffer(x).reshape(size, size) for x in table["r"].to_pylist()]
+        return pa.Table.from_arrays(row(table["id"][0].as_py() // FAN, sum(table["n"].to_pylist()), stacked(parts)), names=["id", "n", "r"])
+
+    schema = "id long, n long, r binary"
+    spark = frame.sparkSession
+    path = scratch_path(spark, "factors")
+    frame.select(*cols, "y", "w").mapInArrow(factor, schema).write.parquet(path)
+    factors = spark.read.schema(schema).parquet(path)
+    most = factors.agg(F.max("id")).first()[0]
+    if most is None:
+        return np.zeros((size, size)), 0
+    while most > 0:
+        factors = factors.groupBy(F.expr(f"id div {FAN}")).applyInArrow(merge, schema)
+        most //= FAN
+    last = factors.first()
+    return np.frombuffer(bytes(last["r"])).reshape(size, size), last["n"]
+
+
+def _independent_columns(r: np.ndarray) -> list[int]:
+    """Columns that are no combination of earlier ones, by what an orthogonal basis of those leaves of them (projected twice, so that rounding does not hide it)."""
+    basis, used = np.zeros((len(r), 0)), []
+    for j in range(r.shape[1]):
+        length = np.linalg.norm(r[:, j])
+        if not length:
+            continue
+        left = r[:, j] / length
+        for _ in range(2):
+            left = left - basis @ (basis.T @ left)
+        size = np.linalg.norm(left)
+        if size > DEPENDENT * np.sqrt(len(used) + 1):
+            basis, used = np.column_stack([basis, left / size]), [*used, j]
+    return used
+
+
+def _fit_by_factor(frame: DataFrame, cols: list[str], names: list[str], intercept: bool) -> LinearFit:
+    r, n = triangular_factor(frame, cols, intercept)
+    k = len(cols) + intercept
+    if n < k:
+        raise ValueError(f"{n} complete rows for {k} coefficients")
+    used = _independent_columns(r[:, :k])
+    q_, t = np.linalg.qr(r[:, used])
+    inverse = np.linalg.solve(t, np.eye(len(used)))
+    coef, cov = np.full(k, np.nan), np.full((k, k), np.nan)
+    coef[used] = inverse @ (q_.T @ r[:, k])
+    cov[np.ix_(used, used)] = inverse @ inverse.T
+    rest = r[:, k] - q_ @ (q_.T @ r[:, k])
+    rss, tss = float(rest @ rest), float(r[int(intercept):, k] @ r[int(intercept):, k])
+    dof = n - len(used)
+    sigma2 = rss / dof if dof > 0 else float("nan")
+    return LinearFit(["(Intercept)", *names] if intercept else names, coef, cov * sigma2, sigma2, int(n), int(dof), 1.0 - rss / tss if tss > 0 else float("nan"))
+
+
 def linear_model(df: DataFrame, response: str | Column, terms: Sequence, weights: str | Column | None = None,
-                 intercept: bool = True, max_levels: int = MAX_LEVELS) -> LinearFit:
+                 intercept: bool = True, max_levels: int = MAX_LEVELS, method: str = "auto") -> LinearFit:
     """(Weighted) least squares. Rows with a NULL in any used column are left out.
 
     ``terms``: column names, ``(name, column)`` pairs such as ``("AGE^2", F.col("AGE")**2)``,
     and :class:`Factor`. Text columns count as factors. A term that is a combination of
     earlier ones gets NaN.
+
+    ``method``: "moments", "qr" (:func:`triangular_factor`), or "auto": moments, and the factor where the moments show terms so close to collinear that it matters.
     """
+    if method not in ("auto", "moments", "qr"):
+        raise ValueError('method must be "auto", "moments" or "qr"')
     tune(df.sparkSession)
     names, xs = _design(df, terms, max_levels)
     y = (q(response) if isinstance(response, str) else response).cast("double")
@@ -126,6 +217,8 @@ def linear_model(df: DataFrame, response: str | Column, terms: Sequence, weights
     frame = df.select(*[c.alias(n) for c, n in zip(xs, cols)], y.alias("y"), w.alias("w")).dropna()
     if weights is not None:
         frame = frame.filter("w > 0")
+    if method == "qr":
+        return _fit_by_factor(frame, cols, names, intercept)
     vars_ = [*cols, "y"]
     # Any centre is exact; the means of all rows keep the sums small and depend on no row order.
     centre = frame.agg(*[F.avg(c).alias(c) for c in vars_]).first() if intercept else None
@@ -152,6 +245,9 @@ def linear_model(df: DataFrame, response: str | Column, terms: Sequence, weights
     # Scaling to unit diagonal keeps terms such as AGE and AGE^2 solvable together.
     d = np.sqrt(np.where(np.diag(a) > 0, np.diag(a), 1.0))
     used = _independent(a / np.outer(d, d))
+    close = len(used) < k or (k > 1 and np.linalg.cond(a / np.outer(d, d)) > MOST_CONDITION ** 2)
+    if method == "auto" and close:
+        return _fit_by_factor(frame, cols, names, intercept)
     p = len(used) + (1 if intercept else 0)
     sub, du = np.ix_(used, used), d[used]
     inv = np.full((k, k), np.nan)

@@ -472,3 +472,16 @@ def pull_by_ranges(spark, sf):
     out.append(reader.pull(300))
     parts = [p.select(F.lit(i).alias("pull"), F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_totalprice") for i, p in enumerate(out, 1)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("""
+    WITH c AS (SELECT l_extendedprice AS y, l_quantity AS a, CAST(l_linenumber AS DOUBLE) AS b FROM lineitem),
+         s AS (SELECT covar_pop(a, a) AS aa, covar_pop(b, b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS cy FROM c)
+    SELECT 'both' AS part, round((ay * bb - cy * ab) / (aa * bb - ab * ab), 2) AS slope FROM s
+    UNION ALL SELECT 'shift', round((cy * aa - ay * ab) / (aa * bb - ab * ab), 2) FROM s""")
+def ols_collinear(spark, sf):
+    """Quantity, and quantity moved by a ten-millionth of the line number: the slopes of 1e7 that the fit finds are those of a well-posed model, put differently."""
+    df = table(spark, sf, "lineitem").select("l_extendedprice", "l_quantity", (F.col("l_quantity") + F.col("l_linenumber") * 1e-7).alias("moved"))
+    fit = models.linear_model(df, "l_extendedprice", ["l_quantity", "moved"])
+    both, shift = float(fit.coef[1] + fit.coef[2]), float(fit.coef[2] * 1e-7)
+    return spark.createDataFrame([("both", both), ("shift", shift)], "part string, slope double").withColumn("slope", F.round("slope", 2))
