@@ -172,14 +172,43 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, recall: flo
                       F.col("keeper.line").alias("first_line"), (~same).alias("removed"))
 
 
-def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` without the paragraphs that ``repeated_paragraphs`` removes; documents of which no word is left go. ``n_chars`` is counted anew."""
+def without_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` without the paragraphs that ``repeated_paragraphs`` removes, and a column ``__cut`` that says where lines went."""
     gone = repeated_paragraphs(docs, min_words).where("removed").groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set(F.col("line").cast("int")).alias("__gone"))
     lines = F.split(F.col("text"), "\n")
     text = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("__gone", i)), "\n")
     out = docs.join(gone, F.col("doc_id") == F.col("__id"), "left").withColumn("__cut", F.col("__gone").isNotNull())
-    out = out.withColumn("text", F.when(F.col("__cut"), text).otherwise(F.col("text")))
-    out = out.where(~F.col("__cut") | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return out.withColumn("text", F.when(F.col("__cut"), text).otherwise(F.col("text"))).drop("__id", "__gone")
+
+
+def without_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """``docs`` without the byte spans (doc_id, tid, start, end) of their texts, and the blanks that follow them; ``__cut`` is true where something went.
+
+    A row's spans have its id and the xxhash64 of its text, and do not overlap. All other rows stay as they are.
+    """
+    gone = spans.groupBy(F.col("doc_id").alias("__id"), F.col("tid").alias("__tid")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("__gone"))
+    raw = F.col("text").cast("binary")
+    # what stays lies before the first span, between neighbours, and behind the last
+    begins = F.concat(F.array(F.lit(0).cast("bigint")), F.transform("__gone", lambda x: x["end"]))
+    ends = F.concat(F.transform("__gone", lambda x: x["start"]), F.array(F.octet_length("text").cast("bigint")))
+    piece = lambda x: F.substring(raw, (x["a"] + 1).cast("int"), (x["b"] - x["a"]).cast("int")).cast("string")
+    pieces = F.transform(F.arrays_zip(begins.alias("a"), ends.alias("b")), lambda x: F.when(x["a"] == 0, piece(x)).otherwise(F.regexp_replace(piece(x), r"^[\x20\x09-\x0D]+", "")))
+    out = docs.join(gone, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__tid")), "left")
+    fresh = F.col("__gone").isNotNull()
+    out = out.withColumn("__cut", fresh | F.col("__cut")) if "__cut" in docs.columns else out.withColumn("__cut", fresh)
+    return out.withColumn("text", F.when(fresh, F.array_join(pieces, "")).otherwise(F.col("text"))).drop("__id", "__tid", "__gone")
+
+
+def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` without repeated paragraphs, then without the passages that still repeat; documents of which no word is left go. ``n_chars`` is counted anew.
+
+    First the lines that ``repeated_paragraphs`` removes are cut, then, wherever they lie in what is left, the stretches that ``repeated_passages`` finds, with the blanks
+    behind them: every run of 50 words in them stood before, by document id. Rows without an id, and null and empty texts, stay as they are; rows equal in id and
+    text are cut alike. Columns named ``__cut``, ``__id``, ``__tid`` or ``__gone`` are the function's own and must not be in ``docs``. An empty table gives none.
+    """
+    left = written(without_lines(docs, min_words), "lines-cut")
+    words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    out = without_spans(left, written(_passages(left), "passages")).where(~F.col("__cut") | words)
     if "n_chars" in docs.columns:
         count = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col("__cut"), count).otherwise(F.col("n_chars")))
@@ -247,6 +276,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     is where its first PASSAGE words stand for the first time. ``removed`` is true. Words are compared as those of paragraphs. Rows without an id take no part;
     rows equal in id and text count as one document. All repeats are found: anchors only choose the texts and runs to look at.
     """
+    return _passages(docs, id_col, text_col).drop("tid")
+
+
+def _passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``repeated_passages`` with the hash of the text, ``tid``."""
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t"))
     texts = texts.select("doc_id", F.xxhash64("t").alias("tid"), "t")
@@ -255,7 +289,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     asked = anchors.join(twice, "key").groupBy("doc_id", "tid").agg(F.collect_set("key").alias("wanted"))
     grams = written(_grams(texts.join(asked, ["doc_id", "tid"]).select("doc_id", "tid", "t", "wanted"), kind), "grams")
     place = F.struct("doc_id", "tid", "pos", "line")
-    known = grams.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("key", "first")
+    # a key's first place is all that is needed: a key of one place has no other
+    known = grams.groupBy("key").agg(F.min(place).alias("first"))
     again = grams.join(known, "key").where(place != F.col("first"))
     # rows equal in id and text give equal places
     again = again.groupBy("doc_id", "tid", "pos").agg(*(F.min(c).alias(c) for c in ("line", "start", "end", "first")))
@@ -264,5 +299,5 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     runs = again.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order)).groupBy("doc_id", "tid", "run").agg(
         F.min("line").alias("line"), F.min("start").alias("start"), F.max("end").alias("end"),
         (F.max("pos") + PASSAGE - F.min("pos")).alias("words"), F.min_by("first", "pos").alias("first"))
-    return runs.select("doc_id", "line", "start", "end", "words", F.col("first.doc_id").alias("first_doc_id"),
+    return runs.select("doc_id", "tid", "line", "start", "end", "words", F.col("first.doc_id").alias("first_doc_id"),
                        F.col("first.line").alias("first_line"), F.lit(True).alias("removed"))

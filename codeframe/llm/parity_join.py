@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from codeframe.llm import text as T
 from codeframe.llm.linking import FOUND, GROUP, SETS, found_pairs, held_by_many, pack, settle, with_sketches
@@ -170,8 +171,40 @@ def allowance(n: str) -> F.Column:
     return out
 
 
+def with_sets(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``__n`` and ``__cls``: the size and id of each row's shingle set."""
+    names = docs.columns
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "__n long", "__cls long"])
+    at = len(names)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, values, bounds in T.shingle_sets(batch.column(at)):
+                kept = [batch.column(i).slice(a, b - a) for i in range(at)]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(np.diff(bounds)), pa.array(T.set_ids(values, bounds))], names=[*names, "__n", "__cls"])
+
+    return docs.select("*", F.col(f"`{text_col}`").cast("string").alias("__text")).mapInArrow(rows, schema)
+
+
+def _sets_without_id(asked: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(cls, set, sketch) of sets that only rows without an id have; one text of each is read."""
+    texts = with_sets(docs.where(F.col(id_col).isNull()).select(F.col(text_col).cast("string").alias("t")), "t")
+    texts = texts.join(asked.select(F.col("cls").alias("__cls")), "__cls", "left_semi").groupBy("__cls").agg(F.first("t").alias("t"))
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, values, bounds in T.shingle_sets(batch.column(0)):
+                yield with_sketches(pa.array(T.set_ids(values, bounds)), values, bounds)
+
+    return texts.select("t").mapInArrow(rows, SETS)
+
+
 def sets_of(asked: DataFrame, docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(cls, set, sketch): the whole sets of the ids asked for, read again from the texts of ``members`` (cls, id), one for each id."""
+    """(cls, set, sketch): the whole sets asked for, read again from the texts of ``members`` (cls, id), one for each id, or from a text of a row without an id."""
+    nameless = written(asked.join(members.where("id IS NULL"), "cls", "left_semi"), "nameless")
+    if not nameless.isEmpty():
+        named = sets_of(asked.join(nameless, "cls", "left_anti"), docs, members.where("id IS NOT NULL"), id_col, text_col)
+        return named.unionByName(_sets_without_id(nameless, docs, id_col, text_col))
     wanted = asked.join(members, "cls").select(F.col("id").alias("__id"), "cls")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,10 +223,15 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Texts are lower-cased in A-Z; words are runs of other bytes than blank and 0x09-0x0D; a set holds all distinct runs
     of five words of the whole text (a shorter text: its whole sequence). Null and empty texts have size 0 and link with nothing.
-    Repeated rows and equal texts are one set; every row comes back. A row without an id gets a component only
-    through others; an id that occurs with several texts gets a row for each. Only the two named columns are read, so
+    Repeated rows and equal texts are one set; every row comes back. Rows without an id link as all others do; a component in which no row
+    has an id has none to name, so its rows get null. An id that occurs with several texts gets a row for each. Only the two named columns are read, so
     further columns, whatever their names, do no harm. An empty table gives an empty result.
     """
+    return _groups(docs, id_col, text_col, group).select("id", "n_shingles", "component_id")
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, group: int) -> DataFrame:
+    """``similar_groups`` with each row's set (cls) and the id of its component's sets (component); null for empty sets."""
     spark = docs.sparkSession
     sized = written(classes(docs, id_col, text_col), "sets")
     members = sized.where("n > 0").groupBy("cls").agg(F.min("id").alias("id"))
@@ -215,7 +253,31 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = settle(likely, unsure, lambda asked: sets_of(asked, docs, members, id_col, text_col))
     smallest = (members.join(parts.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "id", F.coalesce("component", "cls").alias("component")))
     names = smallest.groupBy("component").agg(F.min("id").alias("component_id"))
-    by_set = smallest.join(names, "component").select(F.col("cls").alias("__cls"), "component_id")
+    by_set = smallest.join(names, "component").select(F.col("cls").alias("__cls"), "component_id", "component")
     return sized.join(by_set, F.col("cls") == F.col("__cls"), "left").select(
-        "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+        "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), "cls", "component")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group: int = GROUP) -> DataFrame:
+    """The rows of ``docs`` with exactly one of each component of ``similar_groups``: that of the smallest id, rows without an id last.
+
+    Of rows with one id the one with the smallest set id, then text hash, counts as first; of rows equal in all of that, any one stays. Rows without words all stay, whatever
+    their ids. Where ids are unique and not null the decision is by id alone; only other rows have their sets looked at again. Columns named
+    ``__id``, ``__n``, ``__cls``, ``__set``, ``__rank`` or ``__text`` are the function's own and must not be in ``docs``. An empty table gives none.
+    """
+    groups = written(_groups(docs, id_col, text_col, group), "groups")
+    odd = written(groups.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1 OR id IS NULL").select(F.col("id").alias("__id")), "odd-ids")
+    same = F.col(id_col).eqNullSafe(F.col("__id"))
+    gone = groups.where("n_shingles > 0 AND NOT id <=> component_id").select(F.col("id").alias("__id"))
+    if odd.isEmpty():
+        return docs.join(gone, F.col(id_col) == F.col("__id"), "left_anti")
+    plain = docs.join(odd, same, "left_anti").join(gone, F.col(id_col) == F.col("__id"), "left_anti")
+    rows = with_sets(docs.join(odd, same, "left_semi"), text_col)
+    # components whose smallest id is one of a single row have their keeper already
+    parts = groups.where("n_shingles > 0").select(F.col("cls").alias("__set"), "component", "component_id").distinct()
+    parts = parts.join(odd, F.col("component_id").eqNullSafe(F.col("__id")), "left_semi")
+    order = Window.partitionBy("component").orderBy(F.col(f"`{id_col}`").asc_nulls_last(), "__cls", F.xxhash64(f"`{text_col}`"))
+    first = rows.join(parts, F.col("__cls") == F.col("__set")).withColumn("__rank", F.row_number().over(order)).where("__rank = 1")
+    kept = first.unionByName(rows.where("__n = 0"), allowMissingColumns=True)
+    return plain.unionByName(kept.select(*[F.col(f"`{c}`") for c in docs.columns]))
 

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
-from brute import groups, shingle_set
+from brute import groups, linked, shingle_set
 
 from codeframe.llm import linking
 from codeframe.llm import parity_join as P
@@ -107,3 +107,43 @@ def test_word_hashes_and_spans():
             for w, x in zip(got, h[first[r]: first[r + 1]].tolist()):
                 assert seen.setdefault(w, x) == x
     assert len(set(seen.values())) == len(seen)
+
+
+def _near(rng, words, k=1):
+    w = list(words)
+    for _ in range(k):
+        w[rng.randrange(len(w))] = f"new{rng.random()}"
+    return " ".join(w)
+
+
+def test_links_through_rows_without_an_id(docs):
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    steps = [base]
+    for _ in range(3):  # each near the one before, the ends apart
+        w = list(steps[-1])
+        for i in rng.sample(range(120), 2):
+            w[i] = f"n{rng.random()}"
+        steps.append(w)
+    sets = [shingle_set(" ".join(w)) for w in steps]
+    assert all(linked(a, b) for a, b in zip(sets, sets[1:])) and not linked(sets[0], sets[3])
+    rows = [(5, " ".join(steps[0])), (None, " ".join(steps[1])), (None, " ".join(steps[2])), (None, " ".join(steps[2])), (9, " ".join(steps[3])),
+            (None, "alone " * 9), (None, None), (7, "other words here altogether now")]
+    got = sorted(((r.id or 0, r.component_id) for r in P.similar_groups(docs(rows)).collect()), key=repr)
+    assert got == sorted([(5, 5), (0, 5), (0, 5), (0, 5), (9, 5), (0, None), (0, None), (7, 7)], key=repr)
+
+
+def test_one_row_of_each_component(docs):
+    rng = random.Random(4)
+    text = lambda k: [f"{k}_{i}" for i in range(60)]
+    rows = [(1, " ".join(text("a"))), (2, _near(rng, text("a"))), (3, " ".join(text("b"))), (3, " ".join(text("a"))), (4, " ".join(text("c"))), (4, " ".join(text("c"))),
+            (6, " ".join(text("d"))), (None, " ".join(text("d"))), (None, " ".join(text("e"))), (None, _near(rng, text("e"))), (8, ""), (8, None), (None, None), (9, "unique words of a short text"),
+            (10, _near(rng, text("f"))), (10, " ".join(text("f")))]
+    out = P.one_of_each(docs(rows))
+    assert out.columns == docs(rows).columns
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert len(got) == len([1, 3, 4, 6, "e", 8, 8, None, 9, 10])
+    for want in ((1, rows[0][1]), (3, rows[2][1]), (4, rows[4][1]), (6, rows[6][1]), (8, ""), (8, None), (None, None), rows[13]):
+        assert got.count(want) == 1
+    assert sum(i is None and t is not None for i, t in got) == 1 and sum(i == 10 for i, _ in got) == 1
+    assert P.one_of_each(docs([])).count() == 0

@@ -1,12 +1,24 @@
+import re
 from collections import Counter
 
 import corpus_pipeline as P
 import pyarrow.parquet as pq
-from brute import WORD, groups, shingle_set
+from brute import WORD, groups, lower, shingle_set
+from test_passages import brute as brute_passages
 
+from codeframe.llm import paragraphs
 from codeframe.llm.tables import written
 
 
+def assert_cut(before, after):
+    """No run of 50 words stands twice any more."""
+    def runs(texts):
+        return Counter(tuple(w[p: p + 50]) for w in (WORD.findall(lower(t)) for t in texts) for p in range(len(w) - 49))
+
+    was, now = runs(r.text for r in before.values()), runs(after.values())
+    assert max(now.values()) == 1 and max(was.values()) > 1
+
+
 def test_stages_one_by_one(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     before = {r.doc_id: r for r in docs.collect()}
@@ -24,6 +36,11 @@ def test_stages_one_by_one(spark, sf):
     assert left == {i: r for i, r in kept.items() if root[i] == i} and one.columns == docs.columns
 
     cut = written(stages["substring dedup"](spark, one, sf), "cut")
+    assert_cut(left, {r.doc_id: r.text for r in cut.collect()})
+    assert cut.columns == docs.columns
+    got = {r.doc_id: r.text for r in cut.collect()}
+
+    # lines first
     lines = {(i, j): x for i, r in left.items() for j, x in enumerate(r.text.split("\n")) if len(WORD.findall(x)) >= 20}
     first = groups({k: shingle_set(x) for k, x in lines.items()})
     want = {}
@@ -31,8 +48,23 @@ def test_stages_one_by_one(spark, sf):
         text = "\n".join(x for j, x in enumerate(r.text.split("\n")) if first.get((i, j), (i, j)) == (i, j))
         if text == r.text or WORD.search(text):
             want[i] = text
-    got = {r.doc_id: r.text for r in cut.collect()}
-    assert cut.columns == docs.columns and sum(got.get(i) == t for i, t in want.items()) >= 0.99 * len(want) and len(got) == len(want)
+    lines_cut = {r.doc_id: r.text for r in paragraphs.without_lines(one).collect()}
+    assert sum(lines_cut[i] == t for i, t in want.items()) >= 0.99 * len(want)
+
+    # then passages: every run of 50 words that stood before, and the blanks behind it
+    spans = {}
+    for i, a, b, _ in brute_passages(list(lines_cut.items())):
+        spans.setdefault(i, []).append((a, b))
+    want = {}
+    for i, t in lines_cut.items():
+        raw, at, out = t.encode(), 0, b""
+        for a, b in sorted(spans.get(i, [])):
+            out += raw[at:a]
+            at = b + len(re.match(rb"[\x20\x09-\x0D]*", raw[b:]).group())
+        text = (out + raw[at:]).decode()
+        if text == left[i].text or WORD.search(text):
+            want[i] = text
+    assert got == want and spans
 
     mixed = written(stages["mixing sources"](spark, cut, sf), "mixed")
     assert mixed.columns == docs.columns
