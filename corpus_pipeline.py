@@ -25,14 +25,12 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: of each group of linked documents the one with the smallest id stays. Documents without words all stay."""
-    groups = parity_join.similar_groups(docs)
-    gone = groups.where("n_shingles > 0 AND id <> component_id").select(F.col("id").alias("__gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    """N-gram Jaccard join: of each group of linked documents exactly one row stays, that of the smallest id. Documents without words all stay."""
+    return parity_join.one_of_each(docs)
 
 
 def without_repeated_paragraphs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Substring dedup: long paragraphs that stood before are cut out; documents of which nothing is left go."""
+    """Substring dedup: long paragraphs, and runs of 50 words wherever they lie, that stood before are cut out; documents of which nothing is left go."""
     return paragraphs.without_repeats(docs)
 
 
