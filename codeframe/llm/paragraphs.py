@@ -27,7 +27,7 @@ MIN_WORDS = 20
 RECALL = 0.995
 #: Words of a passage; a run of ANCHOR words inside it is looked for first.
 PASSAGE = 50
-ANCHOR = 30
+ANCHOR = 16
 KEYS_PER_TASK = 600_000
 
 
@@ -292,8 +292,7 @@ def _passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     # a key's first place is all that is needed: a key of one place has no other
     known = grams.groupBy("key").agg(F.min(place).alias("first"))
     again = grams.join(known, "key").where(place != F.col("first"))
-    # rows equal in id and text give equal places
-    again = again.groupBy("doc_id", "tid", "pos").agg(*(F.min(c).alias(c) for c in ("line", "start", "end", "first")))
+    # rows equal in id and text give equal places, which fall into one run
     order = W.partitionBy("doc_id", "tid").orderBy("pos")
     fresh = F.coalesce(F.col("pos") > F.lag("pos").over(order) + PASSAGE, F.lit(True)).cast("long")
     runs = again.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order)).groupBy("doc_id", "tid", "run").agg(
