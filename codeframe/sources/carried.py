@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..codebook import Codebook, Variable
 from ..functions.charset import is_one_byte
-from ..metadata import ALL_ATTRS, q
+from ..metadata import ALL_ATTRS
 from ..operators.labels import set_attributes
 from ..select import Selection
 from .micro import _book, _data_path, _is_csv, _same_code, cut_variable, rectype_expr
