@@ -29,6 +29,8 @@ RECALL = 0.995
 PASSAGE = 50
 ANCHOR = 16
 KEYS_PER_TASK = 600_000
+#: Runs that a key must have before it counts as much held.
+LEAST_HOT = 1000
 
 
 def tune_bands(threshold: float = 0.75, recall: float = RECALL, most_hashes: int = 64) -> tuple[int, int]:
@@ -248,24 +250,79 @@ def _anchors(texts: DataFrame, kind: str) -> DataFrame:
 
 
 def _grams(texts: DataFrame, kind: str) -> DataFrame:
-    """(doc_id, tid, pos, line, start, end, key): the runs of PASSAGE words of each text whose anchor is in ``wanted``."""
+    """(doc_id, tid, pos, line, start, end, n, digest, inside): the runs of PASSAGE words of each text whose anchor is in ``wanted``, those
+    of one anchor place as one row.
+
+    ``inside`` lists the n runs' (key, line, start, end) in order, ``digest`` is a hash of all their keys; ``start`` is the first one's, ``end`` the last one's.
+    """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = batch.column(3)
             for a, b, data, offsets in T.blocks(batch.column(2)):
-                row, pos, anchor, _, starts, ends, first, hashes = _windows(data, offsets)
+                row, pos, anchor, place, starts, ends, first, hashes = _windows(data, offsets)
                 # whether an anchor stands twice does not depend on the text that asks
                 keep = np.isin(anchor.view(np.int64), wanted.slice(a, b - a).flatten().to_numpy())
-                row, pos = row[keep], pos[keep]
+                row, pos, place = row[keep], pos[keep], place[keep]
+                if not len(row):
+                    continue
                 at = first[row] + pos
                 key = T.shingles(hashes, np.array([0, len(hashes)]), PASSAGE)[0][at]
                 breaks = np.concatenate([[0], np.cumsum(data == 10)])
-                where = pa.array(row + a)
-                cells = (pos, breaks[starts[at]] - breaks[offsets[row]], starts[at] - offsets[row], ends[at + PASSAGE - 1] - offsets[row], key.view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(where), batch.column(1).take(where), *map(pa.array, cells)],
-                                                 names=["doc_id", "tid", "pos", "line", "start", "end", "key"])
+                line, start, end = breaks[starts[at]] - breaks[offsets[row]], starts[at] - offsets[row], ends[at + PASSAGE - 1] - offsets[row]
+                heads = np.flatnonzero(np.diff(place, prepend=-1))
+                bounds = np.append(heads, len(row))
+                n = np.diff(bounds)
+                nth = (np.arange(len(row)) - np.repeat(heads, n)).astype(np.uint64)
+                with np.errstate(over="ignore"):
+                    digest = T.mix(np.add.reduceat(T.mix(key) * (T.mix(nth) | np.uint64(1)), heads) + T.mix(n))
+                runs = pa.StructArray.from_arrays([pa.array(key.view(np.int64)), pa.array(line.astype(np.int32)), pa.array(start.astype(np.int32)),
+                                                   pa.array(end.astype(np.int32))], names=["key", "line", "start", "end"])
+                where = pa.array(row[heads] + a)
+                cells = (pos[heads], line[heads], start[heads], end[bounds[1:] - 1], n, digest.view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(where), batch.column(1).take(where), *(pa.array(x.astype(np.int64)) for x in cells),
+                                                  pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), runs)],
+                                                 names=["doc_id", "tid", "pos", "line", "start", "end", "n", "digest", "inside"])
+
+    return texts.mapInArrow(rows, f"doc_id {kind}, tid long, pos long, line long, start long, end long, n long, digest long, "
+                                  "inside array<struct<key: long, line: int, start: int, end: int>>")
+
+
+def _much_held(groups: DataFrame, hot: list, kind: str) -> DataFrame:
+    """Pieces (see ``_passages``) of the runs in ``groups`` whose key is one of ``hot`` (rows key, first): neighbours in a text are one piece.
+
+    ``hot`` holds the keys of more than a set share of all runs, so its length is bounded by that share and it can go to every task.
+    """
+    hot = sorted(hot, key=lambda r: r["key"])
+    keys, tids, poss = (np.array(x, np.int64) for x in ([r["key"] for r in hot], [r["first"]["tid"] for r in hot], [r["first"]["pos"] for r in hot]))
+    docs, lines = [r["first"]["doc_id"] for r in hot], np.array([r["first"]["line"] for r in hot], np.int64)
 
-    return texts.mapInArrow(rows, f"doc_id {kind}, tid long, pos long, line long, start long, end long, key long")
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            inside = batch.column(3)
+            flat = inside.flatten()
+            key, line, start, end = (flat.field(i).to_numpy() for i in range(4))
+            n = np.diff(inside.offsets.to_numpy())
+            row = np.repeat(np.arange(len(n)), n)
+            pos = batch.column(2).to_numpy()[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            which = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            keep = keys[which] == key
+            first = pa.array(docs, batch.column(0).type)
+            # the first place of all is no repeat
+            own = np.flatnonzero(keep & (tids[which] == batch.column(1).to_numpy()[row]) & (poss[which] == pos))
+            same = [x == y for x, y in zip(batch.column(0).take(pa.array(row[own])).to_pylist(), first.take(pa.array(which[own])).to_pylist())]
+            keep[own[np.array(same, bool)]] = False
+            at = np.flatnonzero(keep)
+            fresh = np.ones(len(at), bool)
+            fresh[1:] = (np.diff(at) > 1) | (np.diff(row[at]) > 0)
+            head, last = at[fresh], at[np.append(fresh[1:], True)[: len(at)]]
+            of, place = pa.array(row[head]), which[head]
+            cells = (pos[head], pos[last], line[head], start[head], end[last])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), *(pa.array(x.astype(np.int64)) for x in cells),
+                                              first.take(pa.array(place)), pa.array(lines[place])],
+                                             names=["doc_id", "tid", "pos", "last", "line", "start", "end", "first_doc_id", "first_line"])
+
+    return groups.select("doc_id", "tid", "pos", "inside").mapInArrow(
+        rows, f"doc_id {kind}, tid long, pos long, last long, line long, start long, end long, first_doc_id {kind}, first_line long")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -280,7 +337,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def _passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``repeated_passages`` with the hash of the text, ``tid``."""
+    """``repeated_passages`` with the hash of the text, ``tid``.
+
+    What stood before is gathered as pieces: neighbouring runs of PASSAGE words from ``pos`` to ``last`` as one row.
+    """
+    spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("t"))
     texts = texts.select("doc_id", F.xxhash64("t").alias("tid"), "t")
@@ -289,14 +350,31 @@ def _passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     asked = anchors.join(twice, "key").groupBy("doc_id", "tid").agg(F.collect_set("key").alias("wanted"))
     grams = written(_grams(texts.join(asked, ["doc_id", "tid"]).select("doc_id", "tid", "t", "wanted"), kind), "grams")
     place = F.struct("doc_id", "tid", "pos", "line")
-    # a key's first place is all that is needed: a key of one place has no other
-    known = grams.groupBy("key").agg(F.min(place).alias("first"))
-    again = grams.join(known, "key").where(place != F.col("first"))
+    # of equal rows only the first is looked at run by run: all runs of the others stood before
+    firsts = grams.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"), F.min_by("inside", place).alias("inside"))
+    firsts = written(firsts.select("digest", "first.*", "times", "inside"), "first-grams")
+    runs = firsts.select("doc_id", "tid", F.col("pos").alias("head"), F.posexplode("inside").alias("i", "x")).select(
+        "doc_id", "tid", (F.col("head") + F.col("i")).alias("pos"), *(F.col(f"x.{c}").cast("long").alias(c) for c in ("line", "start", "end", "key")))
+    known = written(runs.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")), "known")
+    # keys of more than 1 / (4 x partitions) of all runs: there are fewer than 4 x partitions of them
+    share = (known.agg(F.sum("times")).first()[0] or 0) // pieces(spark, 0, 1) // 4
+    much = F.col("times") > max(share, LEAST_HOT)
+    hot = known.where(much).select("key", "first").collect()
+    rest = runs.join(F.broadcast(known.where(much).select("key")), "key", "left_anti") if hot else runs
+    again = rest.join(known.where((F.col("times") > 1) & ~much).drop("times"), "key").where(place != F.col("first"))
+    piece = ["doc_id", "tid", "pos", "last", "line", "start", "end", "first_doc_id", "first_line"]
+    again = again.select("*", F.col("pos").alias("last"), F.col("first.doc_id").alias("first_doc_id"), F.col("first.line").alias("first_line")).select(piece)
+    if hot:
+        again = again.unionByName(_much_held(firsts, hot, kind))
+    heads = firsts.where("times > 1").select("digest", place.alias("own"), F.col("inside")[0]["key"].alias("key")).join(known.drop("times"), "key")
+    copies = grams.drop("inside").join(heads, "digest").where(place != F.col("own"))
+    again = again.unionByName(copies.select("*", (F.col("pos") + F.col("n") - 1).alias("last"), F.col("first.doc_id").alias("first_doc_id"),
+                                            F.col("first.line").alias("first_line")).select(piece))
     # rows equal in id and text give equal places, which fall into one run
-    order = W.partitionBy("doc_id", "tid").orderBy("pos")
-    fresh = F.coalesce(F.col("pos") > F.lag("pos").over(order) + PASSAGE, F.lit(True)).cast("long")
-    runs = again.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order)).groupBy("doc_id", "tid", "run").agg(
+    order = W.partitionBy("doc_id", "tid").orderBy("pos", "last")
+    before = F.max("last").over(order.rowsBetween(W.unboundedPreceding, -1))
+    fresh = F.coalesce(F.col("pos") > before + PASSAGE, F.lit(True)).cast("long")
+    out = again.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order)).groupBy("doc_id", "tid", "run").agg(
         F.min("line").alias("line"), F.min("start").alias("start"), F.max("end").alias("end"),
-        (F.max("pos") + PASSAGE - F.min("pos")).alias("words"), F.min_by("first", "pos").alias("first"))
-    return runs.select("doc_id", "tid", "line", "start", "end", "words", F.col("first.doc_id").alias("first_doc_id"),
-                       F.col("first.line").alias("first_line"), F.lit(True).alias("removed"))
+        (F.max("last") + PASSAGE - F.min("pos")).alias("words"), F.min_by(F.struct("first_doc_id", "first_line"), "pos").alias("first"))
+    return out.select("doc_id", "tid", "line", "start", "end", "words", "first.first_doc_id", "first.first_line", F.lit(True).alias("removed"))

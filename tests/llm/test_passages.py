@@ -62,3 +62,28 @@ def test_whole_table(spark, sf):
     rows = list(zip(*pq.read_table(f"{sf}/documents.parquet", columns=["doc_id", "text"]).to_pydict().values()))
     got = sorted((r.doc_id, r.start, r.end, r.words) for r in op5_paragraph_dedup(spark, sf).where("kind = 'passage'").collect())
     assert got == sorted(brute(rows)) and got
+
+
+def test_much_held_passage(spark, docs, monkeypatch):
+    """A passage of most documents, in pieces of several lengths, next to whole copies and to a repeated row."""
+    monkeypatch.setattr(P, "LEAST_HOT", 5)
+    rng = random.Random(3)
+    pool = [f"w{i}" for i in range(5000)]
+    shared = [f"s{i}" for i in range(90)]
+    rows = []
+    for i in range(300):
+        n = rng.randint(48, 90)
+        k = rng.randint(0, 90 - n)
+        rows.append((i, " ".join(rng.choices(pool, k=rng.randint(0, 40)) + shared[k: k + n] + rng.choices(pool, k=rng.randint(0, 40)))))
+    rows += [(400 + i, rows[7][1]) for i in range(30)] + [rows[11], rows[450 - 400]]
+    want = brute(rows)
+    calls = []
+    kept = P._much_held
+    monkeypatch.setattr(P, "_much_held", lambda *a: calls.append(len(a[1])) or kept(*a))
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        assert found(docs(rows)) == sorted(want) and len(want) > 300
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert calls and 0 < calls[0] < 4 * 64
