@@ -253,7 +253,7 @@ def _grams(texts: DataFrame, kind: str) -> DataFrame:
     """(doc_id, tid, pos, line, start, end, n, digest, inside): the runs of PASSAGE words of each text whose anchor is in ``wanted``, those
     of one anchor place as one row.
 
-    ``inside`` lists the n runs' (key, line, start, end) in order, ``digest`` is a hash of all their keys; ``start`` is the first one's, ``end`` the last one's.
+    ``inside`` holds the n runs' keys, lines, starts and ends in order, ``digest`` is a hash of all their keys; ``start`` is the first one's, ``end`` the last one's.
     """
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -275,16 +275,17 @@ def _grams(texts: DataFrame, kind: str) -> DataFrame:
                 nth = (np.arange(len(row)) - np.repeat(heads, n)).astype(np.uint64)
                 with np.errstate(over="ignore"):
                     digest = T.mix(np.add.reduceat(T.mix(key) * (T.mix(nth) | np.uint64(1)), heads) + T.mix(n))
-                runs = pa.StructArray.from_arrays([pa.array(key.view(np.int64)), pa.array(line.astype(np.int32)), pa.array(start.astype(np.int32)),
-                                                   pa.array(end.astype(np.int32))], names=["key", "line", "start", "end"])
+                # plain arrays take half the room of an array of structs
+                cuts = pa.array(bounds.astype(np.int32))
+                lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in (key.view(np.int64), *(x.astype(np.int32) for x in (line, start, end)))]
                 where = pa.array(row[heads] + a)
                 cells = (pos[heads], line[heads], start[heads], end[bounds[1:] - 1], n, digest.view(np.int64))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(where), batch.column(1).take(where), *(pa.array(x.astype(np.int64)) for x in cells),
-                                                  pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), runs)],
+                                                  pa.StructArray.from_arrays(lists, names=["key", "line", "start", "end"])],
                                                  names=["doc_id", "tid", "pos", "line", "start", "end", "n", "digest", "inside"])
 
     return texts.mapInArrow(rows, f"doc_id {kind}, tid long, pos long, line long, start long, end long, n long, digest long, "
-                                  "inside array<struct<key: long, line: int, start: int, end: int>>")
+                                  "inside struct<key: array<long>, line: array<int>, start: array<int>, end: array<int>>")
 
 
 def _much_held(groups: DataFrame, hot: list, kind: str) -> DataFrame:
@@ -298,10 +299,9 @@ def _much_held(groups: DataFrame, hot: list, kind: str) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            inside = batch.column(3)
-            flat = inside.flatten()
-            key, line, start, end = (flat.field(i).to_numpy() for i in range(4))
-            n = np.diff(inside.offsets.to_numpy())
+            lists = [batch.column(3).field(i) for i in range(4)]
+            key, line, start, end = (x.flatten().to_numpy() for x in lists)
+            n = np.diff(lists[0].offsets.to_numpy())
             row = np.repeat(np.arange(len(n)), n)
             pos = batch.column(2).to_numpy()[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
             which = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
@@ -353,7 +353,7 @@ def _passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     # of equal rows only the first is looked at run by run: all runs of the others stood before
     firsts = grams.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"), F.min_by("inside", place).alias("inside"))
     firsts = written(firsts.select("digest", "first.*", "times", "inside"), "first-grams")
-    runs = firsts.select("doc_id", "tid", F.col("pos").alias("head"), F.posexplode("inside").alias("i", "x")).select(
+    runs = firsts.select("doc_id", "tid", F.col("pos").alias("head"), F.posexplode(F.arrays_zip(*(F.col(f"inside.{c}").alias(c) for c in ("key", "line", "start", "end")))).alias("i", "x")).select(
         "doc_id", "tid", (F.col("head") + F.col("i")).alias("pos"), *(F.col(f"x.{c}").cast("long").alias(c) for c in ("line", "start", "end", "key")))
     known = written(runs.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")), "known")
     # keys of more than 1 / (4 x partitions) of all runs: there are fewer than 4 x partitions of them
@@ -366,7 +366,7 @@ def _passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     again = again.select("*", F.col("pos").alias("last"), F.col("first.doc_id").alias("first_doc_id"), F.col("first.line").alias("first_line")).select(piece)
     if hot:
         again = again.unionByName(_much_held(firsts, hot, kind))
-    heads = firsts.where("times > 1").select("digest", place.alias("own"), F.col("inside")[0]["key"].alias("key")).join(known.drop("times"), "key")
+    heads = firsts.where("times > 1").select("digest", place.alias("own"), F.col("inside.key")[0].alias("key")).join(known.drop("times"), "key")
     copies = grams.drop("inside").join(heads, "digest").where(place != F.col("own"))
     again = again.unionByName(copies.select("*", (F.col("pos") + F.col("n") - 1).alias("last"), F.col("first.doc_id").alias("first_doc_id"),
                                             F.col("first.line").alias("first_line")).select(piece))
