@@ -165,6 +165,12 @@ class CodebookTables:
     def ids(self) -> list[str]:
         return [r[0] for r in self.file_info.select("codebook_id").distinct().orderBy("codebook_id").collect()]
 
+    def terms(self) -> DataFrame:
+        """``(codebook_id, terms)``: conditions of use followed by the citation request, as :meth:`Codebook.terms` for each codebook."""
+        blank = F.lit("\n\n")
+        cited = F.when(F.coalesce("citation", F.lit("")) != "", F.concat("citation", blank)).otherwise(F.lit(""))
+        return self.file_info.select("codebook_id", F.concat(F.coalesce("conditions", F.lit("")), blank, cited).alias("terms"))
+
     def lower(self) -> CodebookTables:
         low = lambda c: F.lower(F.col(c))
         return CodebookTables(

@@ -201,7 +201,7 @@ def area_utf8(spark, sf):
 # ---------------------------------------------------------------- codebooks
 
 def _xml_of_parts(spark: SparkSession, sf: str) -> str:
-    """One codebook a file: a variable for each part, record types from order states, study data from the table's own names."""
+    """A folder of codebooks, written by tasks: one for each block of part keys, with a variable for each part, record types from order states, study data from the table's own names."""
     p = table(spark, sf, "part")
     states = table(spark, sf, "orders").select("o_orderstatus").distinct()
     groups = states.select(F.concat(F.lit('<recGrp recidvar="RECTYPE" rectype="'), "o_orderstatus", F.lit('" keyvar="SERIAL YEAR"><labl>Status '),
@@ -220,11 +220,15 @@ def _xml_of_parts(spark: SparkSession, sf: str) -> str:
         F.lit('"><location StartPos="2" EndPos="'), (F.col("p_size") + 1).cast("string"), F.lit('" width="'), size, F.lit('"/><labl>'), "p_name",
         F.lit("</labl><txt>"), "p_type", F.lit('</txt><varFormat type="'), F.when(F.col("p_size") % 5 == 0, "character").otherwise("numeric"), F.lit('"/></var>'))
     path = scratch_path(spark, "xml")
-    body = p.select((F.col("p_partkey") + 2).alias("k"), var.alias("value"))
-    start, end = (spark.range(1).select(F.lit(k).cast("bigint").alias("k"), F.lit(t).alias("value")) for k, t in ((0, "<codeBook>"), (1 << 60, "</codeBook>")))
-    every = start.unionByName(head.select(F.lit(1).cast("bigint").alias("k"), "value")).unionByName(body).unionByName(end)
-    every.coalesce(1).sortWithinPartitions("k").select("value").write.text(path)
-    return path
+    book = F.expr("p_partkey div 200").alias("book")
+    body = p.select(book, (F.col("p_partkey") + 2).alias("k"), var.alias("value"))
+    books = p.select(book).distinct()
+    ends = books.select("book", F.explode(F.map_from_arrays(F.array(F.lit(0).cast("bigint"), F.lit(1 << 60)), F.array(F.lit("<codeBook>"), F.lit("</codeBook>")))).alias("k", "value"))
+    # the file description is one row
+    heads = books.withColumn("k", F.lit(1).cast("bigint")).join(F.broadcast(head.withColumn("k", F.lit(1).cast("bigint"))), "k").select("book", "k", "value")
+    every = body.unionByName(ends).unionByName(heads)
+    every.repartition("book").sortWithinPartitions("book", "k").drop("k").write.partitionBy("book").text(path)
+    return f"{path}/book=*"
 
 
 @query("""
@@ -233,9 +237,9 @@ def _xml_of_parts(spark: SparkSession, sf: str) -> str:
            CASE WHEN p_size % 4 = 0 THEN 'F O' ELSE 'P' END AS rectypes FROM part
     UNION ALL SELECT 'rectype', 'Type', NULL, 1, 1, 0, 'character', 'F O P'""")
 def codebook_variable_rows(spark, sf):
-    """The table of variables of a codebook, with lower-case names."""
+    """The variables of a folder of codebooks, with lower-case names; those that several codebooks describe alike stand once."""
     rows = ddi.read_codebook_tables(spark, _xml_of_parts(spark, sf), lower_vars=True).variables
-    return rows.select("var_name", "var_label", "var_desc", "start", "end", "imp_decim", "var_type", F.array_join("rectypes", " ").alias("rectypes"))
+    return rows.select("var_name", "var_label", "var_desc", "start", "end", "imp_decim", "var_type", F.array_join("rectypes", " ").alias("rectypes")).distinct()
 
 
 @query("""
@@ -243,21 +247,21 @@ def codebook_variable_rows(spark, sf):
 def codebook_record_types(spark, sf):
     """Record types, their key variables, and the labels that the record-type id takes from them."""
     tables = ddi.read_codebook_tables(spark, _xml_of_parts(spark, sf), lower_vars=True)
-    ids = tables.value_labels.filter("var_name = 'rectype'").select(F.col("val").alias("rectype"), F.col("lbl").alias("id_label"))
-    return tables.record_types.join(ids, "rectype").select("rectype", "label", F.array_join("keyvars", " ").alias("keyvars"),
-                                                           F.lit(tables.file_info.first()["rectype_idvar"]).alias("idvar"), "id_label")
+    ids = tables.value_labels.filter("var_name = 'rectype'").select("codebook_id", F.col("val").alias("rectype"), F.col("lbl").alias("id_label"))
+    idvar = tables.file_info.select("codebook_id", F.col("rectype_idvar").alias("idvar"))
+    return tables.record_types.join(ids, ["codebook_id", "rectype"]).join(idvar, "codebook_id").select(
+        "rectype", "label", F.array_join("keyvars", " ").alias("keyvars"), "idvar", "id_label").distinct()
 
 
 @query("""
     SELECT 'Parts' AS project, '2020-02-03' AS extract_date, 'First' || chr(10) || chr(10) || 'Second' AS extract_notes, 'parts.dat' AS file_name, 'UTF-8' AS file_encoding,
            'Use it' || chr(10) || chr(10) || 'Cite it' || chr(10) || chr(10) AS terms, count(*) + 1 AS variables FROM part""")
 def codebook_file_terms(spark, sf):
-    """File-level information of a codebook and its conditions of use."""
-    book = ddi.read_codebook_tables(spark, _xml_of_parts(spark, sf)).codebook()
-    info = book.file_info()
-    return spark.createDataFrame(
-        [(info["project"], str(info["extract_date"]), info["extract_notes"], book.file_info("file_name"), book.file_encoding, book.terms(), len(book.variables))],
-        "project string, extract_date string, extract_notes string, file_name string, file_encoding string, terms string, variables bigint")
+    """File-level information of a folder of codebooks and their conditions of use, with the number of variables that those of the same information describe."""
+    tables = ddi.read_codebook_tables(spark, _xml_of_parts(spark, sf))
+    info = tables.file_info.join(tables.terms(), "codebook_id").withColumn("extract_date", F.col("extract_date").cast("string"))
+    described = tables.variables.select("codebook_id", "var_name").join(info, "codebook_id")
+    return described.groupBy("project", "extract_date", "extract_notes", "file_name", "file_encoding", "terms").agg(F.count_distinct("var_name").alias("variables"))
 
 
 @query(f"""
@@ -277,12 +281,13 @@ def variable_lookups(spark, sf):
 @query("""
     SELECT 'parts.csv' AS data_file, 'F' || p_partkey AS var_name, p_name AS var_label, 'files' AS layout FROM part""")
 def codebook_text_files(spark, sf):
-    """A text codebook that lists the columns of data files."""
-    lines = table(spark, sf, "part").select(F.lit("b").alias("codebook_id"), (F.col("p_partkey") + 100).alias("line_no"),
-                                            F.concat(F.lit("    F"), F.col("p_partkey").cast("string"), F.lit(":   "), "p_name").alias("line"))
+    """Text codebooks that list the columns of data files, one for each block of part keys."""
+    book = F.expr("p_partkey div 200").cast("string").alias("codebook_id")
+    p = table(spark, sf, "part")
+    lines = p.select(book, (F.col("p_partkey") + 100).alias("line_no"), F.concat(F.lit("    F"), F.col("p_partkey").cast("string"), F.lit(":   "), "p_name").alias("line"))
     dashes = "-" * 20
-    head = spark.createDataFrame([("b", i, t) for i, t in enumerate(["Codebook", "Area data", dashes, "Data Dictionary", dashes, "Data File: parts.csv", ""], 1)],
-                                 "codebook_id string, line_no bigint, line string")
+    texts = F.array(*map(F.lit, ["Codebook", "Area data", dashes, "Data Dictionary", dashes, "Data File: parts.csv", ""]))
+    head = p.select(book).distinct().select("codebook_id", F.posexplode(texts).alias("at", "line")).select("codebook_id", (F.col("at") + 1).cast("bigint").alias("line_no"), "line")
     rows = textbook.textbook_variables(head.unionByName(lines))
     return rows.select("data_file", "var_name", "var_label", "layout")
 

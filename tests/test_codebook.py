@@ -197,3 +197,9 @@ def test_prefixed_and_broken_xml(spark, tmp_path, book):
     (tmp_path / "broken.xml").write_text(text[: len(text) // 2], encoding="utf-8")
     with pytest.raises(Exception):
         cf.read_codebook(spark, str(tmp_path / "broken.xml")).names
+
+
+@pytest.mark.parametrize("conditions, citation", [("Use it", "Cite it"), ("Use it", ""), ("Use it", None), (None, "Cite it"), ("", "")])
+def test_terms_as_a_table(spark, conditions, citation):
+    book = cf.Codebook(variables=(), conditions=conditions, citation=citation)
+    assert [tuple(r) for r in book.to_tables(spark, "b").terms().collect()] == [("b", book.terms())]
