@@ -1,6 +1,6 @@
 """Language identification by a linear-chain conditional random field.
 
-A text is a chain of words; a word's label is a language. Its score is a sum of weights of its features (affixes, byte n-grams and,
+A text is a chain of words (words of more than 16 bytes, and texts in scripts without blanks, are cut into several elements); a word's label is a language. Its score is a sum of weights of its features (affixes, byte n-grams and,
 for words of a learned lexicon, the word itself) plus a learned transition weight between neighbours' labels. Forward-backward gives each word's
 label probabilities, also where a text switches language; the document's language is the one with the most probability in all.
 """
@@ -15,23 +15,46 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from codeframe.llm import text as T
 from codeframe.llm.quality import fold
 
-#: Bounds of the fit: documents (the first in the order of a hash of the id), words, buckets of hashed features, length of training chains.
+#: Bounds of the fit: documents (an equal share for each language, the first in the order of a hash of the id), words, buckets of hashed features, length of training chains.
 SAMPLE = 1200
 SAMPLE_WORDS = 200_000
 BUCKETS = 1 << 16
 CHAIN = 48
+#: A longer text gives the fit this many stretches, evenly spaced from its start to its end.
+STRETCHES = 8
 _MOST_BYTES = 16
+_CUT_BYTES = 12
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 
 
+def elements(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the elements of each text's chain, and where each text's begin (one more entry than texts).
+
+    An element is a word; one of more than 16 bytes is cut, between characters, into elements of 6 to 15, so that no byte stays unseen.
+    """
+    starts, ends, first = T.words(data, offsets)
+    size = ends - starts
+    many = np.where(size > _MOST_BYTES, -(-size // _CUT_BYTES), 1)
+    if not (many > 1).any():
+        return starts, ends, first
+    upto = np.concatenate([[0], np.cumsum(many)])
+    word = np.repeat(np.arange(len(starts)), many)
+    nth = np.arange(upto[-1]) - upto[word]
+    at = starts[word] + nth * size[word] // many[word]
+    for _ in range(3):  # back to the first byte of a character
+        at = at - ((data[at] & 0xC0) == 0x80) * (nth > 0)
+    return at, np.where(nth + 1 < many[word], np.append(at[1:], 0), ends[word]), upto[first]
+
+
 def word_features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket of each feature, is it there) for each word: prefixes and suffixes of 2 to 4 bytes, all runs of 2 and 3 bytes among the first 12
-    and last 4, and the whole word (the lexicon). Letters A-Z count as a-z in all but the whole word's hash, which the caller lowers.
+    """(bucket of each feature, is it there) for each element: prefixes and suffixes of 2 to 4 bytes, all runs of 2 and 3 bytes (elements have 16 at most),
+    and the whole element (the lexicon). Letters A-Z count as a-z in all but the whole word's hash, which the caller lowers.
     """
     n = len(starts)
     length = ends - starts
@@ -110,7 +133,7 @@ class Chain:
     def posteriors(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(label probabilities of all words, bounds of each text's words)."""
         data = T.LOWER[data]
-        starts, ends, first = T.words(data, offsets)
+        starts, ends, first = elements(data, offsets)
         if not len(starts):
             return np.zeros((0, len(self.labels))), first
         hashes = T.word_hashes(data, starts)
@@ -143,7 +166,7 @@ def fit(texts: list[str], langs: list[str], steps: int = 30, rate: float = 0.3,
     buckets, hashes, truth = [], [], []
     for a, b, data, offsets in T.blocks(pa.array(texts, pa.large_string())):
         data = T.LOWER[data]
-        starts, ends, first = T.words(data, offsets)
+        starts, ends, first = elements(data, offsets)
         if not len(starts):
             continue
         h = T.word_hashes(data, starts)
@@ -194,18 +217,26 @@ def fit(texts: list[str], langs: list[str], steps: int = 30, rate: float = 0.3,
 
 
 def learn(docs: DataFrame, sample: int = SAMPLE) -> Chain | None:
-    """Fits the field to at most ``sample`` documents with a language whose fold is not held out: the first in the order of a hash of the id.
+    """Fits the field to about ``sample`` documents with a language whose fold is not held out: each language gives an equal share of them, one at
+    least, the first in the order of a hash of the id, however rare it is.
 
-    The bound is a parameter of the fit; ids are chosen first, so that only their texts are read and brought to the driver, each up
-    to ``SAMPLE_WORDS`` words' share.
+    The bound is a parameter of the fit; ids are chosen first, so that only their texts are read and brought to the driver. A text of more than
+    ``8 * SAMPLE_WORDS / sample`` characters gives ``STRETCHES`` pieces of as many in all, spread evenly over the whole of it; words cut at their edges are left out.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).where(fold(F.col("doc_id"), 5) != 0)
-    chosen = known.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    chosen = F.broadcast(chosen.select(F.col("doc_id").alias("__id")))
+    known = known.select("doc_id", F.col("lang").cast("string").alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    ids = known.select("doc_id", "lang").distinct()
+    share = max(1, sample // max(1, known.select("lang").distinct().count()))
+    nth = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    chosen = ids.withColumn("nth", nth).where(F.col("nth") <= share).select(F.col("doc_id").alias("__id"), F.col("lang").alias("__lang"))
+    rows = known.join(F.broadcast(chosen), (F.col("doc_id") == F.col("__id")) & (F.col("lang") == F.col("__lang")))
     most = 8 * SAMPLE_WORDS // max(sample, 1)
+    size = max(most // STRETCHES, 1)
+    start = lambda i: F.floor(i * (F.char_length("text") - size) / (STRETCHES - 1)) + 1
+    piece = lambda i: F.regexp_replace(F.substring(F.col("text"), start(i).cast("int"), F.lit(size)), r"^[^\x20\x09-\x0D]*[\x20\x09-\x0D]|[\x20\x09-\x0D][^\x20\x09-\x0D]*$", "")
+    spread = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(STRETCHES - 1)), piece), " ")
     # training stretches may be cut anywhere; what is predicted never is
-    rows = (known.join(chosen, F.col("doc_id") == F.col("__id")).select("doc_id", F.col("lang").cast("string").alias("lang"),
-            F.substring(F.coalesce(F.col("text").cast("string"), F.lit("")), 1, most).alias("text")).orderBy("doc_id", "lang", "text").collect())
+    rows = rows.select("doc_id", "lang", F.when(F.char_length("text") > most, spread).otherwise(F.col("text")).alias("text")).orderBy("doc_id", "lang", "text").collect()
     return fit([r.text for r in rows], [r.lang for r in rows]) if rows else None
 
 
