@@ -18,6 +18,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 #: Bytes that are inflated at once, and about the size of a batch of lines.
 PIECE = 1 << 20
+#: Small members whose lines go into one batch.
+MOST_HELD = 1000
 LINES = "bundle string, file string, line_no bigint, raw binary"
 _LINES = pa.schema([("bundle", pa.string()), ("file", pa.string()), ("line_no", pa.int64()), ("raw", pa.binary())])
 
@@ -57,7 +59,12 @@ def directory(path: str) -> list[str]:
 
 def member_batches(path: str, name: str, piece: int = PIECE) -> Iterator[pa.RecordBatch]:
     """Lines of one member as bytes, without their line ends, in batches of about ``piece`` bytes. A member that ends in ".gz" is unpacked twice."""
-    with open_archive(path) as z, z.open(name) as member:
+    with open_archive(path) as z:
+        yield from _batches(z, path, name, piece)
+
+
+def _batches(z: zipfile.ZipFile, path: str, name: str, piece: int) -> Iterator[pa.RecordBatch]:
+    with z.open(name) as member:
         stream = gzip.open(member) if name.endswith(".gz") else member
         rest, number = [], 0
         while True:
@@ -122,8 +129,21 @@ class _Reader(DataSourceReader):
         return out
 
     def read(self, partition: Members) -> Iterator[pa.RecordBatch]:
-        for name in getattr(partition, "names", ()):
-            yield from member_batches(partition.path, name)
+        names = getattr(partition, "names", ())
+        if not names:
+            return
+        # the directory is read once a task, not once a member; small members share a batch
+        held, size = [], 0
+        with open_archive(partition.path) as z:
+            for name in names:
+                for batch in _batches(z, partition.path, name, PIECE):
+                    held.append(batch)
+                    size += batch.nbytes
+                    if size >= PIECE or len(held) >= MOST_HELD:
+                        yield pa.concat_batches(held)
+                        held, size = [], 0
+        if held:
+            yield pa.concat_batches(held)
 
 
 class ArchiveLines(DataSource):

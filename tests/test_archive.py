@@ -77,3 +77,20 @@ def test_unpacked_text_is_one_file(spark, tmp_path):
 
 def test_file_systems():
     assert archive.can_open("/a/b.zip") and archive.can_open("file:///a/b.zip") and not archive.can_open("nosuch://a/b.zip")
+
+
+def test_a_task_reads_the_directory_once(tmp_path, monkeypatch):
+    path = str(tmp_path / "many.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for i in range(2500):
+            z.writestr(f"m{i}.csv", f"{i}\nb{i}")
+    opened = []
+    plain = archive.open_archive
+    monkeypatch.setattr(archive, "open_archive", lambda p: opened.append(p) or plain(p))
+    reader = archive._Reader({"paths": f'["{path}"]', "members": "null", "tasks": "1"})
+    parts = reader.partitions()
+    opened.clear()
+    batches = [b for p in parts for b in reader.read(p)]
+    assert len(opened) == len(parts) and len(batches) < 10 * len(parts)
+    rows = [(r["file"], r["line_no"], r["raw"]) for b in batches for r in b.to_pylist()]
+    assert rows == [(f"m{i}.csv", j + 1, x.encode()) for i in range(2500) for j, x in enumerate((str(i), f"b{i}"))]
