@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from codeframe.llm import cross_entropy as C
 from codeframe.llm import lang_crf as L
@@ -47,6 +49,37 @@ def test_preferences_are_learned():
     assert abs((model.score(x) < 0.7).mean() - (~good).mean()) < 0.02
 
 
+def test_every_labelled_document_is_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(Q, "RARE", 8)
+    monkeypatch.setattr(Q, "COMMON", 16)
+    monkeypatch.setattr(Q, "LEAST_PAIRS", 1)
+    k = len(Q.FEATURES)
+    for n_bad, n_good in ((5, 300), (300, 40), (90, 100), (1, 1)):
+        rows = [(i, i >= n_bad, [float(i if i >= n_bad else 0), float(0 if i >= n_bad else i)] + [0.0] * (k - 2)) for i in range(n_bad + n_good)]
+        labelled = spark.createDataFrame(rows, "h long, good boolean, x array<double>").selectExpr("xxhash64(h) AS h", "good", "x")
+        pairs = [(r.x[0], -r.x[1]) for r in Q.preference_pairs(labelled, {False: n_bad, True: n_good}).collect()]
+        assert {g for g, _ in pairs} == set(range(n_bad, n_bad + n_good)) and {b for _, b in pairs} == set(range(n_bad))
+
+
+def test_labels_beyond_any_sample_count(spark):
+    # 14,000 documents of each class: those of a style of their own, last by the hash that a sample went by, decide how that style is scored
+    n = 14_000
+    ids = spark.range(8 * n).where(Q.fold(F.col("id"), 4) != 2).limit(2 * n).withColumn("good", F.col("id") % 2 == 0)
+    rank = F.row_number().over(W.partitionBy("good").orderBy(F.xxhash64("id"), "id"))
+    docs = ids.withColumn("late", rank > 6000).select(F.col("id").alias("doc_id"), "good", F.when(F.col("late") == F.col("good"), "plain words of a text").otherwise("## 12 %% 34 | 56 !!").alias("text"))
+    model = Q.learn(docs, docs.select("doc_id", F.col("good").cast("int").alias("quality")))
+    plain, marks = model.score(Q.features(pa.array(["plain words of a text", "## 12 %% 34 | 56 !!"])))
+    assert plain > marks  # 8,000 good documents are plain and 6,000 are marks; the first 6,000 alone say the contrary
+
+
+def test_threshold_is_exact(spark):
+    draw = np.random.default_rng(4)
+    for values in (draw.normal(size=3001), np.round(draw.normal(size=500), 1), np.full(7, 2.5), np.array([1.0, np.nextafter(1.0, 2)]), np.array([-3.0])):
+        worths = spark.createDataFrame([(float(v),) for v in values], "worth double")
+        for rank in {0, len(values) // 3, len(values) - 1}:
+            assert Q.value_at(worths, rank) == np.sort(values)[rank: rank + 2].mean()
+
+
 def test_features_by_hand():
     texts = ["Aa bb\nbb bb!", "", None, "X X"]
     f = dict(zip(Q.FEATURES, Q.features(pa.array(texts)).T))
