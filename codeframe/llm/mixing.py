@@ -113,7 +113,8 @@ def mixture(sized: DataFrame, goals: DataFrame, block: int = BLOCK_WORDS, epochs
     first = F.greatest(F.col("start"), F.col("rank") * block)
     words = F.least(F.col("end"), (F.col("rank") + 1) * block) - first
     parts = cut.select("s", "rank", "doc_id", "before", "epoch", (first - F.col("start")).alias("first_word"), words.alias("words"))
-    return schedule(goals, block).join(parts, ["s", "rank"]), placed
+    # the schedule is a job of its own: fewer stages and broadcasts are held at once
+    return written(schedule(goals, block), "schedule").join(parts, ["s", "rank"]), placed
 
 
 def mix_sources(docs: DataFrame, weights: list[int], share_pct: int = 150, most: int = 2, block: int = BLOCK_WORDS) -> DataFrame:
@@ -143,7 +144,8 @@ def mixed_documents(docs: DataFrame, weights: list[int], share_pct: int = 150, m
     # an id that stands on several rows is matched with them in the order of source and size
     turn = W.partitionBy("doc_id").orderBy("s", "before")
     named = placed.where("size > 0").select("s", "before", F.col("doc_id").alias("__id"), F.row_number().over(turn).alias("__nth"))
-    taken = filled.groupBy("s", "before", "epoch").agg(F.sum("words").alias("__taken")).join(named, ["s", "before"]).select("__id", "__nth", "__taken")
+    got = written(filled.groupBy("s", "before", "epoch").agg(F.sum("words").alias("__taken")), "taken")
+    taken = got.join(named, ["s", "before"]).select("__id", "__nth", "__taken")
     size = word_count(F.col("text").cast("string"))
     rows = docs.withColumn("__size", size)
     full = rows.where("__size > 0")

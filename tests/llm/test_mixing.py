@@ -73,3 +73,9 @@ def test_mixed_documents(docs):
     assert {k: v for k, v in got.items() if v} == {k: v for k, v in per.items() if v}
     assert {r.doc_id for r in out.where("doc_id >= 900").collect()} == {900, 901}
     assert M.mixed_documents(docs([]), [5, 2, 1]).count() == 0
+
+
+def test_mixed_documents_hold_no_schedule_in_their_plan(docs):
+    """Schedule and words taken are jobs of their own, so that the last job holds few stages and broadcasts at once."""
+    out = M.mixed_documents(docs([(i, "some words here " * i, f"s{i % 3}") for i in range(12)]), [5, 2, 1], block=4)
+    assert "Range (" not in out._jdf.queryExecution().toString()
