@@ -23,6 +23,8 @@ from codeframe.llm.text import mix
 
 GROUP = 16
 SKETCH_WORDS = 16
+#: Sets whose sketches are counted at once.
+SKETCH_ROWS = 512
 
 RUN = np.dtype([("cls", "<i8"), ("n", "<i4"), ("words", "<i4"), ("own", "<i4"), ("low", "<i4")])
 #: kind 0: sets a and b share ``shared`` keys; kind 1: set b is one of many that hold key a.
@@ -123,8 +125,12 @@ def with_sketches(cls: pa.Array, values: np.ndarray, bounds: np.ndarray) -> pa.R
     n, bits = len(bounds) - 1, 64 * SKETCH_WORDS
     row = np.repeat(np.arange(n), np.diff(bounds))
     bit = (mix(values) % np.uint64(bits)).astype(np.int64)
-    odd = np.bincount(row * bits + bit, minlength=n * bits).astype(np.uint8) & 1
-    words = np.packbits(odd.reshape(n, bits), axis=1, bitorder="little").view(np.int64)
+    words = np.zeros((n, SKETCH_WORDS), np.int64)
+    for a in range(0, n, SKETCH_ROWS):  # short texts come many to a block, and counts take eight bytes a bit
+        b = min(a + SKETCH_ROWS, n)
+        here = slice(bounds[a], bounds[b])
+        odd = np.bincount((row[here] - a) * bits + bit[here], minlength=(b - a) * bits).astype(np.uint8) & 1
+        words[a:b] = np.packbits(odd.reshape(b - a, bits), axis=1, bitorder="little").view(np.int64)
     sets = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.view(np.int64)))
     sketch = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * SKETCH_WORDS), pa.array(words.ravel()))
     return pa.RecordBatch.from_arrays([cls, sets, sketch], names=["cls", "set", "sketch"])

@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from brute import groups, linked, shingle_set
@@ -147,3 +149,22 @@ def test_one_row_of_each_component(docs):
         assert got.count(want) == 1
     assert sum(i is None and t is not None for i, t in got) == 1 and sum(i == 10 for i, _ in got) == 1
     assert P.one_of_each(docs([])).count() == 0
+
+
+def test_sketches_of_many_short_texts_take_little_memory():
+    n = 20_000
+    many = np.arange(n) % 3
+    bounds = np.concatenate([[0], np.cumsum(many)])
+    values = T.mix(np.arange(bounds[-1]))
+    tracemalloc.start()
+    batch = linking.with_sketches(pa.array(np.arange(n)), values, bounds)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+    bits = 64 * linking.SKETCH_WORDS
+    for row in (0, 1, 2, 511, 512, 513, 19_999):
+        want = 0
+        for v in T.mix(values[bounds[row]: bounds[row + 1]]).tolist():
+            want ^= 1 << (v % bits)
+        got = b"".join(w.to_bytes(8, "little", signed=True) for w in batch.column(2)[row].as_py())
+        assert int.from_bytes(got, "little") == want and batch.column(1)[row].as_py() == values[bounds[row]: bounds[row + 1]].view(np.int64).tolist()
