@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codeframe.llm.tables import written
+from codeframe.llm.tables import dropped, written
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
@@ -14,18 +14,21 @@ def components(links: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     In a step each node learns the smallest id among its neighbours (an aggregate with map-side combine) and its neighbours are
     linked to that id instead (a join that AQE may split where a node has very many neighbours). The links are done when they
     are stars: no centre is linked to a smaller node. Links that are stars already, as those of pivots, take no step; others about the
-    logarithm of the longest path. Each step is written to the shared folder, so its lineage is short.
+    logarithm of the longest path. Each step is written to the shared folder, so its lineage is short, and deleted after the next one.
     """
     edges = written(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "links")
     for _ in range(rounds):
         if _stars(edges):
             break
-        edges = written(_small_star(_large_star(edges)), "stars")
+        before, edges = edges, written(_small_star(_large_star(edges)), "stars")
+        dropped(before)
     else:
         raise RuntimeError(f"no end after {rounds} rounds")
     centres = edges.select(F.col("v").alias("node")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        centres.select("node", F.col("node").alias("component")))
+    parts = written(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        centres.select("node", F.col("node").alias("component"))), "parts")
+    dropped(edges)
+    return parts
 
 
 def _stars(edges: DataFrame) -> bool:

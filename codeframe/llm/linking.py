@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from codeframe.llm.components import components
-from codeframe.llm.tables import written
+from codeframe.llm.tables import dropped, written
 from codeframe.llm.text import mix
 
 GROUP = 16
@@ -144,28 +144,36 @@ def settle(likely: DataFrame, hot: DataFrame, fetch: Callable[[DataFrame], DataF
 
     ``likely`` has the pairs (a, b) that may be links, ``hot`` the holders (key, cls, n) of keys that many sets have, as far as
     their links need not show in other keys. ``fetch`` brings the whole sets (``SETS``) of a table of ids (cls); it is
-    called once, for all sets that any later step may compare.
+    called once, for all sets that any later step may compare. All tables written on the way are deleted.
     """
     tried, hot = written(likely.select("a", "b"), "pairs"), written(hot, "hot")
+    made = [tried, hot]
     asked = tried.select(F.explode(F.array("a", "b")).alias("cls")).unionByName(hot.select("cls")).distinct()
     sets = written(fetch(asked), "whole")
     links = written(verified(tried, sets), "links")
-    parts = written(components(links), "parts")
+    parts = components(links)
+    made += [sets, links]
     if hot.isEmpty():
+        dropped(*made)
         return parts
     central = hot.groupBy("cls").agg(F.count(F.lit(1)).alias("central"))
     known = central.join(sets.select("cls", "sketch"), "cls")
     hot = written(hot.join(known, "cls"), "hot")
+    made.append(hot)
     for compare in (_with_pivot, _in_full):
         more = written(_untried(compare(hot, parts), tried), "more")
+        made.append(more)
         if more.isEmpty():
             continue
         tried = tried.unionByName(more)
         fresh = written(verified(more, sets), "links")
+        made.append(fresh)
         if not fresh.isEmpty():
             # the components so far are stars: only new links add work
             stars = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            parts = written(components(stars.unionByName(fresh)), "parts")
+            made.append(parts)
+            parts = components(stars.unionByName(fresh))
+    dropped(*made)
     return parts
 
 

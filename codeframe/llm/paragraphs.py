@@ -20,7 +20,7 @@ from pyspark.sql.window import Window as W
 
 from codeframe.llm import text as T
 from codeframe.llm.linking import FOUND, GROUP, SETS, found_pairs, held_by_many, pack, settle, with_sketches
-from codeframe.llm.tables import pieces, written
+from codeframe.llm.tables import dropped, pieces, written
 
 #: Shorter paragraphs are no passages: boilerplate lines, headings.
 MIN_WORDS = 20
@@ -165,13 +165,16 @@ def repeated_paragraphs(docs: DataFrame, min_words: int = MIN_WORDS, recall: flo
     members = classes.select("cls", "doc_id")
     hot = held_by_many(found).drop("spare")
     labels = settle(likely, hot, lambda asked: _sets_of(asked, docs, members, min_words, id_col, text_col))
+    dropped(found)
     named = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     whole = named.groupBy("component").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.sum("times").alias("times")).where("times > 1")
     of = named.join(whole.drop("times").withColumnRenamed("first", "keeper"), "component").select(F.col("cls").alias("__cls"), "keeper")
     out = places.join(of, F.col("cls") == F.col("__cls"))
     same = (F.col("doc_id") == F.col("keeper.doc_id")) & (F.col("line") == F.col("keeper.line"))
-    return out.select("doc_id", "line", "start", "end", "words", F.col("keeper.doc_id").alias("first_doc_id"),
-                      F.col("keeper.line").alias("first_line"), (~same).alias("removed"))
+    out = written(out.select("doc_id", "line", "start", "end", "words", F.col("keeper.doc_id").alias("first_doc_id"),
+                             F.col("keeper.line").alias("first_line"), (~same).alias("removed")), "repeated")
+    dropped(places, classes, labels)
+    return out
 
 
 def without_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -210,7 +213,7 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     left = written(without_lines(docs, min_words), "lines-cut")
     words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    out = without_spans(left, written(_passages(left), "passages")).where(~F.col("__cut") | words)
+    out = without_spans(left, _passages(left)).where(~F.col("__cut") | words)
     if "n_chars" in docs.columns:
         count = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col("__cut"), count).otherwise(F.col("n_chars")))
@@ -347,29 +350,42 @@ def _passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     texts = texts.select("doc_id", F.xxhash64("t").alias("tid"), "t")
     anchors = written(_anchors(texts, kind), "anchors")
     twice = anchors.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key")
-    asked = anchors.join(twice, "key").groupBy("doc_id", "tid").agg(F.collect_set("key").alias("wanted"))
+    asked = written(anchors.join(twice, "key").groupBy("doc_id", "tid").agg(F.collect_set("key").alias("wanted")), "asked")
+    dropped(anchors)
     grams = written(_grams(texts.join(asked, ["doc_id", "tid"]).select("doc_id", "tid", "t", "wanted"), kind), "grams")
+    dropped(asked)
     place = F.struct("doc_id", "tid", "pos", "line")
     # of equal rows only the first is looked at run by run: all runs of the others stood before
     firsts = grams.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"), F.min_by("inside", place).alias("inside"))
     firsts = written(firsts.select("digest", "first.*", "times", "inside"), "first-grams")
-    runs = firsts.select("doc_id", "tid", F.col("pos").alias("head"), F.posexplode(F.arrays_zip(*(F.col(f"inside.{c}").alias(c) for c in ("key", "line", "start", "end")))).alias("i", "x")).select(
-        "doc_id", "tid", (F.col("head") + F.col("i")).alias("pos"), *(F.col(f"x.{c}").cast("long").alias(c) for c in ("line", "start", "end", "key")))
-    known = written(runs.groupBy("key").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times")), "known")
+    # ``lead`` names the equal rows whose first run it is
+    runs = firsts.select("doc_id", "tid", F.col("pos").alias("head"), F.when(F.col("times") > 1, F.col("digest")).alias("equal"),
+                         F.posexplode(F.arrays_zip(*(F.col(f"inside.{c}").alias(c) for c in ("key", "line", "start", "end")))).alias("i", "x")).select(
+        "doc_id", "tid", (F.col("head") + F.col("i")).alias("pos"), *(F.col(f"x.{c}").cast("long").alias(c) for c in ("line", "start", "end", "key")),
+        F.when(F.col("i") == 0, F.col("equal")).alias("lead"))
     # keys of more than 1 / (4 x partitions) of all runs: there are fewer than 4 x partitions of them
-    share = (known.agg(F.sum("times")).first()[0] or 0) // pieces(spark, 0, 1) // 4
+    share = (firsts.agg(F.sum(F.size("inside.key"))).first()[0] or 0) // pieces(spark, 0, 1) // 4
     much = F.col("times") > max(share, LEAST_HOT)
-    hot = known.where(much).select("key", "first").collect()
-    rest = runs.join(F.broadcast(known.where(much).select("key")), "key", "left_anti") if hot else runs
-    again = rest.join(known.where((F.col("times") > 1) & ~much).drop("times"), "key").where(place != F.col("first"))
+    keys = written(firsts.select(F.explode("inside.key").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("times")).where(much).select("key"), "hot-keys")
+    most = written(runs.join(F.broadcast(keys), "key").groupBy("key").agg(F.min(place).alias("first")), "hot-keys")
+    hot = most.collect()
+    rest = runs.join(F.broadcast(keys), "key", "left_anti") if hot else runs
+    # all others meet the first of their key in one pass; a key has no more than that share of the runs
+    order = W.partitionBy("key").orderBy("doc_id", "tid", "pos").rowsBetween(W.unboundedPreceding, W.currentRow)
+    met = rest.select("*", *(F.first(c).over(order).alias(f"first_{c}") for c in ("doc_id", "tid", "pos", "line")))
+    again = place != F.struct(*(F.col(f"first_{c}").alias(c) for c in ("doc_id", "tid", "pos", "line")))
+    met = written(met.withColumn("again", again).where("again OR lead IS NOT NULL").drop("key", "first_tid", "first_pos"), "met")
     piece = ["doc_id", "tid", "pos", "last", "line", "start", "end", "first_doc_id", "first_line"]
-    again = again.select("*", F.col("pos").alias("last"), F.col("first.doc_id").alias("first_doc_id"), F.col("first.line").alias("first_line")).select(piece)
+    again = met.where("again").withColumn("last", F.col("pos")).select(piece)
+    named = ["digest", "own", "first_doc_id", "first_line"]
+    heads = met.where("lead IS NOT NULL").select(F.col("lead").alias("digest"), place.alias("own"), "first_doc_id", "first_line")
     if hot:
         again = again.unionByName(_much_held(firsts, hot, kind))
-    heads = firsts.where("times > 1").select("digest", place.alias("own"), F.col("inside.key")[0].alias("key")).join(known.drop("times"), "key")
+        held = firsts.where("times > 1").select("digest", place.alias("own"), F.col("inside.key")[0].alias("key")).join(F.broadcast(most), "key")
+        heads = heads.unionByName(held.select("*", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line").alias("first_line")).select(named))
     copies = grams.drop("inside").join(heads, "digest").where(place != F.col("own"))
-    again = again.unionByName(copies.select("*", (F.col("pos") + F.col("n") - 1).alias("last"), F.col("first.doc_id").alias("first_doc_id"),
-                                            F.col("first.line").alias("first_line")).select(piece))
+    again = written(again.unionByName(copies.withColumn("last", F.col("pos") + F.col("n") - 1).select(piece)), "pieces")
+    dropped(grams, firsts, keys, most, met)
     # rows equal in id and text give equal places, which fall into one run
     order = W.partitionBy("doc_id", "tid").orderBy("pos", "last")
     before = F.max("last").over(order.rowsBetween(W.unboundedPreceding, -1))
@@ -377,4 +393,6 @@ def _passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     out = again.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order)).groupBy("doc_id", "tid", "run").agg(
         F.min("line").alias("line"), F.min("start").alias("start"), F.max("end").alias("end"),
         (F.max("last") + PASSAGE - F.min("pos")).alias("words"), F.min_by(F.struct("first_doc_id", "first_line"), "pos").alias("first"))
-    return out.select("doc_id", "tid", "line", "start", "end", "words", "first.first_doc_id", "first.first_line", F.lit(True).alias("removed"))
+    out = written(out.select("doc_id", "tid", "line", "start", "end", "words", "first.first_doc_id", "first.first_line", F.lit(True).alias("removed")), "passages")
+    dropped(again)
+    return out

@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codeframe.sources.scratch import scratch_path
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Spark removes the shuffle files of a query that runs in here when it ends, not when the driver next happens to collect garbage."""
+    was = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if was is None else spark.conf.set(_CLEANUP, was)
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` as a Parquet table in the folder of ``spark.checkpoint.dir``, read back.
 
@@ -15,8 +32,18 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, tag)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with shuffles_freed(spark):
+        df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` returned. All that reads them must be written itself."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
