@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 
 from codeframe.llm import text as T
 from codeframe.llm.linking import FOUND, GROUP, SETS, found_pairs, held_by_many, pack, settle, with_sketches
-from codeframe.llm.tables import pieces, written
+from codeframe.llm.tables import dropped, pieces, written
 
 #: Sets with fewer shingles use single shingles as words.
 SMALL = 48
@@ -251,6 +251,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, group: int) -> DataFram
               .join(holds.select(F.col("cls").alias("b"), F.col("hot").alias("hb")), "b", "left")
               .where(F.col("short") <= F.least(F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0)))).select("a", "b"))
     parts = settle(likely, unsure, lambda asked: sets_of(asked, docs, members, id_col, text_col))
+    dropped(found)
     smallest = (members.join(parts.withColumnRenamed("node", "cls"), "cls", "left").select("cls", "id", F.coalesce("component", "cls").alias("component")))
     names = smallest.groupBy("component").agg(F.min("id").alias("component_id"))
     by_set = smallest.join(names, "component").select(F.col("cls").alias("__cls"), "component_id", "component")

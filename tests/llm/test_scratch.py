@@ -50,3 +50,18 @@ def test_repeats_leave_only_their_results(spark, docs):
     for _ in range(2):  # and they can be read again
         assert sorted((r.doc_id, r.line, r.removed) for r in lines.collect()) == [(1, 0, False), (3, 0, True), (4, 0, True)]
         assert [(r.doc_id, r.words, r.first_doc_id, r.first_line) for r in passages.collect()] == [(2, 60, 1, 1)]
+
+
+def test_pipeline_stages_leave_no_large_tables(spark, docs):
+    from codeframe.llm.parity_join import one_of_each
+
+    line = lambda k, n: " ".join(f"{k}_{i}" for i in range(n))
+    rows = [(i, f"{line('a', 80)} {line(i, 3)}") for i in range(20)] + [(30, f"{line('c', 7)} {line('s', 60)}"), (31, f"{line('d', 70)} {line('s', 60)}"), (32, None)]
+    before = tables(spark)
+    one = one_of_each(docs(rows))
+    assert not {"words", "whole", "pairs", "hot", "more", "stars"} & set(tags(tables(spark) - before))
+    assert sorted(r.doc_id for r in one.collect()) == [0, 30, 31, 32]
+    before = tables(spark)
+    cut = P.without_repeats(one)
+    assert tags(tables(spark) - before) == ["lines-cut", "passages", "repeated"]
+    assert {r.doc_id: r.text for r in cut.collect()} == {0: rows[0][1], 30: rows[20][1], 31: f"{line('d', 70)} ", 32: None}
