@@ -141,17 +141,21 @@ def mixed_documents(docs: DataFrame, weights: list[int], share_pct: int = 150, m
     sized = written(sized_documents(docs), "sized")  # words are counted once
     goals = written(targets(sized, weights, share_pct, most), "targets")
     filled, placed = mixture(sized, goals, block, most)
-    # an id that stands on several rows is matched with them in the order of source and size
-    turn = W.partitionBy("doc_id").orderBy("s", "before")
-    named = placed.where("size > 0").select("s", "before", F.col("doc_id").alias("__id"), F.row_number().over(turn).alias("__nth"))
-    got = written(filled.groupBy("s", "before", "epoch").agg(F.sum("words").alias("__taken")), "taken")
-    taken = got.join(named, ["s", "before"]).select("__id", "__nth", "__taken")
+    got = written(filled.groupBy("s", "before", "epoch").agg(F.sum("words").alias("got")), "taken")
+    # rows equal in id, source and size stand side by side in the shuffled order: an epoch takes the first of them whole, at most one more in part
+    kind = f"struct<doc_id:{docs.schema['doc_id'].dataType.simpleString()},source:string,size:bigint>"
+    key = lambda size: F.struct("doc_id", F.col("source").cast("string"), size).cast(kind)
+    whole = F.col("got") == F.col("size")
+    taken = got.join(placed.where("size > 0").select("s", "before", "size", key("size").alias("__k")), ["s", "before"]).groupBy("__k", "epoch").agg(
+        F.count(F.when(whole, 1)).alias("__whole"), F.coalesce(F.max(F.when(~whole, F.col("got"))), F.lit(0)).alias("__part"))
     size = word_count(F.col("text").cast("string"))
     rows = docs.withColumn("__size", size)
-    full = rows.where("__size > 0")
-    same = W.partitionBy("doc_id").orderBy(F.col("source").cast("string").asc_nulls_last(), "__size")
-    full = full.withColumn("__turn", F.row_number().over(same))
-    joined = full.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__turn") == F.col("__nth")))
+    # one key for the window and the join: texts are moved once
+    full = rows.where("__size > 0").withColumn("__key", key("__size"))
+    full = full.withColumn("__turn", F.row_number().over(W.partitionBy("__key").orderBy("__key")))
+    fits = (F.col("__turn") <= F.col("__whole")) | ((F.col("__turn") == F.col("__whole") + 1) & (F.col("__part") > 0))
+    joined = full.join(taken, (F.col("__key") == F.col("__k")) & fits)
+    joined = joined.withColumn("__taken", F.when(F.col("__turn") <= F.col("__whole"), F.col("__size")).otherwise(F.col("__part")))
     pieces = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))
     text = F.when(F.col("__taken") < F.col("__size"), F.array_join(F.slice(pieces, F.lit(1), F.col("__taken").cast("int")), "")).otherwise(F.col("text"))
     joined = joined.withColumn("text", text)

@@ -28,12 +28,13 @@ def shuffles_freed(spark: SparkSession) -> Iterator[None]:
 def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` as a Parquet table in the folder of ``spark.checkpoint.dir``, read back.
 
-    This cuts the lineage: a lost executor costs a re-read, not a recomputation of all that came before.
+    This cuts the lineage: a lost executor costs a re-read, not a recomputation of all that came before. Tables of texts
+    stay until a later step has been written, so they are packed tighter than by default.
     """
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     with shuffles_freed(spark):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path
     return out

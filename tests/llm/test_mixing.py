@@ -1,4 +1,5 @@
-from collections import defaultdict
+import re
+from collections import Counter, defaultdict
 
 import pytest
 from brute import WORD
@@ -79,3 +80,35 @@ def test_mixed_documents_hold_no_schedule_in_their_plan(docs):
     """Schedule and words taken are jobs of their own, so that the last job holds few stages and broadcasts at once."""
     out = M.mixed_documents(docs([(i, "some words here " * i, f"s{i % 3}") for i in range(12)]), [5, 2, 1], block=4)
     assert "Range (" not in out._jdf.queryExecution().toString()
+
+
+def test_mixed_documents_move_texts_once(spark, docs):
+    """The window that tells equal rows apart and the join with the words taken share one shuffle."""
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = M.mixed_documents(docs([(i, "some words here " * (1 + i), f"s{i % 3}") for i in range(12)]), [5, 2, 1], block=4)
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        moved = re.findall(r"\) Exchange\s+Input \[\d+\]: \[([^\]]*)\]", out._jdf.queryExecution().explainString(mode))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert sum("text#" in x for x in moved) == 1
+
+
+def test_mixed_documents_of_equal_and_nameless_rows(docs):
+    """Rows equal in id, source and size get their words by turn: none is lost, none comes more often than epochs take it."""
+    rows = [(3, "a b c d", "s0"), (3, "a b c d", "s0"), (3, "w x y z", "s0"), (3, "q r", "s0"), (3, "a b c d", "s1"), (3, "a b c d", None), (None, "a b c d", "s0"),
+            (None, "a b c d", "s0"), (None, "a b c d", None), (None, None, "s0"), (4, "", None), (5, " ".join(f"v{i}" for i in range(50)), "s1")]
+    words = lambda t: len(WORD.findall(t or ""))
+    taken = Counter()
+    for r in M.mix_sources(docs(rows), [5, 2, 1], block=3).collect():
+        taken[r.doc_id, r.source, r.size] += r.taken
+    got, times = Counter(), Counter()
+    for r in M.mixed_documents(docs(rows), [5, 2, 1], block=3).collect():
+        fit = [x for x in rows if x[0] == r.doc_id and x[2] == r.source and (x[1] or "").startswith(r.text or "")]
+        assert fit
+        got[r.doc_id, r.source, min(words(x[1]) for x in fit)] += words(r.text)
+        times[r.doc_id, r.source, r.text] += 1
+    assert {k: v for k, v in got.items() if v} == {k: v for k, v in taken.items() if v}
+    assert times[None, "s0", None] == times[4, None, ""] == 1
+    assert all(n <= 2 * sum(x[0] == i and x[2] == s and (x[1] or "").startswith(t or "") for x in rows) for (i, s, t), n in times.items())

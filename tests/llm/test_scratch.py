@@ -2,6 +2,7 @@ import os
 import re
 import time
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from codeframe.llm import paragraphs as P
@@ -65,3 +66,11 @@ def test_pipeline_stages_leave_no_large_tables(spark, docs):
     cut = P.without_repeats(one)
     assert tags(tables(spark) - before) == ["lines-cut", "passages", "repeated"]
     assert {r.doc_id: r.text for r in cut.collect()} == {0: rows[0][1], 30: rows[20][1], 31: f"{line('d', 70)} ", 32: None}
+
+
+def test_written_tables_are_packed_with_zstd(spark):
+    out = written(spark.range(10), "ids")
+    parts = [f"{out.scratch.removeprefix('file://')}/{x}" for x in os.listdir(out.scratch.removeprefix("file://")) if x.endswith(".parquet")]
+    packed = {pq.ParquetFile(x).metadata.row_group(0).column(0).compression for x in parts if pq.ParquetFile(x).metadata.num_row_groups}
+    assert packed == {"ZSTD"}
+    dropped(out)
